@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.operators.skew import (
-    HOT_ROWS, carry, chunk_hot, chunk_window, hot_keys, own_rows, sequence_chunk, split_hot,
+    CHUNK_SEQUENCE, HOT_ROWS, Heat, along_key, resolve, sequence_chunk, split_hot, with_key_value,
 )
 from tidemark.schemas import SOURCES, Source
 
@@ -43,12 +43,12 @@ def _newest(rows: DataFrame, key: str, *order) -> DataFrame:
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def reduce_customers(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def reduce_customers(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     s = SOURCES["customers"]
     return _newest(rows, s.key, F.desc(s.ts), F.desc("_last_seq"))
 
 
-def reduce_orders(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def reduce_orders(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     s = SOURCES["orders"]
     fixed = [c for c in rows.columns if c not in (*s.mutable, s.key, "_last_seq", "_commit_no")]
     moving = [c for c in rows.columns if c not in (*fixed, s.key)]
@@ -59,30 +59,33 @@ def reduce_orders(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return reduced.select(s.key, "_first.*", "_last.*").select(*rows.columns)
 
 
-def reduce_subscriptions(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def reduce_subscriptions(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     s = SOURCES["subscriptions"]
     moving = [c for c in rows.columns if c in (*s.mutable, "_last_seq", "_commit_no")]
     fixed = [c for c in rows.columns if c not in (*moving, s.key)]
 
-    def reduce(part: DataFrame) -> DataFrame:
+    def reduce(guarded: DataFrame) -> DataFrame:
         accepted = F.col(s.ts) >= F.col("_guard")
-        reduced = part.groupBy(s.key).agg(
+        reduced = guarded.groupBy(s.key).agg(
             F.min_by(F.struct(*fixed), "_first_seq").alias("_first"),
             F.max_by(F.when(accepted, F.struct(*moving)), F.when(accepted, F.col("_last_seq"))).alias("_last"),
         )
         return reduced.select(s.key, "_first.*", "_last.*").select(*rows.columns)
 
-    cold, hot = split_hot(rows, hot_keys(rows, s.key, hot_rows), s.key)
-    # Ordinary keys: the guard and the reduction share one shuffle.
+    heat, first = resolve(rows, s.key, hot), F.min_by(s.ts, "_first_seq")
     arrivals = Window.partitionBy(s.key).orderBy("_first_seq").rowsBetween(Window.unboundedPreceding, 0)
-    guarded = cold.withColumn("_guard", F.first(s.ts).over(arrivals))
-    # Hot keys: their few guards are broadcast, and rows combine where they lie.
-    guards = hot.groupBy(F.col(s.key).alias("_guard_key")).agg(F.min_by(s.ts, "_first_seq").alias("_guard"))
-    hot_guarded = hot.join(F.broadcast(guards), F.col(s.key).eqNullSafe(F.col("_guard_key"))).drop("_guard_key")
-    return reduce(guarded).unionByName(reduce(hot_guarded))
-
-
-def reduce_events(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    guard = F.first(s.ts).over(arrivals)
+    if heat.keys is None:
+        # The guard and the reduction share one shuffle.
+        return reduce(rows.withColumn("_guard", guard))
+    # The few guards of hot keys are broadcast, and their rows combine where they lie.
+    cold, warm = split_hot(rows, s.key, heat)
+    guards = warm.groupBy(F.col(s.key).alias("_guard_key")).agg(first.alias("_guard"))
+    guarded = warm.join(F.broadcast(guards), F.col(s.key).eqNullSafe(F.col("_guard_key"))).drop("_guard_key")
+    return reduce(cold.withColumn("_guard", guard)).unionByName(reduce(guarded))
+
+
+def reduce_events(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     return _newest(rows, SOURCES["events"].key, F.asc("_first_seq"))
 
 
@@ -102,8 +105,8 @@ def upsert_orders(log: DataFrame) -> DataFrame:
     return _public(reduce_orders(as_changes(log)), SOURCES["orders"])
 
 
-def upsert_subscriptions(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _public(reduce_subscriptions(as_changes(log), hot_rows), SOURCES["subscriptions"])
+def upsert_subscriptions(log: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+    return _public(reduce_subscriptions(as_changes(log), hot), SOURCES["subscriptions"])
 
 
 def insert_events(log: DataFrame, stored: DataFrame | None = None) -> DataFrame:
@@ -123,26 +126,25 @@ def tombstones(state: DataFrame) -> DataFrame:
     return state.where(F.col("_is_deleted"))
 
 
-def reject_stale(log: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS, chunk_size: int = 5_000_000) -> DataFrame:
+def reject_stale(
+    log: DataFrame, key: str, ts: str, hot: Heat | int = HOT_ROWS, chunk_size: int = CHUNK_SEQUENCE
+) -> DataFrame:
     """Records the guard ignored: older than what was stored when they arrived.
 
     For sources whose stored time moves, that is the greatest time among all earlier
-    arrivals of the key.
+    arrivals of the key, so a chunk needs the newest record of all earlier chunks.
     """
-    chunked = chunk_hot(log, key, sequence_chunk("arrival_seq", chunk_size), hot_rows)
-    # What a chunk needs is the newest record of all earlier chunks.
-    rows = carry(chunked, key, [ts, "arrival_seq"], forward=True)
-    before = chunk_window(key, ["arrival_seq"], forward=True).rowsBetween(Window.unboundedPreceding, -1)
-    judged = rows.withColumn("stored_at", F.max(ts).over(before))
-    return own_rows(judged.where(F.col(ts) < F.col("stored_at")))
+    def stored(window):
+        return {"stored_at": F.max(ts).over(window.rowsBetween(Window.unboundedPreceding, -1))}
+
+    judged = along_key(
+        log, key, ["arrival_seq"], stored, chunk=sequence_chunk("arrival_seq", chunk_size), hot=hot,
+        rank=[ts, "arrival_seq"])
+    return judged.where(F.col(ts) < F.col("stored_at"))
 
 
-def reject_stale_subscriptions(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def reject_stale_subscriptions(log: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Subscription records older than the first arrival of their key."""
     s = SOURCES["subscriptions"]
-    cold, hot = split_hot(log, hot_keys(log, s.key, hot_rows), s.key)
-    arrivals = Window.partitionBy(s.key).orderBy("arrival_seq").rowsBetween(Window.unboundedPreceding, 0)
-    guarded = cold.withColumn("stored_at", F.first(s.ts).over(arrivals))
-    guards = hot.groupBy(F.col(s.key).alias("_guard_key")).agg(F.min_by(s.ts, "arrival_seq").alias("stored_at"))
-    hot_guarded = hot.join(F.broadcast(guards), F.col(s.key).eqNullSafe(F.col("_guard_key"))).drop("_guard_key")
-    return guarded.unionByName(hot_guarded).where(F.col(s.ts) < F.col("stored_at"))
+    judged = with_key_value(log, s.key, hot, stored_at=F.min_by(s.ts, "arrival_seq"))
+    return judged.where(F.col(s.ts) < F.col("stored_at"))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import date_key, micro_text, open_end
-from tidemark.operators.skew import HOT_ROWS, carry, chunk_hot, chunk_window, own_rows, time_chunk
+from tidemark.operators.skew import HOT_ROWS, Heat, along_key, resolve, time_chunk
 from tidemark.schemas import CONTRACTS, DIM_DATE, TRACKED_ATTRIBUTES
 
 CALENDAR_START, CALENDAR_END = date(2020, 1, 1), date(2030, 12, 31)
@@ -70,19 +70,22 @@ def latest_per_instant(changes: DataFrame) -> DataFrame:
     return ranked.where("_rank = 1").drop("_rank", "arrival_seq")
 
 
-def dim_customer_scd2(stg: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Customer versions. Each is valid until the next one; the last one stays open.
 
     A deleted customer's last version stays open too but is not current. Feed it the
     staged change log to keep history, or one row per customer for the present only.
     """
+    heat = resolve(stg, "customer_id", hot)
     if "arrival_seq" in stg.columns:
         stg = latest_per_instant(stg)
-    chunked = chunk_hot(stg, "customer_id", time_chunk("source_updated_at"), hot_rows)
-    order = ["source_updated_at"]
-    rows = carry(chunked, "customer_id", order, forward=False)
-    following = F.lead("source_updated_at").over(chunk_window("customer_id", order, forward=False))
-    versions = own_rows(rows.withColumn("_next", following))
+
+    def following(window):
+        return {"_next": F.lead("source_updated_at").over(window)}
+
+    versions = along_key(
+        stg, "customer_id", ["source_updated_at"], following, chunk=time_chunk("source_updated_at"), hot=heat,
+        forward=False)
     return versions.select(
         F.md5(F.concat("customer_id", F.lit("|"), micro_text("source_updated_at"))).alias("customer_sk"),
         "customer_id", "first_name", "last_name", "email", "country_code", "plan_tier", "account_status",
@@ -93,22 +96,25 @@ def dim_customer_scd2(stg: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def scd2_compact(stg: DataFrame, tracked: tuple[str, ...] = TRACKED_ATTRIBUTES, hot_rows: int = HOT_ROWS) -> DataFrame:
+def scd2_compact(
+    stg: DataFrame, tracked: tuple[str, ...] = TRACKED_ATTRIBUTES, hot: Heat | int = HOT_ROWS
+) -> DataFrame:
     """Customer versions that differ from the one before in a tracked attribute.
 
     A deletion also starts a version, so that the history ends where it should.
     """
+    heat = resolve(stg, "customer_id", hot)
     if "arrival_seq" in stg.columns:
         stg = latest_per_instant(stg)
+
+    def previous(window):
+        return {"_before": F.lag("_watched").over(window)}
+
     watched = stg.withColumn("_watched", F.struct(*tracked, "is_deleted"))
-    order = ["source_updated_at"]
-    rows = carry(
-        chunk_hot(watched, "customer_id", time_chunk("source_updated_at"), hot_rows), "customer_id", order, forward=True
-    )
-    before = F.lag("_watched").over(chunk_window("customer_id", order, forward=True))
-    marked = own_rows(rows.withColumn("_before", before))
+    marked = along_key(
+        watched, "customer_id", ["source_updated_at"], previous, chunk=time_chunk("source_updated_at"), hot=heat)
     changed = marked.where(~F.col("_watched").eqNullSafe(F.col("_before"))).drop("_watched", "_before")
-    return dim_customer_scd2(changed, hot_rows)
+    return dim_customer_scd2(changed, heat)
 
 
 def fact_orders(stg: DataFrame) -> DataFrame:

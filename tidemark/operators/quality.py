@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from tidemark.functions.dates import hours_between, ntz
 from tidemark.operators.marts import CALENDAR_END, CALENDAR_START, date_spine
-from tidemark.operators.skew import HOT_ROWS, carry, chunk_hot, chunk_window, own_rows, time_chunk
+from tidemark.operators.skew import HOT_ROWS, Heat, along_key, time_chunk
 from tidemark.schemas import GENERIC_TESTS, LIFECYCLE_TYPES, SOURCES, TableTests
 
 
@@ -83,17 +83,20 @@ def dq_accepted_values(tables: dict[str, DataFrame]) -> DataFrame:
 # -- checks on one table ----------------------------------------------------
 
 
-def scd_overlap(dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def scd_overlap(dim: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Versions that start before an earlier version of the customer has ended.
 
     Some version overlaps another exactly if such a version exists; the running end
     of all earlier versions finds it without pairing versions with each other.
     """
     spans = dim.groupBy("customer_id", "customer_sk", "valid_from").agg(F.max("valid_to").alias("valid_to"))
-    chunked = chunk_hot(spans, "customer_id", time_chunk("valid_from"), hot_rows)
-    rows = carry(chunked, "customer_id", ["valid_to", "valid_from"], forward=True)
-    before = chunk_window("customer_id", ["valid_from"], forward=True).rowsBetween(Window.unboundedPreceding, -1)
-    judged = own_rows(rows.withColumn("earlier_valid_to", F.max("valid_to").over(before)))
+
+    def ended(window):
+        return {"earlier_valid_to": F.max("valid_to").over(window.rowsBetween(Window.unboundedPreceding, -1))}
+
+    judged = along_key(
+        spans, "customer_id", ["valid_from"], ended, chunk=time_chunk("valid_from"), hot=hot,
+        rank=["valid_to", "valid_from"])
     return judged.where(F.col("valid_from") < F.col("earlier_valid_to"))
 
 
@@ -241,7 +244,7 @@ def _counted(name: str, kind: str, test: str, violations: DataFrame, of: Column
         F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), F.lit(test).alias("test_name"), "violations")
 
 
-def dq_suite(tables: dict[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
+def dq_suite(tables: dict[str, DataFrame], hot: Heat | int = HOT_ROWS) -> DataFrame:
     """All 103 tests, one row each: 93 generic and 10 singular.
 
     Counts are rows for NULLs, values, references and row conditions, and keys for
@@ -268,7 +271,7 @@ def dq_suite(tables: dict[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFram
     lost = per_customer.join(known, F.col("customer_id") == F.col("_known"), "left_anti")
     frames += [
         _counted("dim_customer", "singular", "grain", duplicates(dim, "customer_id", "valid_from")),
-        _counted("dim_customer", "singular", "no_overlap", scd_overlap(dim, hot_rows)),
+        _counted("dim_customer", "singular", "no_overlap", scd_overlap(dim, hot)),
         _counted("dim_customer", "singular", "single_current", single_current(dim)),
         _counted("dim_date", "singular", "continuity", date_continuity(calendar)),
         _counted("dim_date", "singular", "grain", duplicates(calendar, "date_day")),

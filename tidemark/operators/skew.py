@@ -1,22 +1,24 @@
-"""Windows and joins that hold when one key owns a large share of the rows.
+"""Windows that hold when one key owns a large share of the rows.
 
-A window partitioned by a key puts all rows of that key into one task. Keys with
-more than ``hot_rows`` rows are therefore found first, with a count that combines
-before the shuffle, and only their rows are cut into chunks along the ordering
-column. What a chunk needs from its neighbours travels in one extra boundary row.
+A window partitioned by a key puts all rows of that key into one task. So keys are
+counted first, which combines before the shuffle and reads one column, and those
+with more than ``HOT_ROWS`` rows are treated apart: their rows are cut into chunks
+along the ordering column, and what a chunk needs from its neighbours travels in
+one extra boundary row. With no hot key the plan is the plain window.
 
 Sizes: at most ``HOT_KEYS`` keys are treated as hot, the heaviest first, so a key
-left out holds less than 1/HOT_KEYS of the rows and the broadcast list never grows
-with the data. A time chunk is one minute: it holds at most 6e7 different
-microseconds, and ten years have 5.3e6 minutes, which bounds both the window over
-a chunk and the window over the chunk boundaries of one key.
-
-With no hot key the list is empty and adaptive execution drops the extra branches.
+left out holds less than 1/HOT_KEYS of the rows, and neither the list nor its
+broadcast grows with the data. A time chunk is one minute: it holds at most 6e7
+different microseconds, and ten years have 5.3e6 minutes, which bounds both the
+window over a chunk and the window over the chunk boundaries of one key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.functions.dates import micros
 
@@ -26,26 +28,41 @@ CHUNK_MICROS = 60_000_000
 CHUNK_SEQUENCE = 5_000_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: one column, at most ``HOT_KEYS`` rows."""
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+@dataclass(frozen=True)
+class Heat:
+    """The hot keys of a table: a frame of at most HOT_KEYS rows, or None."""
+
+    keys: DataFrame | None = None
+
+
+CALM = Heat()
+
+
+def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> Heat:
+    """Count rows per key and keep the heaviest keys above the limit.
+
+    The list is short whatever the data, so it is fetched here, once; frames built
+    from it then agree on it and can leave out what no hot key needs.
+    """
+    heavy = (
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(HOT_KEYS)
-        .select(key)
+        .orderBy(F.desc("_rows"), key).limit(HOT_KEYS).select(F.col(key).alias("_hot_key"))
     )
+    rows = heavy.collect()
+    return Heat(df.sparkSession.createDataFrame(rows, heavy.schema)) if rows else CALM
 
 
-def _match(df: DataFrame, hot: DataFrame, key: str, how: str) -> DataFrame:
-    listed = F.broadcast(hot.select(F.col(key).alias("_hot_key")))
-    return df.join(listed, F.col(key).eqNullSafe(F.col("_hot_key")), how)
+def resolve(df: DataFrame, key: str, hot: Heat | int) -> Heat:
+    """Operators take either known hot keys or the number of rows that makes one."""
+    return hot if isinstance(hot, Heat) else find_hot(df, key, hot)
 
 
-def split_hot(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, key: str, heat: Heat) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of hot keys. NULL counts as a key."""
-    return _match(df, hot, key, "left_anti"), _match(df, hot, key, "left_semi")
+    listed = F.col(key).eqNullSafe(F.col("_hot_key"))
+    keys = F.broadcast(heat.keys)
+    return df.join(keys, listed, "left_anti"), df.join(keys, listed, "left_semi")
 
 
 def time_chunk(ts: str) -> Column:
@@ -56,30 +73,17 @@ def sequence_chunk(seq: str, size: int = CHUNK_SEQUENCE) -> Column:
     return F.floor(F.col(seq) / F.lit(size)).cast("long")
 
 
-def chunk_hot(df: DataFrame, key: str, chunk: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_chunk``: the chunk for rows of hot keys, NULL for all others."""
-    hot = hot_keys(df, key, hot_rows).withColumn("_is_hot", F.lit(True))
-    listed = F.broadcast(hot.withColumnRenamed(key, "_hot_key"))
-    marked = df.join(listed, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-    return marked.withColumn("_chunk", F.when(F.col("_is_hot"), chunk)).drop("_hot_key", "_is_hot")
-
-
-def carry(
-    df: DataFrame, key: str, order: list[str], *, forward: bool, only: Column | None = None
+def _with_boundaries(
+    df: DataFrame, key: str, rank: Column, only: Column | None, forward: bool
 ) -> DataFrame:
-    """Append to every chunk the nearest boundary row of its neighbours, ``_carried``.
-
-    ``forward`` brings in the greatest row, by ``order``, of all chunks before (for
-    lag and running values), otherwise the first row of the chunk after (for lead).
-    ``only`` limits which rows may be carried forward.
-    """
-    hot = df.where(F.col("_chunk").isNotNull())
+    """Add to every chunk one row of its neighbours, marked ``_carried``: going
+    forward the row of greatest rank of all chunks before, otherwise the row of
+    least rank of the chunk after. ``only`` limits which rows may be carried."""
     row = F.struct(*df.columns)
-    rank = F.struct(*order)
     if only is not None:
         rank = F.when(only, rank)
     along = Window.partitionBy(key).orderBy("_at")
-    by_chunk = hot.groupBy(key, F.col("_chunk").alias("_at"))
+    by_chunk = df.groupBy(key, F.col("_chunk").alias("_at"))
     if forward:
         edges = by_chunk.agg(F.max_by(row, rank).alias("_edge"), F.max(rank).alias("_edge_rank"))
         earlier = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -94,25 +98,38 @@ def carry(
     )
 
 
-def chunk_window(key: str, order: list[str], *, forward: bool):
-    """The window over a chunk, with carried rows at the side they belong to."""
-    side = F.desc("_carried") if forward else F.asc("_carried")
-    return Window.partitionBy(key, "_chunk").orderBy(side, *order)
-
+def along_key(
+    df: DataFrame, key: str, order: list[str], add: Callable[[WindowSpec], dict[str, Column]], *,
+    chunk: Column, hot: Heat | int, forward: bool = True, rank: list[str] | None = None, only: Column | None = None,
+) -> DataFrame:
+    """Add window columns over the rows of each key in order.
 
-def own_rows(df: DataFrame) -> DataFrame:
-    return df.where(~F.col("_carried")).drop("_carried", "_chunk")
+    ``add`` builds the columns from the window. ``forward`` is for columns that look
+    back (lag, running values); those that look ahead (lead) need it False. ``rank``
+    orders the rows that stand for a chunk, if other than ``order``.
+    """
+    heat = resolve(df, key, hot)
+    if heat.keys is None:
+        return df.withColumns(add(Window.partitionBy(key).orderBy(*order)))
+    cold, warm = split_hot(df, key, heat)
+    rows = _with_boundaries(
+        warm.withColumn("_chunk", chunk), key, F.struct(*(rank or order)), only, forward)
+    # Carried rows come first when looking back and last when looking ahead.
+    side = F.desc("_carried") if forward else F.asc("_carried")
+    chunked = rows.withColumns(add(Window.partitionBy(key, "_chunk").orderBy(side, *order)))
+    done = chunked.where(~F.col("_carried")).drop("_carried", "_chunk")
+    return cold.withColumns(add(Window.partitionBy(key).orderBy(*order))).unionByName(done)
 
 
-def key_value(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, **aggregates: Column) -> DataFrame:
-    """Add per-key aggregates to every row. Ordinary keys use one window; the
-    aggregates of hot keys fit a broadcast."""
-    hot = hot_keys(df, key, hot_rows)
-    cold_rows, hot_part = split_hot(df, hot, key)
+def with_key_value(df: DataFrame, key: str, hot: Heat | int, **aggregates: Column) -> DataFrame:
+    """Add per-key aggregates to every row. Ordinary keys use one window; the few
+    aggregates of hot keys are broadcast to their rows."""
+    heat = resolve(df, key, hot)
     whole = Window.partitionBy(key)
-    cold = cold_rows.withColumns({name: agg.over(whole) for name, agg in aggregates.items()})
-    values = hot_part.groupBy(F.col(key).alias("_value_key")).agg(
-        *[agg.alias(name) for name, agg in aggregates.items()]
-    )
-    joined = hot_part.join(F.broadcast(values), F.col(key).eqNullSafe(F.col("_value_key"))).drop("_value_key")
-    return cold.unionByName(joined)
+    columns = {name: aggregate.over(whole) for name, aggregate in aggregates.items()}
+    if heat.keys is None:
+        return df.withColumns(columns)
+    cold, warm = split_hot(df, key, heat)
+    values = warm.groupBy(F.col(key).alias("_value_key")).agg(*[a.alias(n) for n, a in aggregates.items()])
+    joined = warm.join(F.broadcast(values), F.col(key).eqNullSafe(F.col("_value_key"))).drop("_value_key")
+    return cold.withColumns(columns).unionByName(joined)

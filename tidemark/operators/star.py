@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import date_key, month_key, ntz
 from tidemark.operators.skew import (
-    HOT_ROWS, carry, chunk_hot, chunk_window, hot_keys, key_value, own_rows, split_hot, time_chunk,
+    HOT_ROWS, Heat, along_key, find_hot, resolve, split_hot, time_chunk, with_key_value,
 )
 from tidemark.schemas import INT, MONEY, TIER_RANK, UNKNOWN, UNKNOWN_SK
 
@@ -30,7 +30,7 @@ def _valid(version: Column, ts: Column) -> Column:
 
 def pit_join(
     facts: DataFrame, dim: DataFrame, ts: str, take: list[str], *,
-    key: str = "customer_id", how: str = "inner", hot_rows: int = HOT_ROWS,
+    key: str = "customer_id", how: str = "inner", hot: Heat | int = HOT_ROWS,
 ) -> DataFrame:
     """Give each fact the dimension version valid at its time.
 
@@ -42,38 +42,38 @@ def pit_join(
     """
     known = facts.where(F.col(key).isNotNull())
     versions = _version_rows(dim, key, take)
-    hot = hot_keys(known.select(key).unionByName(versions.select(key)), key, hot_rows)
-    cold_facts, hot_facts = split_hot(known, hot, key)
-    cold_versions, hot_versions = split_hot(versions, hot, key)
+    heat = hot if isinstance(hot, Heat) else find_hot(known.select(key).unionByName(versions.select(key)), key, hot)
     # A version with no length precedes the one that replaced it.
     order = ["_at", "_side", "_version.valid_to"]
-
-    payload = F.struct(*facts.columns)
     no_version = F.lit(None).cast(versions.schema["_version"].dataType)
-    tagged = cold_facts.select(
-        key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), no_version.alias("_version"), payload.alias("_fact"))
-    no_fact = F.lit(None).cast(tagged.schema["_fact"].dataType)
-    together = tagged.unionByName(cold_versions.withColumn("_fact", no_fact))
-    so_far = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    cold = (
-        together.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
-        .where(F.col("_fact").isNotNull())
-        .select("_fact.*", _valid(F.col("_version"), F.col("_at")).alias("_version"))
-    )
 
-    probes = hot_facts.select(key, F.col(ts).alias("_at")).distinct()
-    probes = probes.select(key, "_at", F.lit(1).alias("_side"), no_version.alias("_version"))
-    chunked = probes.unionByName(hot_versions).withColumn("_chunk", time_chunk("_at"))
-    rows = carry(chunked, key, order, forward=True, only=F.col("_side") == 0)
-    in_chunk = chunk_window(key, order, forward=True).rowsBetween(Window.unboundedPreceding, 0)
-    found = own_rows(rows.withColumn("_version", F.last("_version", ignorenulls=True).over(in_chunk)))
-    found = found.where("_side = 1").select(
-        F.col(key).alias("_key"), F.col("_at"), _valid(F.col("_version"), F.col("_at")).alias("_version"))
-    # One row per key and time on the right, so adaptive execution can split the left.
-    hot_out = hot_facts.join(found, (F.col(key) == F.col("_key")) & (F.col(ts) == F.col("_at")), "left")
-    hot_out = hot_out.drop("_key", "_at")
-
-    joined = cold.unionByName(hot_out)
+    def latest(window):
+        return {"_version": F.last("_version", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))}
+
+    def look_back(own_facts: DataFrame, own_versions: DataFrame) -> DataFrame:
+        tagged = own_facts.select(
+            key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), no_version.alias("_version"),
+            F.struct(*facts.columns).alias("_fact"))
+        no_fact = F.lit(None).cast(tagged.schema["_fact"].dataType)
+        together = tagged.unionByName(own_versions.withColumn("_fact", no_fact))
+        found = together.withColumns(latest(Window.partitionBy(key).orderBy(*order))).where(F.col("_fact").isNotNull())
+        return found.select("_fact.*", _valid(F.col("_version"), F.col("_at")).alias("_version"))
+
+    if heat.keys is None:
+        joined = look_back(known, versions)
+    else:
+        cold_facts, hot_facts = split_hot(known, key, heat)
+        cold_versions, hot_versions = split_hot(versions, key, heat)
+        probes = hot_facts.select(key, F.col(ts).alias("_at")).distinct()
+        probes = probes.select(key, "_at", F.lit(1).alias("_side"), no_version.alias("_version"))
+        found = along_key(
+            probes.unionByName(hot_versions), key, order, latest, chunk=time_chunk("_at"), hot=heat,
+            only=F.col("_side") == 0)
+        found = found.where("_side = 1").select(
+            F.col(key).alias("_key"), "_at", _valid(F.col("_version"), F.col("_at")).alias("_version"))
+        # One row per key and time on the right, so adaptive execution can split the left.
+        matched = hot_facts.join(found, (F.col(key) == F.col("_key")) & (F.col(ts) == F.col("_at")), "left")
+        joined = look_back(cold_facts, cold_versions).unionByName(matched.drop("_key", "_at"))
     if how == "left":
         joined = joined.unionByName(facts.where(F.col(key).isNull()).withColumn("_version", no_version))
     else:
@@ -81,10 +81,10 @@ def pit_join(
     return joined.select(*facts.columns, *[F.col(f"_version.{c}").alias(c) for c in take])
 
 
-def revenue_by_tier_pit(facts: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def revenue_by_tier_pit(facts: DataFrame, dim: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Orders and net revenue by the tier the customer had at the time of the order."""
     needed = facts.select("customer_id", "order_timestamp", "net_amount_usd")
-    return pit_join(needed, dim, "order_timestamp", ["plan_tier"], hot_rows=hot_rows).groupBy("plan_tier").agg(
+    return pit_join(needed, dim, "order_timestamp", ["plan_tier"], hot=hot).groupBy("plan_tier").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("net_amount_usd").cast(REVENUE).alias("net_revenue"),
     )
@@ -116,10 +116,10 @@ def with_unknown_member(dim: DataFrame) -> DataFrame:
     return dim.unionByName(member)
 
 
-def resolve_customer(facts: DataFrame, dim: DataFrame, ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve_customer(facts: DataFrame, dim: DataFrame, ts: str, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Facts with the key and tier of their customer version, or of the unknown
     member. No fact is dropped."""
-    joined = pit_join(facts, dim, ts, ["customer_sk", "plan_tier"], how="left", hot_rows=hot_rows)
+    joined = pit_join(facts, dim, ts, ["customer_sk", "plan_tier"], how="left", hot=hot)
     return joined.withColumns({
         "customer_sk": F.coalesce("customer_sk", F.lit(UNKNOWN_SK)),
         "plan_tier": F.coalesce("plan_tier", F.lit(UNKNOWN)),
@@ -127,11 +127,11 @@ def resolve_customer(facts: DataFrame, dim: DataFrame, ts: str, hot_rows: int =
 
 
 def fact_orders_sk(
-    facts: DataFrame, dim: DataFrame, tax: Column | None = None, items: Column | None = None, hot_rows: int = HOT_ROWS
+    facts: DataFrame, dim: DataFrame, tax: Column | None = None, items: Column | None = None, hot: Heat | int = HOT_ROWS
 ) -> DataFrame:
     """Order facts keyed to the customer version at the time of the order."""
     tax_amount = (F.lit(0) if tax is None else tax).cast(MONEY)
-    resolved = pit_join(facts, dim, "order_timestamp", ["customer_sk"], how="left", hot_rows=hot_rows)
+    resolved = pit_join(facts, dim, "order_timestamp", ["customer_sk"], how="left", hot=hot)
     return resolved.select(
         "order_id", "order_timestamp",
         F.col("date_key").alias("order_date_key"),
@@ -151,20 +151,20 @@ def _rank(tier: Column) -> Column:
     return ranks[tier]
 
 
-def _with_previous(facts: DataFrame, columns: dict[str, str], hot_rows: int) -> DataFrame:
+def _with_previous(facts: DataFrame, columns: dict[str, str], hot: Heat | int) -> DataFrame:
     """Add columns of the previous event of the subscription (new name: old name)."""
+    def previous(window):
+        return {new: F.lag(old).over(window) for new, old in columns.items()}
+
     order = ["event_timestamp", "subscription_event_id"]
-    chunked = chunk_hot(facts, "subscription_id", time_chunk("event_timestamp"), hot_rows)
-    rows = carry(chunked, "subscription_id", order, forward=True)
-    along = chunk_window("subscription_id", order, forward=True)
-    return own_rows(rows.withColumns({new: F.lag(old).over(along) for new, old in columns.items()}))
+    return along_key(facts, "subscription_id", order, previous, chunk=time_chunk("event_timestamp"), hot=hot)
 
 
-def tier_transitions(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def tier_transitions(facts: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Tier and recurring revenue before and after every subscription event."""
     previous = {"previous_plan_tier": "plan_tier", "_mrr": "mrr_amount_usd"}
     before = F.coalesce("_mrr", F.lit(0)).cast(MONEY)
-    return _with_previous(facts, previous, hot_rows).select(
+    return _with_previous(facts, previous, hot).select(
         "subscription_event_id", "subscription_id", "customer_id", "event_timestamp",
         "previous_plan_tier", F.col("plan_tier").alias("new_plan_tier"),
         before.alias("previous_mrr_usd"), F.col("mrr_amount_usd").alias("new_mrr_usd"),
@@ -186,7 +186,7 @@ def _event_type() -> Column:
     )
 
 
-def lifecycle_type(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lifecycle_type(facts: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """What each subscription event meant.
 
     No event before is a sign-up; a cancelled or expired status is churn; the next
@@ -194,36 +194,41 @@ def lifecycle_type(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     that is already cancelled counts as the sign-up it records.
     """
     previous = {"_tier": "plan_tier", "_status": "subscription_status"}
-    return _with_previous(facts, previous, hot_rows).select(
+    return _with_previous(facts, previous, hot).select(
         "subscription_event_id", "subscription_id", "event_timestamp", "subscription_status",
         F.col("plan_tier").alias("new_plan_tier"), _event_type().alias("event_type"),
     )
 
 
-def tenure_days(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def tenure_days(facts: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Days from the first event of the subscription to each event."""
     needed = facts.select("subscription_event_id", "subscription_id", "event_timestamp")
-    first = key_value(needed, "subscription_id", hot_rows, _first=F.min("event_timestamp"))
+    first = with_key_value(needed, "subscription_id", hot, _first=F.min("event_timestamp"))
     return first.select(
         "subscription_event_id", "subscription_id", "event_timestamp",
         F.datediff("event_timestamp", "_first").alias("days_active_prior"),
     )
 
 
-def fact_subscription_sk(facts: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fact_subscription_sk(
+    facts: DataFrame, dim: DataFrame, hot: Heat | int = HOT_ROWS, hot_customers: Heat | int = HOT_ROWS
+) -> DataFrame:
     """Subscription facts with customer key, transition, meaning and tenure."""
+    heat = resolve(facts, "subscription_id", hot)
     previous = {"_tier": "plan_tier", "_mrr": "mrr_amount_usd", "_status": "subscription_status"}
     before = F.coalesce("_mrr", F.lit(0)).cast(MONEY)
-    moved = _with_previous(facts, previous, hot_rows).select(
+    # Both windows are over the subscription, so they share one shuffle.
+    moved = with_key_value(
+        _with_previous(facts, previous, heat), "subscription_id", heat, _first=F.min("event_timestamp"))
+    shaped = moved.select(
         "subscription_event_id", "event_timestamp", F.col("date_key").alias("event_date_key"), "subscription_id",
         "customer_id", _event_type().alias("event_type"), F.col("_tier").alias("previous_plan_tier"),
         F.col("plan_tier").alias("new_plan_tier"), "billing_frequency", before.alias("previous_mrr_usd"),
         F.col("mrr_amount_usd").alias("new_mrr_usd"),
         (F.col("mrr_amount_usd") - before).cast(MONEY).alias("mrr_delta_usd"),
+        F.datediff("event_timestamp", "_first").alias("days_active_prior"),
     )
-    tenured = key_value(moved, "subscription_id", hot_rows, _first=F.min("event_timestamp"))
-    tenured = tenured.withColumn("days_active_prior", F.datediff("event_timestamp", "_first")).drop("_first")
-    resolved = pit_join(tenured, dim, "event_timestamp", ["customer_sk"], how="left", hot_rows=hot_rows)
+    resolved = pit_join(shaped, dim, "event_timestamp", ["customer_sk"], how="left", hot=hot_customers)
     return resolved.withColumn("customer_sk", F.coalesce("customer_sk", F.lit(UNKNOWN_SK)))
 
 
@@ -299,10 +304,10 @@ def cohort_retention(orders: DataFrame) -> DataFrame:
     )
 
 
-def mrr_movement(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def mrr_movement(facts: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Change in recurring revenue per month and kind of event."""
     previous = {"_tier": "plan_tier", "_mrr": "mrr_amount_usd", "_status": "subscription_status"}
-    moved = _with_previous(facts, previous, hot_rows)
+    moved = _with_previous(facts, previous, hot)
     delta = F.col("mrr_amount_usd") - F.coalesce("_mrr", F.lit(0)).cast(MONEY)
     return moved.groupBy(month_key("event_timestamp").alias("month"), _event_type().alias("event_type")).agg(
         F.count(F.lit(1)).alias("event_count"), F.sum(delta).cast(REVENUE).alias("mrr_delta")

@@ -13,14 +13,15 @@ nothing visible, and a repeated batch id is recognised. One writer per table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime
+import json
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import cdc
-from tidemark.operators.incremental import current_marks
+from tidemark.operators.skew import HOT_ROWS, Heat, resolve
 from tidemark.schemas import EPOCH, LONG, SOURCES, STR, TS, Source
 
 COMMITS = T.StructType([
@@ -49,6 +50,16 @@ class Outcome:
     replayed: bool = False
 
 
+@dataclass(frozen=True)
+class Head:
+    """Where a table stands: its newest commit and what it is made of."""
+
+    number: int = 0
+    parts: dict[str, list[int]] = field(default_factory=dict)
+    watermark: datetime | None = None
+    replayed: bool = False
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, name: str, schema: T.StructType, part: str):
         self.spark, self.root, self.name, self.part = spark, root.rstrip("/"), name, part
@@ -58,47 +69,59 @@ class VersionedTable:
     # -- commit log ---------------------------------------------------------
 
     def commits(self) -> DataFrame:
+        return self._commits() or self.spark.createDataFrame([], COMMITS)
+
+    def _commits(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], COMMITS)
-
-    def _newest(self, *conditions):
-        rows = self.commits()
-        for condition in conditions:
-            rows = rows.where(condition)
-        return next(iter(rows.orderBy(F.desc("commit_no")).limit(1).collect()), None)
-
-    def committed(self, batch_id: str) -> bool:
-        return self._newest(F.col("status") == "SUCCESS", F.col("batch_id") == batch_id) is not None
+            return None
+
+    def head(self, batch_id: str = "") -> Head:
+        """The newest commit, and whether ``batch_id`` is among the successful ones."""
+        commits = self._commits()
+        if commits is None:
+            return Head()
+        ok = F.col("status") == "SUCCESS"
+        row = commits.agg(
+            F.max("commit_no").alias("number"), F.max_by("parts", "commit_no").alias("parts"),
+            F.max_by("watermark", F.when(ok, F.col("commit_no"))).alias("watermark"),
+            F.count_if(ok & (F.col("batch_id") == batch_id)).alias("replays"),
+        ).first()
+        return Head() if row["number"] is None else Head(row["number"], row["parts"], row["watermark"], row["replays"] > 0)
 
     def watermark(self, default: datetime = EPOCH) -> datetime:
-        row = next(iter(current_marks(self.commits()).collect()), None)
-        return row["watermark"] if row else default
-
-    def _append_commit(self, **values) -> None:
-        values = {"source": self.name, "error_message": None, "watermark": None, **values}
-        values["committed_at"] = values.get("committed_at") or datetime.utcnow()
-        row = tuple(values[f] for f in COMMITS.fieldNames())
-        frame = self.spark.createDataFrame([row], COMMITS).coalesce(1)
-        frame.write.mode("append").parquet(f"{self.root}/commits")
-
-    def record_failure(self, batch_id: str, error: str) -> None:
+        return self.head().watermark or default
+
+    def _append_commit(
+        self, head: Head, batch_id: str, status: str, parts: dict, *, offered: int = 0, applied: int = 0,
+        watermark: datetime | None = None, error_message: str | None = None, committed_at: datetime | None = None,
+    ) -> None:
+        values = {
+            "source": self.name, "commit_no": head.number + 1, "batch_id": batch_id, "status": status,
+            "offered": offered, "applied": applied, "records": offered, "watermark": watermark,
+            "error_message": error_message,
+            "committed_at": committed_at or datetime.now(timezone.utc).replace(tzinfo=None),
+        }
+        columns = [F.lit(str(v) if isinstance(v, datetime) else v).cast(COMMITS[n].dataType).alias(n)
+                   for n, v in values.items()]
+        parts_column = F.from_json(F.lit(json.dumps(parts)), COMMITS["parts"].dataType).alias("parts")
+        row = self.spark.range(1).coalesce(1).select(*columns, parts_column)
+        row.write.mode("append").parquet(f"{self.root}/commits")
+
+    def record_failure(self, batch_id: str, error: str, committed_at: datetime | None = None) -> None:
         """A failed run changes neither the table nor its mark."""
-        last = self._newest()
+        head = self.head()
         self._append_commit(
-            commit_no=(last["commit_no"] if last else 0) + 1, batch_id=batch_id, status="FAILED",
-            offered=0, applied=0, records=0, error_message=error, parts=last["parts"] if last else {},
-        )
+            head, batch_id, "FAILED", head.parts, error_message=error, committed_at=committed_at)
 
     # -- reading ------------------------------------------------------------
 
-    def read(self, only: list[str] | None = None) -> DataFrame:
+    def read(self, only: list[str] | None = None, head: Head | None = None) -> DataFrame:
         """The table as of the newest commit, or just the partitions named."""
-        last = self._newest(F.col("status") == "SUCCESS")
-        parts = last["parts"] if last else {}
+        parts = (head or self.head()).parts
         wanted = parts if only is None else {p: parts[p] for p in only if p in parts}
         paths = [f"{self.root}/data/v={v}/{self.part}={p}" for p, versions in wanted.items() for v in versions]
         if not paths:
@@ -109,16 +132,15 @@ class VersionedTable:
     # -- writing ------------------------------------------------------------
 
     def replace(
-        self, rows: DataFrame, batch_id: str, touched: list[str] | None, *, offered: int | None = None,
-        records: int | None = None, watermark: datetime | None = None, append: bool = False,
+        self, rows: DataFrame, batch_id: str, touched: list[str] | None, *, head: Head | None = None,
+        offered: int | None = None, watermark: datetime | None = None, append: bool = False,
         changed_only: bool = False, committed_at: datetime | None = None,
     ) -> Outcome:
         """Commit ``rows`` as the new content of the ``touched`` partitions (all of
         them if None); partitions that got no rows disappear. ``append`` adds to the
         partitions instead. Partitions not touched are carried over by reference."""
-        last = self._newest()
-        number = (last["commit_no"] if last else 0) + 1
-        parts = dict(last["parts"]) if last else {}
+        head = head or self.head()
+        number, parts = head.number + 1, dict(head.parts)
         target = f"{self.root}/data/v={number}"
         # Rebalancing groups rows by partition value and splits the large groups.
         rows.hint("rebalance", self.part).write.mode("overwrite").partitionBy(self.part).parquet(target)
@@ -131,20 +153,13 @@ class VersionedTable:
         total = sum(n for _, n, _ in written)
         outcome = Outcome(batch_id, total if offered is None else offered, sum(c for _, _, c in written))
         self._append_commit(
-            commit_no=number, batch_id=batch_id, status="SUCCESS", offered=outcome.offered,
-            applied=outcome.applied, records=outcome.offered if records is None else records,
-            watermark=watermark, parts=parts, committed_at=committed_at,
-        )
+            head, batch_id, "SUCCESS", parts, offered=outcome.offered, applied=outcome.applied,
+            watermark=watermark, committed_at=committed_at)
         return outcome
 
     def _written(self, path: str, number: int | None) -> list[tuple[str, int, int]]:
         """Rows, and rows changed by this commit, per partition value: one short line each."""
-        try:
-            rows = self.spark.read.schema(self.schema).parquet(path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
+        rows = self.spark.read.schema(self.schema).parquet(path)
         changed = F.lit(True) if number is None else F.col("_commit_no") == number
         counted = rows.groupBy(self.part).agg(F.count(F.lit(1)).alias("n"), F.count_if(changed).alias("c"))
         return [tuple(r) for r in counted.collect()]
@@ -173,47 +188,46 @@ class ChangeTable(VersionedTable):
         return self.read().select(*self.source.columns)
 
     def merge(
-        self, batch: DataFrame, batch_id: str, *, watermark_from: datetime | None = None,
-        hot_rows: int = cdc.HOT_ROWS, committed_at: datetime | None = None,
+        self, batch: DataFrame, batch_id: str, *, hot: Heat | int = HOT_ROWS, head: Head | None = None,
+        committed_at: datetime | None = None,
     ) -> Outcome:
         """Apply one batch. A batch id that is already committed is left alone."""
-        if self.committed(batch_id):
+        head = head or self.head(batch_id)
+        if head.replayed:
             return Outcome(batch_id, 0, 0, replayed=True)
-        last = self._newest()
-        number = (last["commit_no"] if last else 0) + 1
         # The log is the truth: the batch is read from its source once, into the log.
         log_path = f"{self.root}/log/batch={batch_id}"
         batch.select(*self.source.columns, "arrival_seq").write.mode("overwrite").parquet(log_path)
-        log_schema = T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema])
-        logged = self.spark.read.schema(log_schema.add("arrival_seq", LONG)).parquet(log_path)
-        changes = self._bucketed(cdc.as_changes(logged).withColumn("_commit_no", F.lit(number).cast("long")))
+        logged = self.spark.read.schema(self._log_schema()).parquet(log_path)
+        number = F.lit(head.number + 1).cast("long")
+        changes = self._bucketed(cdc.as_changes(logged).withColumn("_commit_no", number))
         # One line per bucket, whatever the batch size.
         seen = changes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top")).collect()
-        offered = sum(r["n"] for r in seen)
-        tops = [r["top"] for r in seen if r["top"] is not None]
-        mark = max([*tops, watermark_from or self.watermark()])
+        mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
         touched = [r["bucket"] for r in seen]
-        stored = self.read(only=touched)
+        stored = self.read(only=touched, head=head)
         reducer = cdc.REDUCERS[self.source.name]
         if self.source.mutable:
-            both = stored.unionByName(changes.select(*stored.columns))
-            rows, append = self._bucketed(reducer(both.drop("bucket"), hot_rows)), False
+            both = stored.unionByName(changes.select(*stored.columns)).drop("bucket")
+            # Stored rows are one per key: only the batch can make a key hot.
+            heat = resolve(logged, self.source.key, hot) if self.source.name == "subscriptions" else hot
+            rows = self._bucketed(reducer(both, heat))
         else:
             # Insert-only: stored files are never rewritten, only their keys are read.
-            fresh = reducer(changes).join(stored.select(self.source.key), self.source.key, "left_anti")
-            rows, append = fresh, True
+            rows = reducer(changes).join(stored.select(self.source.key), self.source.key, "left_anti")
         return self.replace(
-            rows.select(*self.schema.fieldNames()), batch_id, touched, offered=offered, records=offered,
-            watermark=mark, append=append, changed_only=True, committed_at=committed_at,
-        )
+            rows.select(*self.schema.fieldNames()), batch_id, touched, head=head, offered=sum(r["n"] for r in seen),
+            watermark=mark, append=not self.source.mutable, changed_only=True, committed_at=committed_at)
+
+    def _log_schema(self) -> T.StructType:
+        return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", LONG)
 
     def change_log(self) -> DataFrame:
         """All committed change records, in a form the history dimension can use."""
         done = [r["batch_id"] for r in self.commits().where("status = 'SUCCESS'").select("batch_id").collect()]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", LONG)
         if not done:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/log/batch={b}" for b in done])
+            return self.spark.createDataFrame([], self._log_schema())
+        return self.spark.read.schema(self._log_schema()).parquet(*[f"{self.root}/log/batch={b}" for b in done])
 
 
 def content_signature(df: DataFrame) -> DataFrame:

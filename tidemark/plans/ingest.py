@@ -27,12 +27,13 @@ def run_source(
     """
     table = ChangeTable(spark, f"{root}/{source}", source, buckets)
     try:
-        mark = EPOCH if full_refresh else table.watermark()
+        head = table.head(run_id)
+        mark = EPOCH if full_refresh else head.watermark or EPOCH
         ts = SOURCES[source].ts
         fresh = since(changes, ts, effective_mark(mark, lookback), inclusive=bool(lookback))
-        return table.merge(stamp_batch(fresh, run_id), run_id, watermark_from=mark, committed_at=committed_at)
+        return table.merge(stamp_batch(fresh, run_id), run_id, head=head, committed_at=committed_at)
     except Exception as problem:
-        table.record_failure(run_id, str(problem))
+        table.record_failure(run_id, str(problem), committed_at)
         raise
 
 
@@ -44,7 +45,7 @@ def run_all(
     for source in inputs:
         try:
             offered[source] = run_source(spark, root, source, inputs[source], run_id, **options).offered
-        except Exception:
-            log.exception("source %s failed", source)
+        except Exception as problem:
+            log.error("source %s failed: %s", source, problem)
             offered[source] = 0
     return offered

@@ -28,17 +28,20 @@ def scan_landing(
     return since(found, ts, mark, inclusive=inclusive)
 
 
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "nullValue": "", "emptyValue": '""'}
+# Quotes inside a value are doubled, blanks are content, and NULL has its own sign.
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def scan_csv_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV extracts with strict quoting; a malformed record stops the read."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS, mode="FAILFAST").schema(schema).csv(path)
 
 
 def write_csv_landing(df: DataFrame, path: str) -> None:
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"}
-    df.write.mode("overwrite").options(**options, quoteAll=True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS, quoteAll=True).csv(path)
 
 
 def write_landing_by_day(df: DataFrame, ts: str, path: str) -> None:
