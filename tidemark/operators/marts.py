@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import date_key, micro_text, open_end
-from tidemark.operators.skew import HOT_ROWS, Heat, along_key, resolve, time_chunk
+from tidemark.operators.skew import HOT_ROWS, Heat, along_key, resolve, split_hot, time_chunk
 from tidemark.schemas import CONTRACTS, DIM_DATE, TRACKED_ATTRIBUTES
 
 CALENDAR_START, CALENDAR_END = date(2020, 1, 1), date(2030, 12, 31)
@@ -62,12 +62,26 @@ def dim_date_fiscal(days: DataFrame, first_month: int = 1) -> DataFrame:
     )
 
 
-def latest_per_instant(changes: DataFrame) -> DataFrame:
+def latest_per_instant(changes: DataFrame, heat: Heat) -> DataFrame:
     """One row per customer and time: of several changes at one instant the last to
-    arrive counts. The rank limit runs before the shuffle."""
-    instant = Window.partitionBy("customer_id", "source_updated_at").orderBy(F.desc("arrival_seq"))
-    ranked = changes.withColumn("_rank", F.row_number().over(instant))
-    return ranked.where("_rank = 1").drop("_rank", "arrival_seq")
+    arrive counts.
+
+    For ordinary customers this shares the shuffle and the sort of the windows that
+    follow; the changes of hot ones are ranked per instant, mostly before a shuffle.
+    """
+    def last(rows: DataFrame) -> DataFrame:
+        along = Window.partitionBy("customer_id").orderBy("source_updated_at", "arrival_seq")
+        later = rows.withColumn("_later", F.lead("source_updated_at").over(along))
+        return later.where(F.col("_later").isNull() | (F.col("_later") > F.col("source_updated_at"))).drop("_later")
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        instant = Window.partitionBy("customer_id", "source_updated_at").orderBy(F.desc("arrival_seq"))
+        return rows.withColumn("_rank", F.row_number().over(instant)).where("_rank = 1").drop("_rank")
+
+    if heat.keys is None:
+        return last(changes).drop("arrival_seq")
+    cold, warm = split_hot(changes, "customer_id", heat)
+    return last(cold).unionByName(ranked(warm)).drop("arrival_seq")
 
 
 def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
@@ -78,7 +92,7 @@ def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """
     heat = resolve(stg, "customer_id", hot)
     if "arrival_seq" in stg.columns:
-        stg = latest_per_instant(stg)
+        stg = latest_per_instant(stg, heat)
 
     def following(window):
         return {"_next": F.lead("source_updated_at").over(window)}
@@ -105,7 +119,7 @@ def scd2_compact(
     """
     heat = resolve(stg, "customer_id", hot)
     if "arrival_seq" in stg.columns:
-        stg = latest_per_instant(stg)
+        stg = latest_per_instant(stg, heat)
 
     def previous(window):
         return {"_before": F.lag("_watched").over(window)}

@@ -8,23 +8,22 @@ from pyspark.sql import DataFrame, functions as F
 def profile_table(df: DataFrame, name: str, key: str, ts: str) -> DataFrame:
     """Rows, key duplicates, time range and NULLs per column, as one row per column.
 
-    Duplicates come from a count per key that combines before the shuffle; all other
-    figures from a single pass. The key count carries them along, so the table is
-    read once.
+    Two reads: one of all columns that shuffles nothing but its result, and one of
+    the key column alone, whose counts combine before the shuffle.
     """
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), *nulls)
     columns = F.array(*[
         F.struct(
             F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias("null_count"))
-        for i, f in enumerate(df.schema)
+            F.count_if(F.col(f.name).isNull()).alias("null_count"))
+        for f in df.schema
     ])
-    totals = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.count("_key").alias("distinct_keys"),
-        F.min("_lo").alias("min_ts"), F.max("_hi").alias("max_ts"), columns.alias("_columns"))
-    return totals.select(
+    figures = df.agg(
+        F.count(F.lit(1)).alias("total_rows"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"),
+        columns.alias("_columns"))
+    keys = df.where(F.col(key).isNotNull()).select(key).distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))
+    both = figures.unionByName(keys, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return one.select(
         F.lit(name).alias("table_name"), "total_rows", "distinct_keys",
         (F.col("total_rows") - F.col("distinct_keys")).alias("duplicate_keys"), "min_ts", "max_ts",
         F.inline("_columns"))

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import cdc
-from tidemark.operators.skew import HOT_ROWS, Heat, resolve
+from tidemark.operators.skew import CALM, HOT_ROWS, Heat, resolve
 from tidemark.schemas import EPOCH, LONG, SOURCES, STR, TS, Source
 
 COMMITS = T.StructType([
@@ -204,19 +204,19 @@ class ChangeTable(VersionedTable):
         # One line per bucket, whatever the batch size.
         seen = changes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top")).collect()
         mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
-        touched = [r["bucket"] for r in seen]
+        touched, offered = [r["bucket"] for r in seen], sum(r["n"] for r in seen)
         stored = self.read(only=touched, head=head)
         reducer = cdc.REDUCERS[self.source.name]
         if self.source.mutable:
             both = stored.unionByName(changes.select(*stored.columns)).drop("bucket")
-            # Stored rows are one per key: only the batch can make a key hot.
-            heat = resolve(logged, self.source.key, hot) if self.source.name == "subscriptions" else hot
-            rows = self._bucketed(reducer(both, heat))
+            # Stored rows are one per key: only a large batch can make a key hot.
+            small = isinstance(hot, int) and offered <= hot
+            rows = self._bucketed(reducer(both, CALM if small else resolve(logged, self.source.key, hot)))
         else:
             # Insert-only: stored files are never rewritten, only their keys are read.
             rows = reducer(changes).join(stored.select(self.source.key), self.source.key, "left_anti")
         return self.replace(
-            rows.select(*self.schema.fieldNames()), batch_id, touched, head=head, offered=sum(r["n"] for r in seen),
+            rows.select(*self.schema.fieldNames()), batch_id, touched, head=head, offered=offered,
             watermark=mark, append=not self.source.mutable, changed_only=True, committed_at=committed_at)
 
     def _log_schema(self) -> T.StructType:

@@ -32,9 +32,10 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self.known: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        return table(self.spark, self.sf_dir, name, self.known)
 
     def stg(self, source: str) -> DataFrame:
         return staging.STAGING[source](self(f"raw_{source}"))
@@ -239,6 +240,23 @@ def run_source(t: Tables) -> DataFrame:
     return state.ChangeTable(t.spark, f"{root}/orders", "orders", BUCKETS).current()
 
 
+def change_logs(t: Tables) -> dict[str, DataFrame]:
+    return {"customers": t("customer_changes"), "orders": t("order_changes"),
+            "subscriptions": t("subscription_changes"), "events": t("event_arrivals")}
+
+
+@query
+def run_all(t: Tables) -> DataFrame:
+    """All four sources from nothing to committed state and marks."""
+    root, inputs = t.folder("all"), change_logs(t)
+    ingest.run_all(t.spark, root, inputs, "RUN-1", buckets=BUCKETS)
+    commits = [state.ChangeTable(t.spark, f"{root}/{n}", n, BUCKETS).commits() for n in inputs]
+    stored = monitoring.table_counts(
+        {n: state.ChangeTable(t.spark, f"{root}/{n}", n, BUCKETS).current() for n in inputs})
+    marks = quality.union_all(commits).select("source", "status", "offered", "applied", "watermark")
+    return marks.join(stored.withColumnRenamed("table_name", "source"), "source")
+
+
 @query
 def late_report(t: Tables) -> DataFrame:
     report = incremental.late_report(t("raw_events"), "event_timestamp", EVENTS_MARK, LOOKBACK)
@@ -312,9 +330,7 @@ def merge_into_target(t: Tables) -> DataFrame:
 
 @query
 def verify_idempotent(t: Tables) -> DataFrame:
-    root = t.folder("twice")
-    inputs = {"customers": t("customer_changes"), "orders": t("order_changes"),
-              "subscriptions": t("subscription_changes"), "events": t("event_arrivals")}
+    root, inputs = t.folder("twice"), change_logs(t)
     options = {"full_refresh": True, "buckets": BUCKETS}
     ingest.run_all(t.spark, root, inputs, "RUN-1", **options)
     targets = {n: state.ChangeTable(t.spark, f"{root}/{n}", n, BUCKETS) for n in inputs}

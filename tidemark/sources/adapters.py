@@ -9,7 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ("nation", "customer", "orders", "lineitem", "events")
+# Stated rather than inferred, which would cost a job per table to read footers.
+BASE_TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_customers": (("customer", "nation"), """
@@ -218,10 +228,17 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or one of the adapters over them. Nothing runs until an action."""
-    if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    inputs, text = ADAPTERS[name]
-    frames = {i: table(spark, sf_dir, i) for i in inputs}
-    return spark.sql(text.replace("{TS}", "TIMESTAMP_NTZ"), **frames)
+def table(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A given table, or one of the adapters over them. Nothing runs until an action.
+
+    ``known`` remembers the frames of one folder, so that each is analysed once.
+    """
+    known = {} if known is None else known
+    if name not in known:
+        if name in BASE_TABLES:
+            known[name] = spark.read.schema(BASE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            inputs, text = ADAPTERS[name]
+            frames = {i: table(spark, sf_dir, i, known) for i in inputs}
+            known[name] = spark.sql(text.replace("{TS}", "TIMESTAMP_NTZ"), **frames)
+    return known[name]
