@@ -30,7 +30,7 @@ COMMITS = T.StructType([
     T.StructField("batch_id", STR, False),
     T.StructField("status", STR, False),
     T.StructField("offered", LONG, False),
-    T.StructField("applied", LONG, False),
+    T.StructField("applied", LONG, True),
     T.StructField("records", LONG, False),
     T.StructField("watermark", TS, True),
     T.StructField("error_message", STR, True),
@@ -41,12 +41,12 @@ COMMITS = T.StructType([
 
 @dataclass(frozen=True)
 class Outcome:
-    """What a batch did: rows offered, rows that changed the table, and whether the
-    batch had been committed before."""
+    """What a batch did: rows offered, rows that changed the table (None where that is
+    left to the reader), and whether the batch had been committed before."""
 
     batch_id: str
     offered: int
-    applied: int
+    applied: int | None
     replayed: bool = False
 
 
@@ -96,7 +96,7 @@ class VersionedTable:
         return self.head().watermark or default
 
     def _append_commit(
-        self, head: Head, batch_id: str, status: str, parts: dict, *, offered: int = 0, applied: int = 0,
+        self, head: Head, batch_id: str, status: str, parts: dict, *, offered: int = 0, applied: int | None = 0,
         watermark: datetime | None = None, error_message: str | None = None, committed_at: datetime | None = None,
     ) -> None:
         values = {
@@ -132,49 +132,57 @@ class VersionedTable:
     # -- writing ------------------------------------------------------------
 
     def replace(
-        self, rows: DataFrame, batch_id: str, touched: list[str] | None, *, head: Head | None = None,
-        offered: int | None = None, watermark: datetime | None = None, append: bool = False,
-        changed_only: bool = False, committed_at: datetime | None = None,
+        self, rows: DataFrame, batch_id: str, replaced: list[str] | None, *, head: Head | None = None,
+        offered: int | None = None, watermark: datetime | None = None, count_applied: bool = True,
+        committed_at: datetime | None = None,
     ) -> Outcome:
-        """Commit ``rows`` as the new content of the ``touched`` partitions (all of
-        them if None); partitions that got no rows disappear. ``append`` adds to the
-        partitions instead. Partitions not touched are carried over by reference."""
+        """Commit ``rows``. They become the content of the ``replaced`` partitions (all
+        of them if None), which disappear if they get no rows; to other partitions
+        they are added. Files that stay are carried over by reference."""
         head = head or self.head()
         number, parts = head.number + 1, dict(head.parts)
         target = f"{self.root}/data/v={number}"
         # Rebalancing groups rows by partition value and splits the large groups.
         rows.hint("rebalance", self.part).write.mode("overwrite").partitionBy(self.part).parquet(target)
-        written = self._written(target, number if changed_only else None)
-        if not append:
-            for gone in list(parts) if touched is None else touched:
-                parts.pop(gone, None)
+        written = self._written(target, number)
+        for gone in list(parts) if replaced is None else replaced:
+            parts.pop(gone, None)
         for value, _, _ in written:
-            parts[value] = [*parts.get(value, []), number] if append else [number]
+            parts[value] = [*parts.get(value, []), number]
         total = sum(n for _, n, _ in written)
-        outcome = Outcome(batch_id, total if offered is None else offered, sum(c for _, _, c in written))
+        applied = sum(c for _, _, c in written) if count_applied else None
+        outcome = Outcome(batch_id, total if offered is None else offered, applied)
         self._append_commit(
             head, batch_id, "SUCCESS", parts, offered=outcome.offered, applied=outcome.applied,
             watermark=watermark, committed_at=committed_at)
         return outcome
 
-    def _written(self, path: str, number: int | None) -> list[tuple[str, int, int]]:
+    def _written(self, path: str, number: int) -> list[tuple[str, int, int]]:
         """Rows, and rows changed by this commit, per partition value: one short line each."""
         rows = self.spark.read.schema(self.schema).parquet(path)
-        changed = F.lit(True) if number is None else F.col("_commit_no") == number
+        changed = F.col("_commit_no") == number if "_commit_no" in self.schema.fieldNames() else F.lit(True)
         counted = rows.groupBy(self.part).agg(F.count(F.lit(1)).alias("n"), F.count_if(changed).alias("c"))
         return [tuple(r) for r in counted.collect()]
 
 
 class ChangeTable(VersionedTable):
-    """The current state of one source. Keys are hashed into ``buckets`` partitions;
-    a batch rewrites only the buckets it touches."""
-
-    def __init__(self, spark: SparkSession, root: str, source: str | Source, buckets: int = 64):
+    """The current state of one source. Keys are hashed into ``buckets`` partitions.
+
+    With ``max_deltas`` 0 a batch rewrites the buckets it touches, and its outcome
+    says how many rows it changed. With more, a bucket takes up to that many batches
+    as additions, so that a batch costs what the batch is worth and not what the
+    table is; readers reduce such buckets, and the next batch rewrites a full one.
+    Insert-only sources always add, after dropping keys that are stored already.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, source: str | Source, buckets: int = 64, max_deltas: int = 0
+    ):
         if isinstance(source, str):
             if source not in SOURCES:
                 raise ValueError(f"unknown source: {source}")
             source = SOURCES[source]
-        self.source, self.buckets = source, buckets
+        self.source, self.buckets, self.max_deltas = source, buckets, max_deltas
         schema = T.StructType(source.schema.fields + [
             T.StructField("_first_seq", LONG), T.StructField("_last_seq", LONG), T.StructField("_commit_no", LONG),
         ])
@@ -184,8 +192,15 @@ class ChangeTable(VersionedTable):
         bucket = F.pmod(F.xxhash64(self.source.key), F.lit(self.buckets)).cast("string")
         return rows.withColumn("bucket", bucket)
 
-    def current(self) -> DataFrame:
-        return self.read().select(*self.source.columns)
+    def current(self, hot: Heat | int = HOT_ROWS) -> DataFrame:
+        head = self.head()
+        grown = [b for b, versions in head.parts.items() if len(versions) > 1]
+        if not grown or not self.source.mutable:
+            return self.read(head=head).select(*self.source.columns)
+        settled = [b for b in head.parts if b not in set(grown)]
+        reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"), hot)
+        both = self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
+        return both.select(*self.source.columns)
 
     def merge(
         self, batch: DataFrame, batch_id: str, *, hot: Heat | int = HOT_ROWS, head: Head | None = None,
@@ -205,19 +220,34 @@ class ChangeTable(VersionedTable):
         seen = changes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top")).collect()
         mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
         touched, offered = [r["bucket"] for r in seen], sum(r["n"] for r in seen)
-        stored = self.read(only=touched, head=head)
-        reducer = cdc.REDUCERS[self.source.name]
+        # Only a large batch can make a key hot: stored rows are few per key.
+        heat = CALM if isinstance(hot, int) and offered <= hot else resolve(logged, self.source.key, hot)
         if self.source.mutable:
-            both = stored.unionByName(changes.select(*stored.columns)).drop("bucket")
-            # Stored rows are one per key: only a large batch can make a key hot.
-            small = isinstance(hot, int) and offered <= hot
-            rows = self._bucketed(reducer(both, CALM if small else resolve(logged, self.source.key, hot)))
+            due = [b for b in touched if len(head.parts.get(b, [])) > self.max_deltas or b not in head.parts]
+            rows = self._merged(changes, due, head, heat)
         else:
-            # Insert-only: stored files are never rewritten, only their keys are read.
-            rows = reducer(changes).join(stored.select(self.source.key), self.source.key, "left_anti")
+            # Stored files are never rewritten, only their keys are read.
+            due, stored = [], self.read(only=touched, head=head)
+            fresh = cdc.reduce_events(changes, heat)
+            rows = fresh.join(stored.select(self.source.key), self.source.key, "left_anti")
         return self.replace(
-            rows.select(*self.schema.fieldNames()), batch_id, touched, head=head, offered=offered,
-            watermark=mark, append=not self.source.mutable, changed_only=True, committed_at=committed_at)
+            rows.select(*self.schema.fieldNames()), batch_id, due, head=head, offered=offered, watermark=mark,
+            count_applied=not self.source.mutable or len(due) == len(touched), committed_at=committed_at)
+
+    def _merged(self, changes: DataFrame, due: list[str], head: Head, heat: Heat) -> DataFrame:
+        """New content of the buckets due for a rewrite, and additions to the others."""
+        reducer, is_due = cdc.REDUCERS[self.source.name], F.col("bucket").isin(due)
+        stored = self.read(only=due, head=head)
+        both = stored.unionByName(changes.where(is_due).select(*stored.columns))
+        rewritten = self._bucketed(reducer(both.drop("bucket"), heat))
+        if self.max_deltas == 0:
+            return rewritten
+        added = changes.where(~is_due)
+        if self.source.name != "subscriptions":
+            added = self._bucketed(reducer(added.drop("bucket"), heat))
+        # Which subscription changes count depends on the stored first arrival, so
+        # those are added as they are.
+        return rewritten.unionByName(added.select(*rewritten.columns))
 
     def _log_schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", LONG)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
@@ -17,17 +18,21 @@ from tidemark.schemas import EPOCH, SOURCES
 log = logging.getLogger(__name__)
 
 
+def new_run_id() -> str:
+    return f"RUN-{uuid.uuid4().hex[:8].upper()}"
+
+
 def run_source(
     spark: SparkSession, root: str, source: str, changes: DataFrame, run_id: str, *,
     lookback: timedelta | None = None, full_refresh: bool = False, buckets: int = 64,
-    committed_at: datetime | None = None,
+    max_deltas: int = 0, committed_at: datetime | None = None,
 ) -> Outcome:
     """Read what is new, stamp it, apply it and commit it with its mark.
 
     Rows and mark become visible in one commit. An error is recorded, leaves the
     mark where it was and is raised again.
     """
-    table = ChangeTable(spark, f"{root}/{source}", source, buckets)
+    table = ChangeTable(spark, f"{root}/{source}", source, buckets, max_deltas)
     try:
         head = table.head(run_id)
         mark = EPOCH if full_refresh else head.watermark or EPOCH

@@ -320,8 +320,9 @@ def reject_stale_subscriptions(t: Tables) -> DataFrame:
 
 @query
 def merge_into_target(t: Tables) -> DataFrame:
-    """Four batches in order of arrival, one of them offered twice."""
-    target = state.ChangeTable(t.spark, t.folder("merge"), "subscriptions", BUCKETS)
+    """Four batches in order of arrival, one of them offered twice. The first three
+    are a base with two additions, the last one rewrites."""
+    target = state.ChangeTable(t.spark, t.folder("merge"), "subscriptions", BUCKETS, max_deltas=2)
     changes = t("subscription_changes")
     for seq in (1, 2, 2, 3, 4):
         target.merge(changes.where(F.col("arrival_seq") == seq), f"BATCH-{seq}")
