@@ -159,5 +159,14 @@ def test_overlap(tables):
     assert quality.scd_overlap(tables.history(), HOT).count() == 0
 
 
+def test_order_projection(tables):
+    from tidemark.sources.upstream import project_orders
+
+    inputs = [tables(n) for n in ("up_orders", "up_payment_intents", "up_payment_methods", "up_addresses")]
+    plain, split = project_orders(*inputs, hot=COOL), project_orders(*inputs, hot=1)
+    assert skew.find_hot(inputs[1], "order_id", 1).keys is not None
+    assert rows(plain) == rows(split)
+
+
 def test_types_survive(uneven):
     assert uneven.schema["ts"].dataType == TS

@@ -133,3 +133,18 @@ def with_key_value(df: DataFrame, key: str, hot: Heat | int, **aggregates: Colum
     values = warm.groupBy(F.col(key).alias("_value_key")).agg(*[a.alias(n) for n, a in aggregates.items()])
     joined = warm.join(F.broadcast(values), F.col(key).eqNullSafe(F.col("_value_key"))).drop("_value_key")
     return cold.withColumns(columns).unionByName(joined)
+
+
+def left_join_many(left: DataFrame, right: DataFrame, key: str, hot: Heat | int) -> DataFrame:
+    """Left join to a side that may repeat a key very often.
+
+    An outer join cannot split the rows of one key on its optional side, an inner
+    join can. So hot keys, which all have a match, are joined inner.
+    """
+    heat = resolve(right, key, hot)
+    if heat.keys is None:
+        return left.join(right, key, "left")
+    cold_left, hot_left = split_hot(left, key, heat)
+    cold_right, hot_right = split_hot(right, key, heat)
+    joined = cold_left.join(cold_right, key, "left")
+    return joined.unionByName(hot_left.join(hot_right, key))

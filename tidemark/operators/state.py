@@ -134,7 +134,7 @@ class VersionedTable:
     def replace(
         self, rows: DataFrame, batch_id: str, replaced: list[str] | None, *, head: Head | None = None,
         offered: int | None = None, watermark: datetime | None = None, count_applied: bool = True,
-        committed_at: datetime | None = None,
+        spread: bool = True, committed_at: datetime | None = None,
     ) -> Outcome:
         """Commit ``rows``. They become the content of the ``replaced`` partitions (all
         of them if None), which disappear if they get no rows; to other partitions
@@ -143,7 +143,8 @@ class VersionedTable:
         number, parts = head.number + 1, dict(head.parts)
         target = f"{self.root}/data/v={number}"
         # Rebalancing groups rows by partition value and splits the large groups.
-        rows.hint("rebalance", self.part).write.mode("overwrite").partitionBy(self.part).parquet(target)
+        laid_out = rows.hint("rebalance", self.part) if spread else rows
+        laid_out.write.mode("overwrite").partitionBy(self.part).parquet(target)
         written = self._written(target, number)
         for gone in list(parts) if replaced is None else replaced:
             parts.pop(gone, None)
@@ -299,5 +300,6 @@ def materialize_mart(
 
     whole = VersionedTable(spark, root, name, T.StructType(list(contract.fields)), "slice")
     checked = enforce_contract(mart, contract, name)
-    whole.replace(checked.withColumn("slice", F.lit("all")), batch_id, None)
+    # There is one partition only, so rows are written where they are.
+    whole.replace(checked.withColumn("slice", F.lit("all")), batch_id, None, spread=False)
     return whole

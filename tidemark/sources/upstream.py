@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.operators.skew import HOT_ROWS, Heat, left_join_many
 from tidemark.schemas import MONEY
 
 DEFAULT_COUNTRY = "India"
@@ -29,15 +30,16 @@ def project_customers(customers: DataFrame) -> DataFrame:
 
 
 def project_orders(
-    orders: DataFrame, intents: DataFrame, methods: DataFrame, addresses: DataFrame
+    orders: DataFrame, intents: DataFrame, methods: DataFrame, addresses: DataFrame, hot: Heat | int = HOT_ROWS
 ) -> DataFrame:
     """An order with several payment intents appears once per intent; the upsert that
-    follows keeps one. Small sides are broadcast by their measured size."""
-    intent = intents.select(F.col("order_id").alias("_order"), F.col("payment_method_id").alias("_method"))
+    follows keeps one. Small sides are broadcast by their measured size; a heavy
+    method or address is on the preserved side, which adaptive execution can split."""
+    intent = intents.select("order_id", F.col("payment_method_id").alias("_method"))
     method = methods.select(F.col("payment_method_id").alias("_method"), "method_name")
     address = addresses.select(F.col("address_id").alias("_address"), F.col("country").alias("_country"))
     joined = (
-        orders.join(intent, F.col("order_id") == F.col("_order"), "left")
+        left_join_many(orders, intent.where("order_id IS NOT NULL"), "order_id", hot)
         .join(method, "_method", "left")
         .join(address, F.col("shipping_address_id") == F.col("_address"), "left")
     )
