@@ -148,5 +148,5 @@ def test_activity_follows_the_raw_status(spark, tables):
     one = tables("raw_subscriptions").limit(1).drop("status", "cancelled_at")
     status = spark.createDataFrame([("unknown",), ("active",), (None,)], "status string")
     raw = one.crossJoin(status).withColumn("cancelled_at", F.lit(None).cast("timestamp_ntz"))
-    found = {(r.subscription_status, r.is_active) for r in staging.stg_subscriptions(raw.select(*tables("raw_subscriptions").columns)).collect()}
-    assert found == {("ACTIVE", False), ("ACTIVE", True)}
+    staged = staging.stg_subscriptions(raw.select(*tables("raw_subscriptions").columns)).collect()
+    assert {(r.subscription_status, r.is_active) for r in staged} == {("ACTIVE", False), ("ACTIVE", True)}

@@ -101,7 +101,8 @@ def runtime(runs: DataFrame) -> DataFrame:
 def checks(tables: dict[str, DataFrame], baseline: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
     """The 13 checks in one shape. The runtime check grades the slowest run."""
     def shaped(df: DataFrame, pillar: str, metric: Column, value: Column) -> DataFrame:
-        return df.select(F.lit(pillar).alias("pillar"), metric.alias("metric"), value.cast("string").alias("actual_value"), "status")
+        return df.select(
+            F.lit(pillar).alias("pillar"), metric.alias("metric"), value.cast("string").alias("actual_value"), "status")
 
     dim, orders, subs = tables["dim_customer"], tables["fact_orders"], tables["fact_subscription_events"]
     slowest = runtime(runs.withColumns({

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.dates import hours_between, ntz
 from tidemark.operators.marts import CALENDAR_END, CALENDAR_START, date_spine

@@ -41,7 +41,9 @@ CALM = Heat()
 def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> Heat:
     """Count rows per key and keep the heaviest keys above the limit.
 
-    The list is short whatever the data, so it is fetched here, once; frames built
+    Best done on stored rows: on a derived frame the count computes what it derives
+    from, so callers with a chain of operators find the keys once, at its start, and
+    pass them along. The list is short whatever the data, so it is fetched here, once; frames built
     from it then agree on it and can leave out what no hot key needs.
     """
     heavy = (

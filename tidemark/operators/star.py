@@ -6,9 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.functions.dates import date_key, month_key, ntz
+from tidemark.functions.dates import month_key, ntz
 from tidemark.operators.skew import (
-    HOT_ROWS, Heat, along_key, find_hot, resolve, split_hot, time_chunk, with_key_value,
+    HOT_ROWS, Heat, along_key, resolve, split_hot, time_chunk, with_key_value,
 )
 from tidemark.schemas import INT, MONEY, TIER_RANK, UNKNOWN, UNKNOWN_SK
 
@@ -42,7 +42,7 @@ def pit_join(
     """
     known = facts.where(F.col(key).isNotNull())
     versions = _version_rows(dim, key, take)
-    heat = hot if isinstance(hot, Heat) else find_hot(known.select(key).unionByName(versions.select(key)), key, hot)
+    heat = resolve(known.select(key).unionByName(versions.select(key)), key, hot)
     # A version with no length precedes the one that replaced it.
     order = ["_at", "_side", "_version.valid_to"]
     no_version = F.lit(None).cast(versions.schema["_version"].dataType)
@@ -215,6 +215,8 @@ def fact_subscription_sk(
 ) -> DataFrame:
     """Subscription facts with customer key, transition, meaning and tenure."""
     heat = resolve(facts, "subscription_id", hot)
+    owners = facts.select("customer_id").unionByName(dim.select("customer_id"))
+    customers = resolve(owners, "customer_id", hot_customers)
     previous = {"_tier": "plan_tier", "_mrr": "mrr_amount_usd", "_status": "subscription_status"}
     before = F.coalesce("_mrr", F.lit(0)).cast(MONEY)
     # Both windows are over the subscription, so they share one shuffle.
@@ -228,7 +230,7 @@ def fact_subscription_sk(
         (F.col("mrr_amount_usd") - before).cast(MONEY).alias("mrr_delta_usd"),
         F.datediff("event_timestamp", "_first").alias("days_active_prior"),
     )
-    resolved = pit_join(shaped, dim, "event_timestamp", ["customer_sk"], how="left", hot=hot_customers)
+    resolved = pit_join(shaped, dim, "event_timestamp", ["customer_sk"], how="left", hot=customers)
     return resolved.withColumn("customer_sk", F.coalesce("customer_sk", F.lit(UNKNOWN_SK)))
 
 
@@ -257,7 +259,8 @@ MONTH = "event_month"
 def write_monthly(facts: DataFrame, ts: str, path: str) -> None:
     """Write facts in monthly directories. Rebalancing splits a heavy month over
     several tasks and keeps a light one in a single file."""
-    facts.withColumn(MONTH, month_key(ts)).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    dated = facts.withColumn(MONTH, month_key(ts)).hint("rebalance", MONTH)
+    dated.write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 
 def read_month_range(spark: SparkSession, path: str, ts: str, start: datetime, end: datetime) -> DataFrame:

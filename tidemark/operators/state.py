@@ -237,13 +237,16 @@ class ChangeTable(VersionedTable):
 
     def _merged(self, changes: DataFrame, due: list[str], head: Head, heat: Heat) -> DataFrame:
         """New content of the buckets due for a rewrite, and additions to the others."""
-        reducer, is_due = cdc.REDUCERS[self.source.name], F.col("bucket").isin(due)
-        stored = self.read(only=due, head=head)
-        both = stored.unionByName(changes.where(is_due).select(*stored.columns))
-        rewritten = self._bucketed(reducer(both.drop("bucket"), heat))
+        reducer, stored = cdc.REDUCERS[self.source.name], self.read(only=due, head=head)
+
+        def rewrite(part: DataFrame) -> DataFrame:
+            both = stored.unionByName(part.select(*stored.columns))
+            return self._bucketed(reducer(both.drop("bucket"), heat))
+
         if self.max_deltas == 0:
-            return rewritten
-        added = changes.where(~is_due)
+            return rewrite(changes)
+        is_due = F.col("bucket").isin(due)
+        rewritten, added = rewrite(changes.where(is_due)), changes.where(~is_due)
         if self.source.name != "subscriptions":
             added = self._bucketed(reducer(added.drop("bucket"), heat))
         # Which subscription changes count depends on the stored first arrival, so

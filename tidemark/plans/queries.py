@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import ntz
 from tidemark.functions.text import canonicalize
+from tidemark.operators.skew import HOT_ROWS, Heat, find_hot
 from tidemark.operators import cdc, incremental, marts, monitoring, profiling, quality, staging, star, state
 from tidemark.plans import ingest
 from tidemark.schemas import (
@@ -40,8 +41,12 @@ class Tables:
     def stg(self, source: str) -> DataFrame:
         return staging.STAGING[source](self(f"raw_{source}"))
 
-    def history(self, log: str = "customer_changes") -> DataFrame:
-        return marts.dim_customer_scd2(staging.stg_customers(self(log), "arrival_seq"))
+    def hot_customers(self, *names: str) -> Heat:
+        """Hot customers, counted on the stored column of the tables named."""
+        return find_hot(quality.union_all([self(n).select("customer_id") for n in names]), "customer_id")
+
+    def history(self, log: str = "customer_changes", hot: Heat | int = HOT_ROWS) -> DataFrame:
+        return marts.dim_customer_scd2(staging.stg_customers(self(log), "arrival_seq"), hot)
 
     def present(self) -> DataFrame:
         return marts.dim_customer_scd2(self.stg("customers"))
@@ -194,7 +199,8 @@ def stamp_batch(t: Tables) -> DataFrame:
     lost = F.when(F.col("_source_op") == "D", F.lit(None)).when(F.col("_source_op") == "I", F.lit(""))
     unnamed = t("customer_changes").withColumn(
         "_batch_id", F.when(F.col("_source_op") == "U", F.col("_batch_id")).otherwise(lost))
-    return incremental.stamp_batch(unnamed, "RUN-0A1B2C3D").select("customer_id", "arrival_seq", "_source_op", "_batch_id")
+    stamped = incremental.stamp_batch(unnamed, "RUN-0A1B2C3D")
+    return stamped.select("customer_id", "arrival_seq", "_source_op", "_batch_id")
 
 
 @query
@@ -430,7 +436,8 @@ def fact_subscription_events(t: Tables) -> DataFrame:
 @query
 def scd2_compact(t: Tables) -> DataFrame:
     compact = marts.scd2_compact(staging.stg_customers(t("customer_changes"), "arrival_seq"))
-    return compact.select("customer_id", "plan_tier", "account_status", "country_code", "valid_from", "valid_to", "is_current")
+    return compact.select(
+        "customer_id", "plan_tier", "account_status", "country_code", "valid_from", "valid_to", "is_current")
 
 
 @query
@@ -445,12 +452,15 @@ def materialize_mart(t: Tables) -> DataFrame:
 
 @query
 def pit_join(t: Tables) -> DataFrame:
-    return star.pit_join(t("pit_orders"), t.history("profile_changes"), "order_timestamp", ["customer_sk", "plan_tier"])
+    hot = t.hot_customers("pit_orders", "profile_changes")
+    dim = t.history("profile_changes", hot)
+    return star.pit_join(t("pit_orders"), dim, "order_timestamp", ["customer_sk", "plan_tier"], hot=hot)
 
 
 @query
 def revenue_by_tier_pit(t: Tables) -> DataFrame:
-    return star.revenue_by_tier_pit(t("pit_orders"), t.history("profile_changes"))
+    hot = t.hot_customers("pit_orders", "profile_changes")
+    return star.revenue_by_tier_pit(t("pit_orders"), t.history("profile_changes", hot), hot)
 
 
 @query
@@ -461,8 +471,9 @@ def revenue_by_tier_current(t: Tables) -> DataFrame:
 @query
 def unknown_member(t: Tables) -> DataFrame:
     """Every fact finds a member; revenue per tier adds up to all revenue."""
-    dim = t.history("profile_changes")
-    resolved = star.resolve_customer(t("pit_orders"), dim, "order_timestamp")
+    hot = t.hot_customers("pit_orders", "profile_changes")
+    dim = t.history("profile_changes", hot)
+    resolved = star.resolve_customer(t("pit_orders"), dim, "order_timestamp", hot)
     totals = resolved.groupBy("customer_sk").agg(
         F.count(F.lit(1)).alias("n"), F.sum("net_amount_usd").alias("spent"))
     members = star.with_unknown_member(dim).select("customer_sk", "plan_tier")
@@ -472,12 +483,14 @@ def unknown_member(t: Tables) -> DataFrame:
 
 @query
 def fact_orders_sk(t: Tables) -> DataFrame:
-    return star.fact_orders_sk(t.event_orders(), t.history("profile_changes"))
+    hot = t.hot_customers("pit_orders", "profile_changes")
+    return star.fact_orders_sk(t.event_orders(), t.history("profile_changes", hot), hot=hot)
 
 
 @query
 def fact_subscription_sk(t: Tables) -> DataFrame:
-    return star.fact_subscription_sk(t.subscriptions(), t.history("profile_changes"))
+    hot = t.hot_customers("raw_subscriptions", "profile_changes")
+    return star.fact_subscription_sk(t.subscriptions(), t.history("profile_changes", hot), hot_customers=hot)
 
 
 @query
@@ -572,9 +585,9 @@ def dq_relationships(t: Tables) -> DataFrame:
     calendar = marts.dim_date(t.spark, date(1996, 1, 1), date(2024, 1, 20))
     orders = quality.orphans(t.orders(), "date_key", calendar, "date_key")
     subs = quality.orphans(t.subscriptions(), "date_key", calendar, "date_key")
-    return orders.select(F.lit("fact_orders").alias("table_name"), F.col("order_id").alias("row_key"), "date_key").unionByName(
-        subs.select(F.lit("fact_subscription_events").alias("table_name"),
-                    F.col("subscription_event_id").alias("row_key"), "date_key"))
+    lost = (("fact_orders", orders, "order_id"), ("fact_subscription_events", subs, "subscription_event_id"))
+    return quality.union_all([
+        df.select(F.lit(name).alias("table_name"), F.col(key).alias("row_key"), "date_key") for name, df, key in lost])
 
 
 @query
@@ -587,8 +600,9 @@ def dq_dim_customer_grain(t: Tables) -> DataFrame:
 def dq_scd_overlap(t: Tables) -> DataFrame:
     stretched = F.when(F.col("is_current") | (F.col("plan_tier") == "FREE"), F.col("valid_to")).otherwise(
         F.col("valid_to") + F.expr("interval 1 day"))
-    moved = t.history().where(F.year("valid_to") < 9999).withColumn("valid_to", stretched)
-    return quality.scd_overlap(moved)
+    hot = t.hot_customers("customer_changes")
+    moved = t.history(hot=hot).where(F.year("valid_to") < 9999).withColumn("valid_to", stretched)
+    return quality.scd_overlap(moved, hot)
 
 
 @query
@@ -638,7 +652,8 @@ def dq_sub_grain(t: Tables) -> DataFrame:
 def dq_check_constraints(t: Tables) -> DataFrame:
     """Every constraint meets rows that break it."""
     history = t.history()
-    empty = history.withColumn("valid_to", F.when(F.col("plan_tier") == "FREE", F.col("valid_from")).otherwise(F.col("valid_to")))
+    is_free = F.col("plan_tier") == "FREE"
+    empty = history.withColumn("valid_to", F.when(is_free, F.col("valid_from")).otherwise(F.col("valid_to")))
     days = marts.describe_days(marts.distinct_days(t("raw_orders"), "order_timestamp"))
     days = days.withColumns({
         "quarter": F.when(F.col("is_weekend"), F.lit(5)).otherwise(F.col("quarter")),
@@ -648,7 +663,8 @@ def dq_check_constraints(t: Tables) -> DataFrame:
     orders = t.orders().withColumn("gross_amount_usd", gross)
     moves = star.tier_transitions(t.subscriptions()).withColumn(
         "event_type", F.when(F.col("new_plan_tier") == "FREE", "GIFT").when(F.col("new_plan_tier") == "PRO", "RENEWAL"))
-    moves = moves.withColumn("mrr_delta_usd", F.col("mrr_delta_usd") + F.when(F.col("previous_plan_tier").isNull(), 1).otherwise(0))
+    off_by = F.when(F.col("previous_plan_tier").isNull(), 1).otherwise(0)
+    moves = moves.withColumn("mrr_delta_usd", F.col("mrr_delta_usd") + off_by)
     return quality.check_constraints({
         "dim_customer": empty, "dim_date": days, "fact_orders": orders, "fact_subscription_events": moves})
 
@@ -677,7 +693,7 @@ def source_freshness(t: Tables) -> DataFrame:
 
 @query
 def dq_suite(t: Tables) -> DataFrame:
-    return quality.dq_suite(t.all_tables())
+    return quality.dq_suite(t.all_tables(), t.hot_customers("raw_customers"))
 
 
 # -- monitoring and profiling -----------------------------------------------

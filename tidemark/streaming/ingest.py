@@ -20,7 +20,7 @@ def read_changes(spark: SparkSession, path: str, source: str, files_per_batch: i
 
 
 def stream_upsert(changes: DataFrame, table: ChangeTable, checkpoint: str, name: str = "stream") -> None:
-    """Apply what is available, batch by batch, and stop.
+    """Apply what is available, batch by batch, and stop. Works for every source.
 
     A micro-batch may be delivered again after a failure; its id is then already
     committed in the table, which leaves it alone.
