@@ -12,7 +12,7 @@ from tidemark.functions.dates import ntz
 from tidemark.functions.text import canonicalize
 from tidemark.operators.skew import HOT_ROWS, Heat, find_hot
 from tidemark.operators import cdc, incremental, marts, monitoring, profiling, quality, staging, star, state
-from tidemark.plans import ingest
+from tidemark.plans import ingest, warehouse as build
 from tidemark.schemas import (
     ACCOUNT_STATUSES, CONTRACTS, EPOCH, LONG, ORDER_STATUSES, PLAN_TIERS, SOURCES, SUBSCRIPTION_STATUSES,
 )
@@ -447,6 +447,21 @@ def materialize_mart(t: Tables) -> DataFrame:
     return built.read().drop("slice")
 
 
+@query
+def build_marts(t: Tables) -> DataFrame:
+    """The four marts, stored, and what is in them."""
+    raw = {s: t(f"raw_{s}") for s in SOURCES}
+    built = build.build_marts(t.spark, t.folder("marts"), raw, "BUILD-1", t("customer_changes"))
+    stored = build.warehouse(built, raw)
+    days = {"dim_date": "date_key", "dim_customer": "int(date_format(valid_from, 'yyyyMMdd'))",
+            "fact_orders": "date_key", "fact_subscription_events": "date_key"}
+    return quality.union_all([
+        stored[mart].selectExpr(f"{day} AS date_key").groupBy("date_key")
+        .agg(F.count(F.lit(1)).alias("row_count")).withColumn("mart", F.lit(mart))
+        for mart, day in days.items()
+    ])
+
+
 # -- star schema ------------------------------------------------------------
 
 
