@@ -73,4 +73,4 @@ def test_odd_rows(spark):
     out = bpe.encoded(df).collect()
     assert sorted((r.doc_id or 0, r.n_tokens, bytes(r.decoded)) for r in out) == [
         (0, 0, b""), (1, 0, b""), (1, 2, b"a b"), (1, 2, b"a b")]
-    assert bpe.digests(df.where("false")).count() == 0
+    assert bpe.encoded(df.where("false")).count() == 0

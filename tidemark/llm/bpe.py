@@ -17,14 +17,13 @@ from __future__ import annotations
 
 import base64
 import functools
-import hashlib
 import heapq
 import json
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import CACHE_WORDS, pick, slices, table, texts
 
@@ -228,48 +227,36 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encoded(docs: DataFrame, text: str = "text", keep: dict[str, str] | None = None, *,
-            path: str | None = None, decode: bool = True) -> DataFrame:
-    """Per row the kept columns, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit
-    integers) and ``decoded`` (UTF-8, made from the ids). One pass, no shuffle."""
-    keep = keep or {"doc_id": "doc_id"}
-    frame = pick(docs, **keep, _text=text)
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1]]
-    return frame.mapInArrow(
-        _Encode(list(keep), path or vocabulary_path(), decode, False), ", ".join([*kept, "n_tokens long, ids binary, decoded binary"]))
-
-
-def digests(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, path: str | None = None) -> DataFrame:
-    """As ``encoded``, but hashes of ids and decoded text in place of them, taken
-    where they are made, so that neither leaves its task."""
+def encoded(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, path: str | None = None) -> DataFrame:
+    """Per row its id, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit integers)
+    and ``decoded`` (UTF-8, made from the ids). One pass, no shuffle."""
     frame = pick(docs, doc_id=id_col, _text=text)
     kind = frame.schema["doc_id"].dataType.simpleString()
     return frame.mapInArrow(
-        _Encode(["doc_id"], path or vocabulary_path(), True, True),
-        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        _Encode(path or vocabulary_path()), f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
 
 class _Encode:
-    def __init__(self, keep: list[str], path: str, decode: bool, hashed: bool):
-        self.keep, self.path, self.decode, self.hashed = keep, path, decode, hashed
+    def __init__(self, path: str):
+        self.path = path
 
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         own = codec(self.path)
-        sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in slices(batches, "_text"):
-            counts, ids, decoded = [], [], []
-            for made in own.encode_all([t.decode() for t in texts(batch, "_text")]):
-                back = own.decode(made).encode() if self.decode else None
-                counts.append(len(made) // 4)
-                ids.append(sha(made) if self.hashed else made)
-                decoded.append(sha(back) if self.hashed else back)
-            kind, names = (pa.string(), ("ids_sha256", "decoded_sha256")) if self.hashed else (pa.binary(), ("ids", "decoded"))
+            ids = own.encode_all([t.decode() for t in texts(batch, "_text")])
+            decoded = [own.decode(made).encode() for made in ids]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in self.keep), pa.array(counts, pa.int64()), pa.array(ids, kind), pa.array(decoded, kind)],
-                names=[*self.keep, "n_tokens", *names])
+                [batch.column("doc_id"), pa.array([len(made) // 4 for made in ids], pa.int64()),
+                 pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
+                names=["doc_id", "n_tokens", "ids", "decoded"])
+
+
+def digest(coded: DataFrame) -> DataFrame:
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents"))
+    return digest(encoded(table(spark, sf_dir, "documents")))

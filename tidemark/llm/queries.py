@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, packing, wordpiece
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packing": packing.op3_packing,
         "op4_bpe": bpe.op4_bpe,
+        "op9_token_counts": wordpiece.op9_token_counts,
     }
 
 
