@@ -10,7 +10,7 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.session import new_folder
 
@@ -22,18 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def column(df: DataFrame, name: str) -> Column:
-    """A column by its exact name, also where others differ from it in case only."""
-    if name not in df.columns:
-        raise ValueError(f"no column {name!r} among {df.columns}")
-    same = [c for c in df.columns if c.lower() == name.lower()]
-    if len(same) == 1:
-        return df[f"`{name}`"]
-    if df.columns.count(name) > 1:
-        raise ValueError(f"column {name!r} occurs more than once")
-    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])[f"_c{df.columns.index(name)}"]
-
-
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns only, under the given names."""
     at = {c: i for i, c in reversed(list(enumerate(df.columns)))}
@@ -44,6 +32,16 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*[F.col(f"_c{at[c]}").alias(name) for name, c in columns.items()])
 
 
+def only_rows(df: DataFrame, name: str, keep) -> DataFrame:
+    """The rows that ``keep`` leaves, with all their columns as they came. ``keep`` takes
+    and gives Arrow batches, in which the named column is called ``_text``."""
+    if name not in df.columns:
+        raise ValueError(f"no column {name!r} among {df.columns}")
+    at = df.columns.index(name)
+    plain = df.toDF(*["_text" if i == at else f"_c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*df.columns)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a step to the shared folder and read it again: later steps start from
     files, so a lost executor costs no earlier step, and a row keeps its place."""

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import CACHE_WORDS, pick, shuffle_width, slices, stored, table, texts
+from tidemark.llm.common import CACHE_WORDS, only_rows, pick, shuffle_width, slices, stored, table, texts
 from tidemark.llm.wordpiece import MARK, vocabulary, vocabulary_path
 
 SAMPLE = 2000
@@ -242,20 +242,20 @@ class Scorer:
 class _Predict:
     """Adds prediction and score, or keeps the rows that reach a least score."""
 
-    def __init__(self, model: Model | None, text: str, least: float | None = None):
-        self.model, self.text, self.least = model, text, least
+    def __init__(self, model: Model | None, least: float | None = None):
+        self.model, self.least = model, least
 
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         scorer = Scorer(self.model)
-        for batch in slices(batches, self.text):
-            nulls = batch.column(self.text).is_null().to_pylist()
-            found = scorer([None if none else t.decode() for none, t in zip(nulls, texts(batch, self.text))])
+        for batch in slices(batches, "_text", 4 << 20):
+            nulls = batch.column("_text").is_null().to_pylist()
+            found = scorer([None if none else t.decode() for none, t in zip(nulls, texts(batch, "_text"))])
             if self.least is not None:
                 yield batch.filter(pa.array([lang != UNDECIDED and score >= self.least for lang, score in found], pa.bool_()))
                 continue
-            columns = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != self.text}
+            columns = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != "_text"}
             langs, scores = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [*columns.values(), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -273,12 +273,12 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text", id_col:
     frame = pick(docs, doc_id=id_col, _text=text).withColumn("held_out", held_out("doc_id"))
     kind = frame.schema["doc_id"].dataType.simpleString()
     return frame.select("doc_id", "held_out", "_text").mapInArrow(
-        _Predict(model, "_text"), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+        _Predict(model), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def only_identified(docs: DataFrame, model: Model | None, least: float, text: str = "text") -> DataFrame:
     """The rows whose language is found with at least this score, as they came."""
-    return docs.mapInArrow(_Predict(model, text, least), docs.schema)
+    return only_rows(docs, text, _Predict(model, least))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

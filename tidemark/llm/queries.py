@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, wordpiece
+from tidemark.llm import bpe, language, packing, quality, wordpiece
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_packing": packing.op3_packing,
         "op4_bpe": bpe.op4_bpe,
+        "op5_quality": quality.op5_quality,
+        "op6_language": language.op6_language,
         "op9_token_counts": wordpiece.op9_token_counts,
     }
 
