@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.session import new_folder
 
-WHITE = rb" \t\n\x0b\x0c\r"  # bytes.split() and bytes.strip() use just these
+WHITE = b" \t\n\x0b\x0c\r"  # bytes.split() and bytes.strip() use just these
 CACHE_WORDS = 500_000  # entries of a word cache; a full one starts again
 
 

@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, packing, quality, wordpiece
+from tidemark.llm import bpe, chat, jaccard, language, packing, passages, quality, sharding, wordpiece
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sharding": sharding.op1_sharding,
+        "op2_chat": chat.op2_chat,
         "op3_packing": packing.op3_packing,
         "op4_bpe": bpe.op4_bpe,
         "op5_quality": quality.op5_quality,
         "op6_language": language.op6_language,
+        "op7_passages": passages.op7_passages,
         "op9_token_counts": wordpiece.op9_token_counts,
+        "op10_near_copies": jaccard.op10_near_copies,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat": chat.OP2_SQL}
