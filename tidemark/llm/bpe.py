@@ -71,7 +71,6 @@ class Codec:
         self.rank_of = dict(zip(keys.tolist(), range(len(pairs))))
         self.split = regex.compile(PATTERN).findall
         self.apart = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
-        self.uneven = regex.compile(r"\p{White_Space} | \p{White_Space}").search
         self.words: dict[str, bytes] = {}  # word: ids
         self.spaced: dict[str, bytes] = {}  # what stands between two spaces: ids, with the space before it
 
@@ -165,17 +164,16 @@ class Codec:
             offer(i)
         return array("I", [p for p in parts if p >= 0]).tobytes()
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the words that these texts add to the caches."""
-        new = set()
-        for text in texts:
-            new.update(text.split(" "))
+    def _learn_spaced(self, texts: list[list[str]]) -> None:
+        """Encode what these texts, split at spaces, add to the cache. Only what neither
+        is empty nor begins or ends with white space: after a space that follows such a
+        part, a word begins, and it is split alike whatever came before it."""
         if len(self.spaced) > CACHE_WORDS:
             self.spaced.clear()
-        new.difference_update(self.spaced)
-        new = [w for w in new if w and len(w) <= SHORT]
+        new = set().union(*texts).difference(self.spaced)
+        new = [w for w in new if w and len(w) <= SHORT and not (w[0].isspace() or w[-1].isspace())]
         split = [self.split(" " + w) for w in new]
-        self._learn_words({w for ws in split for w in ws})
+        self._learn_words(set().union(*split))
         get = self.words.__getitem__
         self.spaced.update(zip(new, [b"".join(map(get, ws)) for ws in split]))
 
@@ -187,24 +185,27 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self.apart and any(s in text for s in self.special):
-            return b"".join(
-                array("I", [self.special[part]]).tobytes() if part in self.special else self._plain(part)
-                for part in self.apart(text) if part)
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        # A space between two characters that are none starts a word of its own, and what
-        # follows is split alike whatever came before it.
-        if not self.uneven(text):
-            first, *rest = text.split(" ")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        spaced = [t.split(" ") for t in texts]
+        self._learn_spaced(spaced)
+        get, out = self.spaced.__getitem__, []
+        for text, (first, *rest) in zip(texts, spaced):
+            if self.apart and any(s in text for s in self.special):
+                out.append(b"".join(
+                    array("I", [self.special[part]]).tobytes() if part in self.special else self._words_of(part)
+                    for part in self.apart(text) if part))
+                continue
             try:
-                return self._split_plain(first) + b"".join(map(self.spaced.__getitem__, rest))
-            except KeyError:
-                pass
-        return self._split_plain(text)
+                # The first part has no space before it, so it is split by itself.
+                get(first)
+                out.append(b"".join([self._words_of(first), *map(get, rest)]))
+            except KeyError:  # white space beside a space, or a long word
+                out.append(self._words_of(text))
+        return out
 
-    def _split_plain(self, text: str) -> bytes:
+    def _words_of(self, text: str) -> bytes:
         words = self.split(text)
         try:
             return b"".join(map(self.words.__getitem__, words))
@@ -212,10 +213,6 @@ class Codec:
             self._learn_words(set(words))
             return b"".join(map(self.words.__getitem__, words))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        self.learn(texts)
-        return [self.encode(t) for t in texts]
-
     def decode(self, ids: bytes) -> str:
         pieces = b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I").tolist()))
         return pieces.decode("utf-8", "replace")
@@ -244,7 +241,7 @@ class _Encode:
         import pyarrow as pa
 
         own = codec(self.path)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", 4 << 20):
             ids = own.encode_all([t.decode() for t in texts(batch, "_text")])
             decoded = [own.decode(made).encode() for made in ids]
             yield pa.RecordBatch.from_arrays(
