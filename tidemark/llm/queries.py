@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, jaccard, language, packing, passages, quality, sharding, wordpiece
+from tidemark.llm import bpe, chat, jaccard, language, packing, passages, quality, sharding, vectors, wordpiece
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": quality.op5_quality,
         "op6_language": language.op6_language,
         "op7_passages": passages.op7_passages,
+        "op8_vectors": vectors.op8_vectors,
         "op9_token_counts": wordpiece.op9_token_counts,
         "op10_near_copies": jaccard.op10_near_copies,
     }
