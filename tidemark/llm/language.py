@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -152,6 +153,7 @@ class Model:
 
     def __init__(self, langs: list[str], counts: np.ndarray, path: str):
         self.langs, self.path = langs, path
+        self.token = uuid.uuid4().hex
         smooth = counts + PRIOR
         self.weights = smooth / smooth.sum(0) * lattice(path).scale[:, None]
 
@@ -239,6 +241,18 @@ class Scorer:
         return out
 
 
+_scorer: dict[str, Scorer] = {}
+
+
+def scorer_of(model: Model | None) -> Scorer:
+    """The scorer of this worker process, so that a task finds the words of the last."""
+    token = model.token if model else ""
+    if token not in _scorer:
+        _scorer.clear()
+        _scorer[token] = Scorer(model)
+    return _scorer[token]
+
+
 class _Predict:
     """Adds prediction and score, or keeps the rows that reach a least score."""
 
@@ -248,7 +262,7 @@ class _Predict:
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        scorer = Scorer(self.model)
+        scorer = scorer_of(self.model)
         for batch in slices(batches, "_text", 4 << 20):
             nulls = batch.column("_text").is_null().to_pylist()
             found = scorer([None if none else t.decode() for none, t in zip(nulls, texts(batch, "_text"))])
