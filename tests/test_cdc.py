@@ -117,7 +117,7 @@ def test_scenario_insert_update_stale_delete(spark, tmp_path):
     steps = [(0, "FREE", "ACTIVE", "I", False), (2, "ENTERPRISE", "ACTIVE", "U", False),
              (1, "STARTER", "ACTIVE", "U", False), (5, "ENTERPRISE", "CHURNED", "D", True)]
     expected = ["FREE", "ENTERPRISE", "ENTERPRISE", "ENTERPRISE"]
-    table, schema = ChangeTable(spark, str(tmp_path), "customers", 2), SOURCES["customers"].schema
+    table, schema = ChangeTable(spark, str(tmp_path), "customers", 2, max_deltas=0), SOURCES["customers"].schema
     for seq, ((hours, tier, status, op, gone), tier_after) in enumerate(zip(steps, expected)):
         record = ("CUST-1", "A", "B", "a@b.c", "US", tier, status, "web", t0 + timedelta(hours=hours), op, gone, f"B{seq}")
         batch = spark.createDataFrame([record], schema).withColumn("arrival_seq", F.lit(seq).cast("long"))

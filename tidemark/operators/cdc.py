@@ -21,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.operators.skew import (
-    CHUNK_SEQUENCE, HOT_ROWS, Heat, along_key, resolve, sequence_chunk, split_hot, with_key_value,
+    HOT_ROWS, Heat, along_key, resolve, split_hot, with_key_value,
 )
 from tidemark.schemas import SOURCES, Source
 
-SEQ = ("_first_seq", "_last_seq")
+LATEST = ("_last_seq", "_commit_no", "_ingested_at")  # follow the last change applied
 
 
 def as_changes(log: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def reduce_customers(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
 
 def reduce_orders(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     s = SOURCES["orders"]
-    fixed = [c for c in rows.columns if c not in (*s.mutable, s.key, "_last_seq", "_commit_no")]
+    fixed = [c for c in rows.columns if c not in (*s.mutable, s.key, *LATEST)]
     moving = [c for c in rows.columns if c not in (*fixed, s.key)]
     reduced = rows.groupBy(s.key).agg(
         F.min_by(F.struct(*fixed), "_first_seq").alias("_first"),
@@ -61,7 +61,7 @@ def reduce_orders(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
 
 def reduce_subscriptions(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     s = SOURCES["subscriptions"]
-    moving = [c for c in rows.columns if c in (*s.mutable, "_last_seq", "_commit_no")]
+    moving = [c for c in rows.columns if c in (*s.mutable, *LATEST)]
     fixed = [c for c in rows.columns if c not in (*moving, s.key)]
 
     def reduce(guarded: DataFrame) -> DataFrame:
@@ -78,10 +78,10 @@ def reduce_subscriptions(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFra
     if heat.keys is None:
         # The guard and the reduction share one shuffle.
         return reduce(rows.withColumn("_guard", guard))
-    # The few guards of hot keys are broadcast, and their rows combine where they lie.
+    # The few guards of hot keys are joined back, and their rows combine where they lie.
     cold, warm = split_hot(rows, s.key, heat)
     guards = warm.groupBy(F.col(s.key).alias("_guard_key")).agg(first.alias("_guard"))
-    guarded = warm.join(F.broadcast(guards), F.col(s.key).eqNullSafe(F.col("_guard_key"))).drop("_guard_key")
+    guarded = warm.join(guards, F.col(s.key).eqNullSafe(F.col("_guard_key"))).drop("_guard_key")
     return reduce(cold.withColumn("_guard", guard)).unionByName(reduce(guarded))
 
 
@@ -127,18 +127,19 @@ def tombstones(state: DataFrame) -> DataFrame:
 
 
 def reject_stale(
-    log: DataFrame, key: str, ts: str, hot: Heat | int = HOT_ROWS, chunk_size: int = CHUNK_SEQUENCE
+    log: DataFrame, key: str, ts: str, hot: Heat | int = HOT_ROWS
 ) -> DataFrame:
     """Records the guard ignored: older than what was stored when they arrived.
 
     For sources whose stored time moves, that is the greatest time among all earlier
     arrivals of the key, so a chunk needs the newest record of all earlier chunks.
+    Records that arrive together count from the oldest to the newest.
     """
     def stored(window):
         return {"stored_at": F.max(ts).over(window.rowsBetween(Window.unboundedPreceding, -1))}
 
     judged = along_key(
-        log, key, ["arrival_seq"], stored, chunk=sequence_chunk("arrival_seq", chunk_size), hot=hot,
+        log, key, ["arrival_seq", ts], stored, hot=hot,
         rank=[ts, "arrival_seq"])
     return judged.where(F.col(ts) < F.col("stored_at"))
 

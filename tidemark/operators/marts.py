@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import date_key, micro_text, open_end
-from tidemark.operators.skew import HOT_ROWS, Heat, along_key, resolve, split_hot, time_chunk
+from tidemark.operators.skew import HOT_ROWS, Heat, along_key, resolve, split_hot
 from tidemark.schemas import CONTRACTS, DIM_DATE, TRACKED_ATTRIBUTES
 
 CALENDAR_START, CALENDAR_END = date(2020, 1, 1), date(2030, 12, 31)
@@ -71,8 +71,10 @@ def latest_per_instant(changes: DataFrame, heat: Heat) -> DataFrame:
     """
     def last(rows: DataFrame) -> DataFrame:
         along = Window.partitionBy("customer_id").orderBy("source_updated_at", "arrival_seq")
-        later = rows.withColumn("_later", F.lead("source_updated_at").over(along))
-        return later.where(F.col("_later").isNull() | (F.col("_later") > F.col("source_updated_at"))).drop("_later")
+        # A NULL time is an instant like others, so what follows is told apart from its time.
+        later = rows.withColumn("_later", F.lead(F.struct("source_updated_at")).over(along))
+        same = F.col("_later").isNotNull() & F.col("_later.source_updated_at").eqNullSafe(F.col("source_updated_at"))
+        return later.where(~same).drop("_later")
 
     def ranked(rows: DataFrame) -> DataFrame:
         instant = Window.partitionBy("customer_id", "source_updated_at").orderBy(F.desc("arrival_seq"))
@@ -98,7 +100,7 @@ def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
         return {"_next": F.lead("source_updated_at").over(window)}
 
     versions = along_key(
-        stg, "customer_id", ["source_updated_at"], following, chunk=time_chunk("source_updated_at"), hot=heat,
+        stg, "customer_id", ["source_updated_at"], following, hot=heat,
         forward=False)
     return versions.select(
         F.md5(F.concat("customer_id", F.lit("|"), micro_text("source_updated_at"))).alias("customer_sk"),
@@ -126,7 +128,7 @@ def scd2_compact(
 
     watched = stg.withColumn("_watched", F.struct(*tracked, "is_deleted"))
     marked = along_key(
-        watched, "customer_id", ["source_updated_at"], previous, chunk=time_chunk("source_updated_at"), hot=heat)
+        watched, "customer_id", ["source_updated_at"], previous, hot=heat)
     changed = marked.where(~F.col("_watched").eqNullSafe(F.col("_before"))).drop("_watched", "_before")
     return dim_customer_scd2(changed, heat)
 

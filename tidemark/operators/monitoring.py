@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import hours_between
@@ -23,6 +25,19 @@ def _graded(value: Column, good: float, fair: float) -> Column:
     return F.when(value <= good, "PASS").when(value <= fair, "WARN").otherwise("FAIL")
 
 
+def _age_status(age: Column) -> Column:
+    return F.when(age.isNull(), "FAIL").otherwise(_graded(age, FRESH_PASS_HOURS, FRESH_WARN_HOURS))
+
+
+def _variance(actual: Column) -> Column:
+    """Percent above or below the baseline; NULL where there is nothing to compare with."""
+    return (actual - F.col("baseline")) * 100.0 / F.nullif(F.col("baseline"), F.lit(0))
+
+
+def _volume_status(percent: Column) -> Column:
+    return F.when(percent.isNull(), "FAIL").otherwise(_graded(F.abs(percent), VOLUME_PASS_PERCENT, VOLUME_WARN_PERCENT))
+
+
 def freshness(events: DataFrame, orders: DataFrame, now: Column) -> DataFrame:
     """Age of the newest event at the logical time ``now``, with the newest order date."""
     newest = events.agg(F.max("event_timestamp").alias("max_event_ts"), F.max(now).alias("_now"))
@@ -31,7 +46,7 @@ def freshness(events: DataFrame, orders: DataFrame, now: Column) -> DataFrame:
     both = newest.unionByName(ordered, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns]).select(
         "max_event_ts", "max_order_date", F.round(age, 2).alias("age_hours"),
-        F.when(age.isNull(), "FAIL").otherwise(_graded(age, FRESH_PASS_HOURS, FRESH_WARN_HOURS)).alias("status"))
+        _age_status(age).alias("status"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -58,12 +73,10 @@ def volume(tables: dict[str, DataFrame], baseline: DataFrame) -> DataFrame:
     source = F.create_map(*[F.lit(x) for pair in BASELINE_OF.items() for x in pair])
     counts = counts.withColumn("_source", F.coalesce(source[F.col("table_name")], F.col("table_name")))
     expected = baseline.select(F.col("table_name").alias("_source"), "baseline")
-    percent = (F.col("row_count") - F.col("baseline")) * 100.0 / F.nullif(F.col("baseline"), F.lit(0))
+    percent = _variance(F.col("row_count"))
     return counts.join(expected, "_source", "left").select(
         "table_name", F.col("row_count").alias("actual"), "baseline",
-        F.round(percent, 2).alias("variance_percent"),
-        F.when(percent.isNull(), "FAIL")
-        .otherwise(_graded(F.abs(percent), VOLUME_PASS_PERCENT, VOLUME_WARN_PERCENT)).alias("status"))
+        F.round(percent, 2).alias("variance_percent"), _volume_status(percent).alias("status"))
 
 
 def key_nulls(dim: DataFrame, orders: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -98,25 +111,67 @@ def runtime(runs: DataFrame) -> DataFrame:
         .otherwise("FAIL").alias("status"))
 
 
+#: What each pillar is held against, for the report.
+THRESHOLDS = (
+    ("Freshness", f"{FRESH_PASS_HOURS} h, {FRESH_WARN_HOURS} h"),
+    ("Volume", f"{VOLUME_PASS_PERCENT} %, {VOLUME_WARN_PERCENT} %"),
+    ("Correctness", "0"),
+    ("Runtime", f"{RUNTIME_PASS_SECONDS} s, {RUNTIME_WARN_SECONDS} s"),
+)
+EXPLANATIONS = (("PASS", "within the first threshold"), ("WARN", "between the thresholds"), ("FAIL", "beyond the last threshold"))
+REQUIRED_KEYS = (
+    ("dim_customer", ("customer_id",)),
+    ("fact_orders", ("order_id", "customer_id")),
+    ("fact_subscription_events", ("subscription_id",)),
+)
+
+
+def _measured(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, rows without a required key and newest event of each table: one aggregate
+    per table, so every table is read once."""
+    required, sides = dict(REQUIRED_KEYS), []
+    for name in MONITORED:
+        if name in tables:
+            absent = [F.col(c).isNull() for c in required.get(name, ())]
+            nulls = F.count_if(reduce(Column.__or__, absent)) if absent else F.lit(None).cast("long")
+            newest = F.max("event_timestamp") if name == "raw_events" else F.lit(None).cast("timestamp_ntz")
+            sides.append(tables[name].agg(
+                F.count(F.lit(1)).alias("actual"), nulls.alias("null_keys"), newest.alias("newest")
+            ).withColumn("table_name", F.lit(name)))
+    return union_all(sides)
+
+
 def checks(tables: dict[str, DataFrame], baseline: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
     """The 13 checks in one shape. The runtime check grades the slowest run."""
-    def shaped(df: DataFrame, pillar: str, metric: Column, value: Column) -> DataFrame:
-        return df.select(
-            F.lit(pillar).alias("pillar"), metric.alias("metric"), value.cast("string").alias("actual_value"), "status")
+    def check(pillar: str, metric: Column, value: Column, status: Column) -> Column:
+        return F.struct(
+            F.lit(pillar).alias("pillar"), metric.alias("metric"), value.cast("string").alias("actual_value"),
+            status.alias("status"))
 
-    dim, orders, subs = tables["dim_customer"], tables["fact_orders"], tables["fact_subscription_events"]
+    source = F.create_map(*[F.lit(x) for pair in BASELINE_OF.items() for x in pair])
+    expected = baseline.select(F.col("table_name").alias("_source"), "baseline")
+    found = _measured(tables).withColumn("_source", F.coalesce(source[F.col("table_name")], F.col("table_name")))
+    found = found.join(expected, "_source", "left")
+    percent, age = _variance(F.col("actual")), hours_between(now, F.col("newest"))
+    none = F.lit(None)
+    rows = found.select(F.explode(F.array(
+        check("Volume", F.col("table_name"), F.col("actual"), _volume_status(percent)),
+        F.when(F.col("null_keys").isNotNull(), check(
+            "Correctness", F.concat("table_name", F.lit("_key_nulls")), F.col("null_keys"),
+            F.when(F.col("null_keys") == 0, "PASS").otherwise("FAIL"))).otherwise(none),
+        F.when(F.col("table_name") == "raw_events", check(
+            "Freshness", F.lit("event_age_hours"), F.floor(F.round(age, 2)).cast("long"), _age_status(age))).otherwise(none),
+    )).alias("c")).where("c is not null").select("c.*")
+    duplicates = duplicate_sk(tables["dim_customer"]).select(check(
+        "Correctness", F.lit("dim_customer_duplicate_keys"), F.col("duplicate_keys"), F.col("status")).alias("c")).select("c.*")
     slowest = runtime(runs.withColumns({
         "_s": F.col("finished_at") - F.col("started_at")}).agg(
             F.max_by(F.struct("run_id", "started_at", "finished_at"), "_s").alias("r")).select("r.*"))
-    return union_all([
-        shaped(freshness(tables["raw_events"], orders, now), "Freshness", F.lit("event_age_hours"),
-               F.floor("age_hours").cast("long")),
-        shaped(volume(tables, baseline), "Volume", F.col("table_name"), F.col("actual")),
-        shaped(key_nulls(dim, orders, subs), "Correctness", F.concat(F.col("table_name"), F.lit("_key_nulls")),
-               F.col("null_keys")),
-        shaped(duplicate_sk(dim), "Correctness", F.lit("dim_customer_duplicate_keys"), F.col("duplicate_keys")),
-        shaped(slowest, "Runtime", F.lit("slowest_run_seconds"), F.col("runtime_seconds")),
-    ])
+    timed = slowest.select(check("Runtime", F.lit("slowest_run_seconds"), F.col("runtime_seconds"), F.col("status")).alias("c")).select("c.*")
+    looked_up = lambda pairs, c: F.create_map(*[F.lit(x) for pair in pairs for x in pair])[F.col(c)]
+    return union_all([rows, duplicates, timed]).select(
+        "pillar", "metric", "actual_value", looked_up(THRESHOLDS, "pillar").alias("threshold"), "status",
+        looked_up(EXPLANATIONS, "status").alias("explanation"))
 
 
 def _rollup() -> list[Column]:
@@ -137,5 +192,5 @@ def summary(results: DataFrame) -> DataFrame:
 
 def save_summary(results: DataFrame, path: str) -> None:
     """The roll-up with its check rows, at most one per check, as one JSON document."""
-    rows = F.collect_list(F.struct("pillar", "metric", "actual_value", "status")).alias("checks")
+    rows = F.collect_list(F.struct(*results.columns)).alias("checks")
     results.agg(*_rollup(), rows).coalesce(1).write.mode("overwrite").json(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.dates import hours_between, ntz
 from tidemark.operators.marts import CALENDAR_END, CALENDAR_START, date_spine
-from tidemark.operators.skew import HOT_ROWS, Heat, along_key, time_chunk
+from tidemark.operators.skew import HOT_ROWS, Heat, along_key
 from tidemark.schemas import GENERIC_TESTS, LIFECYCLE_TYPES, SOURCES, TableTests
 
 
@@ -105,7 +105,7 @@ def scd_overlap(dim: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
         return {"earlier_valid_to": F.max("valid_to").over(window.rowsBetween(Window.unboundedPreceding, -1))}
 
     judged = along_key(
-        spans, "customer_id", ["valid_from"], ended, chunk=time_chunk("valid_from"), hot=hot,
+        spans, "customer_id", ["valid_from"], ended, hot=hot,
         rank=["valid_to", "valid_from"])
     return judged.where(F.col("valid_from") < F.col("earlier_valid_to"))
 

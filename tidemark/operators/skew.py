@@ -2,15 +2,15 @@
 
 A window partitioned by a key puts all rows of that key into one task. So keys are
 counted first, which combines before the shuffle and reads one column, and those
-with more than ``HOT_ROWS`` rows are treated apart: their rows are cut into chunks
-along the ordering column, and what a chunk needs from its neighbours travels in
+with more than ``HOT_ROWS`` rows are treated apart: their rows are cut into chunks of
+equal size along the order, and what a chunk needs from its neighbours travels in
 one extra boundary row. With no hot key the plan is the plain window.
 
-Sizes: at most ``HOT_KEYS`` keys are treated as hot, the heaviest first, so a key
-left out holds less than 1/HOT_KEYS of the rows, and neither the list nor its
-broadcast grows with the data. A time chunk is one minute: it holds at most 6e7
-different microseconds, and ten years have 5.3e6 minutes, which bounds both the
-window over a chunk and the window over the chunk boundaries of one key.
+Sizes: every key above ``HOT_ROWS`` is treated apart, so there is at most one per
+5 million rows of the table: 200,000 in 1e12 rows. Whether their list is broadcast
+is left to its size. There are as many chunks as shuffle partitions, and a key has at
+most one boundary row for each. Only rows alike in all columns of the order stay
+together.
 """
 
 from __future__ import annotations
@@ -18,19 +18,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
-from tidemark.functions.dates import micros
+from tidemark.session import new_folder
 
 HOT_ROWS = 5_000_000
-HOT_KEYS = 10_000
-CHUNK_MICROS = 60_000_000
-CHUNK_SEQUENCE = 5_000_000
 
 
 @dataclass(frozen=True)
 class Heat:
-    """The hot keys of a table: a frame of at most HOT_KEYS rows, or None."""
+    """The hot keys of a table, or None."""
 
     keys: DataFrame | None = None
 
@@ -39,17 +36,17 @@ CALM = Heat()
 
 
 def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> Heat:
-    """Count rows per key and keep the heaviest keys above the limit.
+    """Count rows per key and keep the keys above the limit.
 
     Best done on stored rows: on a derived frame the count computes what it derives
     from, so callers with a chain of operators find the keys once, at its start, and
-    pass them along. The list is short whatever the data, so it is fetched here, once; frames built
-    from it then agree on it and can leave out what no hot key needs.
+    pass them along. A listed key stands for ``hot_rows`` rows, so the list is short and is
+    fetched here, once; frames built from it then agree on it and can leave out what no hot
+    key needs.
     """
     heavy = (
         df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), key).limit(HOT_KEYS).select(F.col(key).alias("_hot_key"))
+        .where(F.col("_rows") > hot_rows).select(F.col(key).alias("_hot_key"))
     )
     rows = heavy.collect()
     return Heat(df.sparkSession.createDataFrame(rows, heavy.schema)) if rows else CALM
@@ -63,16 +60,17 @@ def resolve(df: DataFrame, key: str, hot: Heat | int) -> Heat:
 def split_hot(df: DataFrame, key: str, heat: Heat) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of hot keys. NULL counts as a key."""
     listed = F.col(key).eqNullSafe(F.col("_hot_key"))
-    keys = F.broadcast(heat.keys)
-    return df.join(keys, listed, "left_anti"), df.join(keys, listed, "left_semi")
+    return df.join(heat.keys, listed, "left_anti"), df.join(heat.keys, listed, "left_semi")
 
 
-def time_chunk(ts: str) -> Column:
-    return F.floor(micros(ts) / F.lit(CHUNK_MICROS)).cast("long")
-
-
-def sequence_chunk(seq: str, size: int = CHUNK_SEQUENCE) -> Column:
-    return F.floor(F.col(seq) / F.lit(size)).cast("long")
+def _chunked(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Add ``_chunk``: equal shares of the rows along key and order, whatever the values.
+    Stored, since the shares are drawn from a sample and all readers must agree on them."""
+    spark = rows.sparkSession
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_folder(spark, "chunks")
+    rows.repartitionByRange(shares, key, *order).withColumn("_chunk", F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_chunk", T.IntegerType())])).parquet(path)
 
 
 def _with_boundaries(
@@ -102,7 +100,7 @@ def _with_boundaries(
 
 def along_key(
     df: DataFrame, key: str, order: list[str], add: Callable[[WindowSpec], dict[str, Column]], *,
-    chunk: Column, hot: Heat | int, forward: bool = True, rank: list[str] | None = None, only: Column | None = None,
+    hot: Heat | int, forward: bool = True, rank: list[str] | None = None, only: Column | None = None,
 ) -> DataFrame:
     """Add window columns over the rows of each key in order.
 
@@ -115,7 +113,7 @@ def along_key(
         return df.withColumns(add(Window.partitionBy(key).orderBy(*order)))
     cold, warm = split_hot(df, key, heat)
     rows = _with_boundaries(
-        warm.withColumn("_chunk", chunk), key, F.struct(*(rank or order)), only, forward)
+        _chunked(warm, key, order), key, F.struct(*(rank or order)), only, forward)
     # Carried rows come first when looking back and last when looking ahead.
     side = F.desc("_carried") if forward else F.asc("_carried")
     chunked = rows.withColumns(add(Window.partitionBy(key, "_chunk").orderBy(side, *order)))
@@ -125,7 +123,7 @@ def along_key(
 
 def with_key_value(df: DataFrame, key: str, hot: Heat | int, **aggregates: Column) -> DataFrame:
     """Add per-key aggregates to every row. Ordinary keys use one window; the few
-    aggregates of hot keys are broadcast to their rows."""
+    aggregates of hot keys are joined to their rows."""
     heat = resolve(df, key, hot)
     whole = Window.partitionBy(key)
     columns = {name: aggregate.over(whole) for name, aggregate in aggregates.items()}
@@ -133,7 +131,7 @@ def with_key_value(df: DataFrame, key: str, hot: Heat | int, **aggregates: Colum
         return df.withColumns(columns)
     cold, warm = split_hot(df, key, heat)
     values = warm.groupBy(F.col(key).alias("_value_key")).agg(*[a.alias(n) for n, a in aggregates.items()])
-    joined = warm.join(F.broadcast(values), F.col(key).eqNullSafe(F.col("_value_key"))).drop("_value_key")
+    joined = warm.join(values, F.col(key).eqNullSafe(F.col("_value_key"))).drop("_value_key")
     return cold.withColumns(columns).unionByName(joined)
 
 

@@ -1,4 +1,7 @@
-"""Cleaning: raw rows to typed, trimmed, canonical staging rows. Lazy and narrow."""
+"""Cleaning: raw rows to typed, trimmed, canonical staging rows. Lazy and narrow.
+
+Descriptive text is cut to the width of its column; keys are passed whole, since two
+keys cut alike would become one."""
 
 from __future__ import annotations
 
@@ -17,7 +20,7 @@ def _ingested(raw: DataFrame) -> list[Column]:
 def stg_customers(raw: DataFrame, *keep: str) -> DataFrame:
     """``keep`` names further columns to pass through, such as the arrival order."""
     return raw.select(
-        fit("customer_id", 64).alias("customer_id"),
+        "customer_id",
         fit(blank_to_null("first_name"), 128).alias("first_name"),
         fit(blank_to_null("last_name"), 128).alias("last_name"),
         fit(F.lower(F.trim("email")), 255).alias("email"),
@@ -37,8 +40,8 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     gross = F.col("order_amount_usd").cast(MONEY)
     discount = F.coalesce(F.col("discount_usd"), F.lit(0)).cast(MONEY)
     return raw.select(
-        fit("order_id", 64).alias("order_id"),
-        fit("customer_id", 64).alias("customer_id"),
+        "order_id",
+        "customer_id",
         canonicalize("order_status", ORDER_STATUSES).alias("order_status"),
         "order_timestamp",
         F.to_date("order_timestamp").alias("order_date"),
@@ -64,9 +67,9 @@ def stg_subscriptions(raw: DataFrame) -> DataFrame:
     open_ended = F.col("cancelled_at").isNull() | (F.col("cancelled_at") > F.col("event_timestamp"))
     active = (F.upper(F.trim("status")) == "ACTIVE") & open_ended
     return raw.select(
-        fit("subscription_event_id", 64).alias("subscription_event_id"),
-        fit("subscription_id", 64).alias("subscription_id"),
-        fit("customer_id", 64).alias("customer_id"),
+        "subscription_event_id",
+        "subscription_id",
+        "customer_id",
         canonicalize("plan_tier", PLAN_TIERS).alias("plan_tier"),
         F.col("monthly_recurring_revenue").cast(MONEY).alias("mrr_amount_usd"),
         canonicalize("status", SUBSCRIPTION_STATUSES).alias("subscription_status"),
@@ -84,9 +87,9 @@ def stg_subscriptions(raw: DataFrame) -> DataFrame:
 
 def stg_events(raw: DataFrame) -> DataFrame:
     return raw.select(
-        fit("event_id", 64).alias("event_id"),
-        fit("customer_id", 64).alias("customer_id"),
-        fit("session_id", 64).alias("session_id"),
+        "event_id",
+        "customer_id",
+        "session_id",
         fit(F.lower(F.trim("event_name")), 64).alias("event_name"),
         fit(F.lower(F.trim("device_category")), 32).alias("device_category"),
         fit(F.lower(F.trim("operating_system")), 32).alias("operating_system"),

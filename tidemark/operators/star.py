@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import month_key, ntz
 from tidemark.operators.skew import (
-    HOT_ROWS, Heat, along_key, resolve, split_hot, time_chunk, with_key_value,
+    HOT_ROWS, Heat, along_key, resolve, split_hot, with_key_value,
 )
 from tidemark.schemas import INT, MONEY, TIER_RANK, UNKNOWN, UNKNOWN_SK
 
@@ -38,7 +38,7 @@ def pit_join(
     to the last version, so the work is linear where an equi join with a range
     condition compares every fact of a key with every version of it. Versions of one
     key must not overlap, which the history dimension guarantees. For hot keys only
-    the distinct times are looked up, in minute chunks, and joined back to the facts.
+    the distinct times are looked up, in chunks, and joined back to the facts.
     """
     known = facts.where(F.col(key).isNotNull())
     versions = _version_rows(dim, key, take)
@@ -67,7 +67,7 @@ def pit_join(
         probes = hot_facts.select(key, F.col(ts).alias("_at")).distinct()
         probes = probes.select(key, "_at", F.lit(1).alias("_side"), no_version.alias("_version"))
         found = along_key(
-            probes.unionByName(hot_versions), key, order, latest, chunk=time_chunk("_at"), hot=heat,
+            probes.unionByName(hot_versions), key, order, latest, hot=heat,
             only=F.col("_side") == 0)
         found = found.where("_side = 1").select(
             F.col(key).alias("_key"), "_at", _valid(F.col("_version"), F.col("_at")).alias("_version"))
@@ -157,7 +157,7 @@ def _with_previous(facts: DataFrame, columns: dict[str, str], hot: Heat | int) -
         return {new: F.lag(old).over(window) for new, old in columns.items()}
 
     order = ["event_timestamp", "subscription_event_id"]
-    return along_key(facts, "subscription_id", order, previous, chunk=time_chunk("event_timestamp"), hot=hot)
+    return along_key(facts, "subscription_id", order, previous, hot=hot)
 
 
 def tier_transitions(facts: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
@@ -237,13 +237,14 @@ def fact_subscription_sk(
 def role_playing_dates(orders: DataFrame, subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     """Both facts rolled up to months through one calendar in two roles.
 
-    Each fact is counted per day before it meets the calendar.
+    Each fact is counted per day before it meets the calendar. Facts of days that the
+    calendar lacks are counted under a year, quarter and month of NULL.
     """
     def per_month(facts: DataFrame, amount: str, role: str) -> DataFrame:
         daily = facts.groupBy("date_key").agg(
             F.count(F.lit(1)).alias("n"), F.sum(amount).alias("amount"))
         return (
-            daily.join(calendar.select("date_key", "year", "quarter", "month"), "date_key")
+            daily.join(calendar.select("date_key", "year", "quarter", "month"), "date_key", "left")
             .groupBy("year", "quarter", "month")
             .agg(F.sum("n").alias("row_count"), F.sum("amount").cast(REVENUE).alias("amount_usd"))
             .select(F.lit(role).alias("date_role"), "year", "quarter", "month", "row_count", "amount_usd")

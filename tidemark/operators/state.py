@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import cdc
 from tidemark.operators.skew import CALM, HOT_ROWS, Heat, resolve
@@ -36,8 +36,13 @@ COMMITS = T.StructType([
     T.StructField("error_message", STR, True),
     T.StructField("committed_at", TS, False),
     T.StructField("parts", T.MapType(STR, T.ArrayType(LONG)), False),
+    T.StructField("buckets", LONG, True),
 ])
 
+BUCKETS = 64  # of a new table whose creator names none
+MAX_DELTAS = 8  # additions to a bucket before it is rewritten
+MAX_FILES = 32  # the same for insert-only tables
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -58,6 +63,7 @@ class Head:
     parts: dict[str, list[int]] = field(default_factory=dict)
     watermark: datetime | None = None
     replayed: bool = False
+    buckets: int | None = None
 
 
 class VersionedTable:
@@ -86,11 +92,15 @@ class VersionedTable:
             return Head()
         ok = F.col("status") == "SUCCESS"
         row = commits.agg(
-            F.max("commit_no").alias("number"), F.max_by("parts", "commit_no").alias("parts"),
+            F.max("commit_no").alias("number"),
             F.max_by("watermark", F.when(ok, F.col("commit_no"))).alias("watermark"),
             F.count_if(ok & (F.col("batch_id") == batch_id)).alias("replays"),
         ).first()
-        return Head() if row["number"] is None else Head(row["number"], row["parts"], row["watermark"], row["replays"] > 0)
+        if row["number"] is None:
+            return Head()
+        # Of the parts only the newest commit's are read; statistics rule the other files out.
+        newest = commits.where(F.col("commit_no") == row["number"]).select("parts", "buckets").first()
+        return Head(row["number"], newest["parts"], row["watermark"], row["replays"] > 0, newest["buckets"])
 
     def watermark(self, default: datetime = EPOCH) -> datetime:
         return self.head().watermark or default
@@ -98,12 +108,14 @@ class VersionedTable:
     def _append_commit(
         self, head: Head, batch_id: str, status: str, parts: dict, *, offered: int = 0, applied: int | None = 0,
         watermark: datetime | None = None, error_message: str | None = None, committed_at: datetime | None = None,
+        buckets: int | None = None,
     ) -> None:
         values = {
             "source": self.name, "commit_no": head.number + 1, "batch_id": batch_id, "status": status,
             "offered": offered, "applied": applied, "records": offered, "watermark": watermark,
             "error_message": error_message,
             "committed_at": committed_at or datetime.now(timezone.utc).replace(tzinfo=None),
+            "buckets": buckets or head.buckets,
         }
         columns = [F.lit(str(v) if isinstance(v, datetime) else v).cast(COMMITS[n].dataType).alias(n)
                    for n, v in values.items()]
@@ -134,7 +146,7 @@ class VersionedTable:
     def replace(
         self, rows: DataFrame, batch_id: str, replaced: list[str] | None, *, head: Head | None = None,
         offered: int | None = None, watermark: datetime | None = None, count_applied: bool = True,
-        spread: bool = True, committed_at: datetime | None = None,
+        spread: bool = True, committed_at: datetime | None = None, buckets: int | None = None,
     ) -> Outcome:
         """Commit ``rows``. They become the content of the ``replaced`` partitions (all
         of them if None), which disappear if they get no rows; to other partitions
@@ -155,7 +167,7 @@ class VersionedTable:
         outcome = Outcome(batch_id, total if offered is None else offered, applied)
         self._append_commit(
             head, batch_id, "SUCCESS", parts, offered=outcome.offered, applied=outcome.applied,
-            watermark=watermark, committed_at=committed_at)
+            watermark=watermark, committed_at=committed_at, buckets=buckets)
         return outcome
 
     def _written(self, path: str, number: int) -> list[tuple[str, int, int]]:
@@ -169,92 +181,138 @@ class VersionedTable:
 class ChangeTable(VersionedTable):
     """The current state of one source. Keys are hashed into ``buckets`` partitions.
 
-    With ``max_deltas`` 0 a batch rewrites the buckets it touches, and its outcome
-    says how many rows it changed. With more, a bucket takes up to that many batches
-    as additions, so that a batch costs what the batch is worth and not what the
-    table is; readers reduce such buckets, and the next batch rewrites a full one.
-    Insert-only sources always add, after dropping keys that are stored already.
+    The number of buckets is kept in the commits: it is chosen once, whoever opens the
+    table with another number is refused, and ``rebucket`` changes it.
+
+    A bucket takes up to ``max_deltas`` batches as additions, so that a batch costs
+    what the batch is worth and not what the table is; readers reduce such buckets,
+    and the next batch rewrites a full one. With 0 every batch rewrites the buckets it
+    touches, and its outcome says how many rows it changed. Insert-only sources add
+    after dropping keys that are stored already, and a bucket is rewritten after
+    ``MAX_FILES`` additions. So a table never consists of more than so many paths per bucket.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, source: str | Source, buckets: int = 64, max_deltas: int = 0
+        self, spark: SparkSession, root: str, source: str | Source, buckets: int | None = None,
+        max_deltas: int = MAX_DELTAS,
     ):
         if isinstance(source, str):
             if source not in SOURCES:
                 raise ValueError(f"unknown source: {source}")
             source = SOURCES[source]
-        self.source, self.buckets, self.max_deltas = source, buckets, max_deltas
+        self.source, self.asked, self.max_deltas = source, buckets, max_deltas
         schema = T.StructType(source.schema.fields + [
+            T.StructField("_ingested_at", TS),
             T.StructField("_first_seq", LONG), T.StructField("_last_seq", LONG), T.StructField("_commit_no", LONG),
         ])
         super().__init__(spark, root, source.name, schema, "bucket")
 
-    def _bucketed(self, rows: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(self.source.key), F.lit(self.buckets)).cast("string")
+    def _buckets(self, head: Head) -> int:
+        if self.asked and head.buckets and self.asked != head.buckets:
+            raise ValueError(f"{self.root} has {head.buckets} buckets, not {self.asked}")
+        return head.buckets or self.asked or BUCKETS
+
+    def _bucketed(self, rows: DataFrame, buckets: int) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(self.source.key), F.lit(buckets)).cast("string")
         return rows.withColumn("bucket", bucket)
 
-    def current(self, hot: Heat | int = HOT_ROWS) -> DataFrame:
-        head = self.head()
+    def _state(self, head: Head, hot: Heat | int) -> DataFrame:
+        """One row per key with its sequence numbers."""
         grown = [b for b, versions in head.parts.items() if len(versions) > 1]
         if not grown or not self.source.mutable:
-            return self.read(head=head).select(*self.source.columns)
+            return self.read(head=head).drop("bucket")
         settled = [b for b in head.parts if b not in set(grown)]
         reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"), hot)
-        both = self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
-        return both.select(*self.source.columns)
+        return self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
+
+    def current(self, hot: Heat | int = HOT_ROWS, load_time: bool = False) -> DataFrame:
+        """One row per key; with ``load_time`` also when it was last applied."""
+        head = self.head()
+        self._buckets(head)
+        return self._state(head, hot).select(*self.source.columns, *(["_ingested_at"] if load_time else []))
+
+    def rebucket(self, buckets: int, batch_id: str, hot: Heat | int = HOT_ROWS) -> Outcome:
+        """Rewrite the table in another number of buckets, as one commit."""
+        head = self.head(batch_id)
+        if head.replayed:
+            return Outcome(batch_id, 0, 0, replayed=True)
+        rows = self._bucketed(self._state(head, hot), buckets)
+        self.asked = buckets
+        return self.replace(
+            rows.select(*self.schema.fieldNames()), batch_id, None, head=head, offered=0, watermark=head.watermark,
+            count_applied=False, buckets=buckets)
 
     def merge(
         self, batch: DataFrame, batch_id: str, *, hot: Heat | int = HOT_ROWS, head: Head | None = None,
-        committed_at: datetime | None = None,
+        committed_at: datetime | None = None, loaded_at: datetime | None = None,
     ) -> Outcome:
-        """Apply one batch. A batch id that is already committed is left alone."""
+        """Apply one batch. A batch id that is already committed is left alone.
+
+        Rows without ``arrival_seq`` take their order from the commit and their time.
+        All rows get the time of loading, now unless ``loaded_at`` says otherwise.
+        """
         head = head or self.head(batch_id)
         if head.replayed:
             return Outcome(batch_id, 0, 0, replayed=True)
+        buckets = self._buckets(head)
         # The log is the truth: the batch is read from its source once, into the log.
         log_path = f"{self.root}/log/batch={batch_id}"
-        batch.select(*self.source.columns, "arrival_seq").write.mode("overwrite").parquet(log_path)
+        arrival = arrival_order(self.source, head.number + 1)
+        if "arrival_seq" in batch.columns:
+            arrival = F.coalesce(F.col("arrival_seq"), arrival)
+        loaded = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
+        batch.select(*self.source.columns, arrival.alias("arrival_seq"), F.lit(str(loaded)).cast(TS).alias("_ingested_at")).write.mode(
+            "overwrite").parquet(log_path)
         logged = self.spark.read.schema(self._log_schema()).parquet(log_path)
         number = F.lit(head.number + 1).cast("long")
-        changes = self._bucketed(cdc.as_changes(logged).withColumn("_commit_no", number))
+        changes = self._bucketed(cdc.as_changes(logged).withColumn("_commit_no", number), buckets)
         # One line per bucket, whatever the batch size.
         seen = changes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top")).collect()
         mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
         touched, offered = [r["bucket"] for r in seen], sum(r["n"] for r in seen)
-        # Only a large batch can make a key hot: stored rows are few per key.
-        heat = CALM if isinstance(hot, int) and offered <= hot else resolve(logged, self.source.key, hot)
+        # Stored rows are few per key, so only a large batch makes one hot; but
+        # subscriptions may be stored as they came, and then count as well.
+        counted = logged.select(self.source.key)
+        unreduced = self.source.name == "subscriptions" and any(len(v) > 1 for v in head.parts.values())
+        if unreduced:
+            counted = counted.unionByName(self.read(only=touched, head=head).select(self.source.key))
+        calm = isinstance(hot, int) and offered <= hot and not unreduced
+        heat = CALM if calm else resolve(counted, self.source.key, hot)
         if self.source.mutable:
             due = [b for b in touched if len(head.parts.get(b, [])) > self.max_deltas or b not in head.parts]
-            rows = self._merged(changes, due, head, heat)
+            rows = self._merged(changes, due, head, heat, buckets)
         else:
-            # Stored files are never rewritten, only their keys are read.
-            due, stored = [], self.read(only=touched, head=head)
+            # Of stored files only the keys are read, but for buckets of many files.
+            due, stored = [b for b in touched if len(head.parts.get(b, [])) >= MAX_FILES], self.read(only=touched, head=head)
             fresh = cdc.reduce_events(changes, heat)
             rows = fresh.join(stored.select(self.source.key), self.source.key, "left_anti")
+            if due:
+                rows = rows.unionByName(self.read(only=due, head=head).select(*rows.columns))
         return self.replace(
             rows.select(*self.schema.fieldNames()), batch_id, due, head=head, offered=offered, watermark=mark,
-            count_applied=not self.source.mutable or len(due) == len(touched), committed_at=committed_at)
+            count_applied=not self.source.mutable or len(due) == len(touched), committed_at=committed_at,
+            buckets=buckets)
 
-    def _merged(self, changes: DataFrame, due: list[str], head: Head, heat: Heat) -> DataFrame:
+    def _merged(self, changes: DataFrame, due: list[str], head: Head, heat: Heat, buckets: int) -> DataFrame:
         """New content of the buckets due for a rewrite, and additions to the others."""
         reducer, stored = cdc.REDUCERS[self.source.name], self.read(only=due, head=head)
 
         def rewrite(part: DataFrame) -> DataFrame:
             both = stored.unionByName(part.select(*stored.columns))
-            return self._bucketed(reducer(both.drop("bucket"), heat))
+            return self._bucketed(reducer(both.drop("bucket"), heat), buckets)
 
         if self.max_deltas == 0:
             return rewrite(changes)
         is_due = F.col("bucket").isin(due)
         rewritten, added = rewrite(changes.where(is_due)), changes.where(~is_due)
         if self.source.name != "subscriptions":
-            added = self._bucketed(reducer(added.drop("bucket"), heat))
+            added = self._bucketed(reducer(added.drop("bucket"), heat), buckets)
         # Which subscription changes count depends on the stored first arrival, so
         # those are added as they are.
         return rewritten.unionByName(added.select(*rewritten.columns))
 
     def _log_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", LONG)
+        return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", LONG).add("_ingested_at", TS)
 
     def change_log(self) -> DataFrame:
         """All committed change records, in a form the history dimension can use."""
@@ -264,6 +322,15 @@ class ChangeTable(VersionedTable):
         return self.spark.read.schema(self._log_schema()).parquet(*[f"{self.root}/log/batch={b}" for b in done])
 
 
+def arrival_order(source: Source, commit_no: int) -> Column:
+    """The order in which rows of a commit count as arrived, for sources that have none
+    of their own: by commit, within it by second of the event time, then by a hash of the
+    row. Needs no sort, and is the same however often a commit is tried."""
+    seconds = F.coalesce(F.unix_seconds(F.col(source.ts).cast("timestamp")), F.lit(0))
+    within = F.shiftleft(F.greatest(F.least(seconds, F.lit((1 << 32) - 1)), F.lit(0)).cast("long"), 10)
+    return F.lit(commit_no << 42) + within + F.pmod(F.xxhash64(*source.columns), F.lit(1 << 10))
+
+
 def content_signature(df: DataFrame) -> DataFrame:
     """Row count and an order-free hash of the whole content."""
     row_hash = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns])

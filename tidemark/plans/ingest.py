@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.incremental import since, stamp_batch
-from tidemark.operators.state import ChangeTable, Outcome
+from tidemark.operators.state import MAX_DELTAS, ChangeTable, Outcome
 from tidemark.functions.dates import effective_mark
 from tidemark.schemas import EPOCH, SOURCES
 
@@ -24,12 +24,13 @@ def new_run_id() -> str:
 
 def run_source(
     spark: SparkSession, root: str, source: str, changes: DataFrame, run_id: str, *,
-    lookback: timedelta | None = None, full_refresh: bool = False, buckets: int = 64,
-    max_deltas: int = 0, committed_at: datetime | None = None,
+    lookback: timedelta | None = None, full_refresh: bool = False, buckets: int | None = None,
+    max_deltas: int = MAX_DELTAS, committed_at: datetime | None = None, loaded_at: datetime | None = None,
 ) -> Outcome:
     """Read what is new, stamp it, apply it and commit it with its mark.
 
-    Rows and mark become visible in one commit. An error is recorded, leaves the
+    The changes may come with an ``arrival_seq`` of their own or, as projections of
+    operational tables do, without. Rows and mark become visible in one commit. An error is recorded, leaves the
     mark where it was and is raised again.
     """
     table = ChangeTable(spark, f"{root}/{source}", source, buckets, max_deltas)
@@ -38,7 +39,7 @@ def run_source(
         mark = EPOCH if full_refresh else head.watermark or EPOCH
         ts = SOURCES[source].ts
         fresh = since(changes, ts, effective_mark(mark, lookback), inclusive=bool(lookback))
-        return table.merge(stamp_batch(fresh, run_id), run_id, head=head, committed_at=committed_at)
+        return table.merge(stamp_batch(fresh, run_id), run_id, head=head, committed_at=committed_at, loaded_at=loaded_at)
     except Exception as problem:
         table.record_failure(run_id, str(problem), committed_at)
         raise

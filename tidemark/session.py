@@ -18,13 +18,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (local tests) is a local folder made and
-    recorded in the session, so that later calls agree on it.
+    Only on a ``local`` master, as in tests, is a missing setting replaced by a local
+    folder, recorded in the session so that later calls agree on it. On a cluster
+    every machine would write to its own, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

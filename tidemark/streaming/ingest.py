@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from queue import Queue
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -23,15 +24,22 @@ def stream_upsert(changes: DataFrame, table: ChangeTable, checkpoint: str, name:
     """Apply what is available, batch by batch, and stop. Works for every source.
 
     A micro-batch may be delivered again after a failure; its id is then already
-    committed in the table, which leaves it alone.
+    committed in the table, which leaves it alone. Ids carry the query's own, which is kept in
+    its checkpoint: another checkpoint counts its batches anew, and they are others.
+    What it offers again changes nothing, as reductions and stored keys see to that.
     """
+    started: Queue[str] = Queue(1)
+
     def apply(batch: DataFrame, batch_no: int) -> None:
-        table.merge(batch, f"{name}-{batch_no:012d}")
+        query_id = started.get()
+        started.put(query_id)
+        table.merge(batch, f"{name}-{query_id}-{batch_no:012d}")
 
     query = (
         changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+    started.put(query.id)
     query.awaitTermination()
 
 
