@@ -35,7 +35,7 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE 'weird' END AS account_status,
                CASE WHEN c_acctbal < 0 THEN 'Referral' ELSE 'Direct' END AS acquisition_channel,
                CAST('2024-01-01 00:00:00' AS {TS}) + (c_custkey % 1000) * INTERVAL '1' MINUTE AS source_updated_at,
-               'I' AS _source_op, c_custkey % 20 = 0 AS _is_deleted, 'BATCH-INIT-CUST' AS _batch_id
+               'I' AS _source_op, c_custkey % 20 = 0 AS _is_deleted, 'first-customers' AS _batch_id
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"""),
     # Many versions per customer; arrival order differs from event order.
     "customer_changes": (("events",), """
@@ -71,7 +71,7 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN '3-MEDIUM' THEN 'PayPal' ELSE 'apple_pay' END AS payment_method,
                LOWER(n_name) AS shipping_country,
                o_orderdate + (o_orderkey % 86400) * INTERVAL '1' SECOND AS source_updated_at,
-               'I' AS _source_op, 'BATCH-INIT-ORD' AS _batch_id
+               'I' AS _source_op, 'first-orders' AS _batch_id
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""),
     # Every order arrives once; then real updates, stale updates and exact ties.
     "order_changes": (("raw_orders",), """
@@ -102,7 +102,7 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
                ts - INTERVAL '1' HOUR AS started_at,
                CASE event_id % 5 WHEN 0 THEN ts - INTERVAL '2' HOUR WHEN 1 THEN ts + INTERVAL '24' HOUR
                     ELSE NULL END AS cancelled_at,
-               ts AS event_timestamp, 'I' AS _source_op, 'BATCH-INIT-SUB' AS _batch_id
+               ts AS event_timestamp, 'I' AS _source_op, 'first-subscriptions' AS _batch_id
         FROM {events}"""),
     "subscription_changes": (("raw_subscriptions",), """
         SELECT *, CAST(1 AS BIGINT) AS arrival_seq FROM {raw_subscriptions}
@@ -130,7 +130,7 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
                CONCAT(' ', UPPER(event_type)) AS event_name,
                CASE event_id % 3 WHEN 0 THEN 'Desktop' WHEN 1 THEN ' MOBILE' ELSE 'tablet' END AS device_category,
                CASE WHEN event_id % 2 = 0 THEN 'Linux ' ELSE 'macOS' END AS operating_system,
-               CONCAT(' /app/', event_type) AS page_path, ts AS event_timestamp, 'BATCH-INIT-EVT' AS _batch_id
+               CONCAT(' /app/', event_type) AS page_path, ts AS event_timestamp, 'first-events' AS _batch_id
         FROM {events}"""),
     # Every event is delivered twice; the replay carries a path that must not win.
     "event_arrivals": (("raw_events",), """
