@@ -103,6 +103,11 @@ def revenue_by_tier_current(facts: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
+def with_first_seen(dim: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+    """The dimension with the time from which its customer is known."""
+    return with_key_value(dim, "customer_id", hot, first_seen_timestamp=F.min("valid_from"))
+
+
 def with_unknown_member(dim: DataFrame) -> DataFrame:
     """The dimension plus the member that facts without a version belong to."""
     fixed = {
@@ -110,7 +115,7 @@ def with_unknown_member(dim: DataFrame) -> DataFrame:
         "last_name": F.lit("Customer"), "email": F.lit("unknown@example.com"), "country_code": F.lit("XX"),
         "plan_tier": F.lit(UNKNOWN), "account_status": F.lit(UNKNOWN), "acquisition_channel": F.lit(UNKNOWN),
         "valid_from": ntz("1970-01-01 00:00:00"), "valid_to": F.lit(None).cast("timestamp_ntz"),
-        "is_current": F.lit(True),
+        "is_current": F.lit(True), "first_seen_timestamp": ntz("1970-01-01 00:00:00"),
     }
     member = dim.sparkSession.range(1).select(*[fixed[c].alias(c) for c in dim.columns])
     return dim.unionByName(member)

@@ -483,6 +483,14 @@ def revenue_by_tier_current(t: Tables) -> DataFrame:
     return star.revenue_by_tier_current(t("pit_orders"), t.history("profile_changes"))
 
 
+@query
+def dim_customer_members(t: Tables) -> DataFrame:
+    """All members, the unknown one among them, with the time of their first version."""
+    hot = t.hot_customers("customer_changes")
+    return star.with_unknown_member(star.with_first_seen(t.history(hot=hot), hot)).select(
+        "customer_sk", "customer_id", "plan_tier", "valid_from", "first_seen_timestamp", "is_current")
+
+
 @query
 def unknown_member(t: Tables) -> DataFrame:
     """Every fact finds a member; revenue per tier adds up to all revenue."""
@@ -770,8 +778,9 @@ def profile_table(t: Tables) -> DataFrame:
 
 @query
 def reconcile_lake(t: Tables) -> DataFrame:
-    landed = {"customers": t("customer"), "orders": t("orders"), "events": t("events")}
-    raw = {"customers": t("raw_customers"), "orders": t("dirty_orders"), "events": t("raw_events")}
+    landed = {"customers": t("customer"), "orders": t("orders"), "subscriptions": t("events"), "events": t("events")}
+    raw = {"customers": t("raw_customers"), "orders": t("dirty_orders"), "subscriptions": t("raw_subscriptions"),
+           "events": t("raw_events")}
     return profiling.reconcile_lake(landed, raw, t.baseline()).drop("landing_bytes")
 
 
