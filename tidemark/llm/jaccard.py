@@ -212,7 +212,7 @@ def near_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *,
                 own.alias("own"))
     )
     fetched = (
-        with_place(docs, _text=text).join(placed, PLACE)
+        with_place(docs, _text=text).join(placed.hint("merge"), PLACE)
         .select("set_id", "copies", "root", "blocks", "own", "_text", other)
         .select("set_id", "copies", "root", "_text",
                 F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(lots))).otherwise(F.xxhash64("root", F.lit(1))).alias("lot"),
@@ -248,8 +248,33 @@ def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     plain = filed(docs.toDF(*[f"_c{i}" for i in range(len(names))]))
     at = lambda c: f"_c{names.index(c)}"
     kept = stored(near_copies(plain, at(text), at(id_col)).where("kept").select(*PLACE), "kept")
-    return with_place(plain, **{c: c for c in plain.columns}).join(kept, PLACE, "left_semi").drop(*PLACE).toDF(*names)
+    return with_place(plain, **{c: c for c in plain.columns}).join(kept.hint("merge"), PLACE, "left_semi").drop(*PLACE).toDF(*names)
 
 
 def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).drop(*PLACE)
+
+
+OP10_SQL = r"""
+with recursive split as (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents
+), shingles as (
+  select distinct doc_id, array_to_string(words[p:p + least(5, len(words)) - 1], ' ') as said
+  from (select doc_id, words, unnest(range(1, len(words) - least(5, len(words)) + 2)) as p from split where len(words) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), links as (
+  select a, b from (
+    select x.doc_id as a, y.doc_id as b, count(*) as common
+    from shingles x join shingles y on x.said = y.said and x.doc_id <> y.doc_id group by 1, 2)
+  join sizes s on s.doc_id = a join sizes t on t.doc_id = b where common / (s.n + t.n - common) >= 0.8
+), reached as (
+  select doc_id as a, doc_id as b from documents
+  union select reached.a, links.b from reached join links on reached.b = links.a
+), classes as (
+  select a as doc_id, min(b) as class_id from reached group by a
+)
+select c.doc_id, coalesce(n, 0) as n_shingles, class_id, (select count(*) from links where a = c.doc_id) as n_links,
+  c.doc_id = class_id as kept
+from classes c left join sizes s on s.doc_id = c.doc_id
+"""
