@@ -25,4 +25,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.OP2_SQL}
+    """Counterparts of the queries that SQL can state on whole tables. Those of operators 8
+    and 10 are exact, while the operators find links with a stated recall."""
+    return {
+        "op2_chat": chat.OP2_SQL,
+        "op7_passages": passages.OP7_SQL,
+        "op8_vectors": vectors.OP8_SQL,
+        "op10_near_copies": jaccard.OP10_SQL,
+    }

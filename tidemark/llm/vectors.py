@@ -237,3 +237,18 @@ def near_duplicates(embeddings: DataFrame, vector: str = "embedding", id_col: st
 
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = """
+with recursive vectors as (
+  select vec_id, cast(embedding as double[]) as v from embeddings
+), links as (
+  select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.9
+), reached as (
+  select vec_id as a, vec_id as b from vectors
+  union select reached.a, links.b from reached join links on reached.b = links.a
+)
+select vec_id, (select count(*) from links where a = vec_id) as n_links, component_id, vec_id = component_id as kept
+from (select a as vec_id, min(b) as component_id from reached group by a)
+"""
