@@ -15,7 +15,6 @@ library does by default. Rows with equal or null ``doc_id`` are rows like others
 
 from __future__ import annotations
 
-import base64
 import functools
 import heapq
 import json

@@ -13,7 +13,8 @@ near 1/languages where they don't tell.
 Probabilities are fitted by expectation-maximisation on the word counts of labelled
 rows, counted by Spark: at most about ``SAMPLE`` rows of each language, chosen by a hash
 of the text (a documented bound; a third of the rows in one language changes nothing).
-What reaches the driver is one number per piece and language.
+What reaches the driver is one number per piece and language; the model has a column for
+every value of the language column, which is taken to have few.
 
 Results for odd input: a null text and one without a letter is ``und`` with score 0.
 Rows without a language teach nothing but are predicted. If no row can teach, all

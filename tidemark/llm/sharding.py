@@ -21,8 +21,6 @@ empty table gives no rows. The same stored table gives the same shards.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import numbered, stored, table
