@@ -67,7 +67,7 @@ class Words:
 
 
 def word_cache() -> WordCache:
-    return WordCache(digest16)
+    return WordCache(digest16, 200_000)
 
 
 def binary16(pairs: np.ndarray):

@@ -9,10 +9,10 @@ fingerprint; equal windows name equal anchors, and the windows of a text that fo
 one another with one anchor are a path. A path is known by the 128-bit fingerprint of its words.
 
 1. Paths whose anchor is in one document only hold no repeated window and are left.
-2. For each path left its least document is its owner. An anchor with one path only is
-   unbranched there: all windows of the path have its owner. Where paths branch at an
-   anchor, they are opened into single windows, read at one source place for each path,
-   and each window gets the least owner among the paths that hold it.
+2. For each path left its least document is its owner, and it has all windows of the path.
+   Where paths branch at an anchor, they are opened into single windows, read at one source
+   place for each path, and a window that a path of a smaller owner holds is noted as that
+   one's too.
 3. Unbranched stretches are compacted: where a path is always followed by one and the
    same, and that always preceded by the first, they are joined, and chains of such
    joints are folded by pointer doubling, so after n rounds chains of 2**n paths are one.
@@ -93,7 +93,7 @@ class _Open:
                     begin = np.arange(w["start"], w["start"] + w["n"])
                     prints.append(words.runs(begin, begin + WINDOW))
                     paths += [w["path"]] * w["n"]
-                    offsets.append(np.arange(w["n"]))
+                    offsets.append(np.arange(w["n"], dtype=np.int32))
                     owners += [w["owner"]] * w["n"]
             if not prints:
                 continue
@@ -104,10 +104,12 @@ class _Open:
 
 
 def _owners(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Per path and stretch of its windows with one owner: ``path``, ``begin``, ``end``
-    (windows, end left out) and ``owner``."""
+    """Per path and stretch of its windows a document that has them: ``path``, ``begin``,
+    ``end`` (windows, end left out), ``owner``. All windows of a path are its owner's; by
+    other paths at a branch some may also be a smaller document's, which matters to the
+    owner alone."""
+    whole = nodes.select("path", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"), "owner", F.lit(True).alias("whole"))
     branched = nodes.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).where("paths > 1").select("anchor")
-    plain = nodes.join(branched, "anchor", "left_anti").select("path", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"), "owner")
     request = F.struct(F.col("source.start").alias("start"), "n", "path", "owner")
     wanted = (
         nodes.join(branched, "anchor", "left_semi")
@@ -115,19 +117,20 @@ def _owners(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .agg(F.collect_list(request).alias("wanted"))
     )
     opened = stored(
-        with_place(docs, _text="_text").join(wanted, PLACE).select("_text", "wanted")
-        .mapInArrow(_Open(), "window binary, path binary, offset long, owner long"), "windows")
-    least = opened.groupBy("window").agg(F.min("owner").alias("least"))
-    # Stretches of windows of one owner: at most a window's length of rows for each path.
+        with_place(docs, _text="_text").join(wanted.hint("merge"), PLACE).select("_text", "wanted")
+        .mapInArrow(_Open(), "window binary, path binary, offset int, owner long"), "windows")
+    shared = opened.groupBy("window").agg(F.min("owner").alias("least"), F.max("owner").alias("most")).where("least < most")
+    lent = opened.join(shared.select("window", "least"), "window").where("least < owner")
+    # Stretches of windows of one document: at most a window's length of rows for each path.
     along = Window.partitionBy("path").orderBy("offset")
-    stretch = F.sum(F.when(F.lag("least").over(along) == F.col("least"), 0).otherwise(1)).over(along)
-    single = (
-        opened.join(least, "window").withColumn("stretch", stretch)
+    goes_on = (F.lag("least").over(along) == F.col("least")) & (F.lag("offset").over(along) == F.col("offset") - 1)
+    lent = (
+        lent.withColumn("stretch", F.sum(F.when(goes_on, 0).otherwise(1)).over(along))
         .groupBy("path", "stretch").agg(
-            F.min("offset").alias("begin"), (F.max("offset") + 1).alias("end"), F.min("least").alias("owner"))
-        .drop("stretch")
+            F.min("offset").cast("long").alias("begin"), (F.max("offset") + 1).cast("long").alias("end"), F.min("least").alias("owner"))
+        .drop("stretch").withColumn("whole", F.lit(False))
     )
-    return plain.unionByName(single)
+    return whole.unionByName(lent)
 
 
 def _chains(nodes: DataFrame) -> DataFrame:
@@ -172,14 +175,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             one("before").alias("in_one"), one("after").alias("out_one")), "nodes")
     chains = _chains(nodes)
     owners = _owners(docs, nodes).join(chains, "path", "left").select(
-        F.coalesce("head", "path").alias("path"), "owner",
+        F.coalesce("head", "path").alias("path"), "owner", "whole",
         (F.col("begin") + F.coalesce("far", F.lit(0))).alias("begin"), (F.col("end") + F.coalesce("far", F.lit(0))).alias("end"))
     # Stretches that meet and have one owner become one.
-    down = Window.partitionBy("path").orderBy("begin")
+    down = Window.partitionBy("path", "whole").orderBy("begin")
     goes_on = (F.lag("end").over(down) == F.col("begin")) & (F.lag("owner").over(down) == F.col("owner"))
     stretches = (
         owners.withColumn("part", F.sum(F.when(goes_on, 0).otherwise(1)).over(down))
-        .groupBy("path", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("owner").alias("owner"))
+        .groupBy("path", "whole", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("owner").alias("owner"))
     )
     first, stop = F.col("start") + F.col("begin"), F.col("start") + F.col("end") + (WINDOW - 1)
     return (
@@ -235,7 +238,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     plain = filed(docs.toDF(*inner))
     keyed = plain.withColumn("doc_id", F.col(inner[names.index(id_col)]).cast("long"))
     spans = stored(repeated_spans(keyed), "spans")
-    rows = with_place(plain, **{c: c for c in inner}).join(spans, PLACE, "left").drop(*PLACE)
+    rows = with_place(plain, **{c: c for c in inner}).join(spans.hint("merge"), PLACE, "left").drop(*PLACE)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields]
     return rows.mapInArrow(_Cut(), ", ".join([*kinds, "n_words long", "n_removed long"])).toDF(*names, "n_words", "n_removed")
 
@@ -259,3 +262,25 @@ def digest(cleaned: DataFrame) -> DataFrame:
 
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+OP7_SQL = r"""
+with split as (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents
+), windows as (
+  select doc_id, p, array_to_string(words[p:p + 49], ' ') as said
+  from (select doc_id, words, unnest(range(1, len(words) - 48)) as p from split where len(words) >= 50)
+), taken as (
+  select doc_id, p from (select doc_id, p, min(doc_id) over (partition by said) as least from windows) where least < doc_id
+), gone as (
+  select distinct doc_id, p + k as p from (select doc_id, p, unnest(range(0, 50)) as k from taken)
+), single as (
+  select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from split
+), kept as (
+  select doc_id, string_agg(word, ' ' order by p) as said, count(*) as n
+  from single anti join gone using (doc_id, p) group by doc_id
+)
+select doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(said, '')) as kept_sha256
+from split left join kept using (doc_id)
+"""
