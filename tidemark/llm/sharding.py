@@ -107,7 +107,8 @@ def sharded(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, shar
         .withColumn("shard", (F.col("number") % shards).cast("int")).drop("all", "order", "number"), "dealt")
     quota = quotas(rows.count(), shards)
     most = max(1, quota[-1] // 2)
-    links = rows.groupBy("link").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored: a join may split a hot link only if it wasn't dealt by it for an aggregate.
+    links = stored(rows.groupBy("link").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "links")
     marked = stored(rows.join(links, "link", "left"), "marked")
     part = F.pmod(F.xxhash64(*PLACE, F.lit(1)), F.ceil(F.col("n") / most))
     linked = stored(marked.where("n is not null").select(*PLACE, "link", part.alias("part"), "shard"), "linked")
