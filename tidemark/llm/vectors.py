@@ -180,10 +180,10 @@ def _compared(classes: DataFrame, tables: Tables, threshold: float) -> DataFrame
         classes.select("key", "vector", "copies")
         .mapInArrow(_Place(tables), "key binary, vector binary, copies long, places array<long>"), "placed")
     spread = placed.select("*", F.explode("places").alias("place"))
-    crowds = (
+    # Stored: a join may split a hot place only if it wasn't dealt by it for an aggregate.
+    crowds = stored(
         placed.select(F.explode("places").alias("place")).groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("place", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
+        .select("place", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "crowds")
     lots = max(shuffle_width(classes.sparkSession), placed.count() * len(placed.first()["places"]) // (4 * BLOCK)) if not placed.isEmpty() else 1
     meeting = (
         spread.join(crowds, "place")
