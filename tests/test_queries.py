@@ -1,5 +1,7 @@
 """Every registered query equals its SQL counterpart."""
 
+import re
+
 import pytest
 from compare import database, differences
 
@@ -14,10 +16,11 @@ def db(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    """Those of the language-model part, if present, have tests of their own instead."""
+    assert {n for n in QUERIES if not re.match(r"op\d+_|pipeline$", n)} <= set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, db, sf_dir, name):
     found, problems = differences(spark, db, sf_dir, name, QUERIES[name], ORACLE[name])
     assert not problems
