@@ -109,7 +109,8 @@ def _owners(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     other paths at a branch some may also be a smaller document's, which matters to the
     owner alone."""
     whole = nodes.select("path", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"), "owner", F.lit(True).alias("whole"))
-    branched = nodes.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).where("paths > 1").select("anchor")
+    branched = stored(
+        nodes.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).where("paths > 1").select("anchor"), "branched")
     request = F.struct(F.col("source.start").alias("start"), "n", "path", "owner")
     wanted = (
         nodes.join(branched, "anchor", "left_semi")
@@ -119,8 +120,10 @@ def _owners(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     opened = stored(
         with_place(docs, _text="_text").join(wanted.hint("merge"), PLACE).select("_text", "wanted")
         .mapInArrow(_Open(), "window binary, path binary, offset int, owner long"), "windows")
-    shared = opened.groupBy("window").agg(F.min("owner").alias("least"), F.max("owner").alias("most")).where("least < most")
-    lent = opened.join(shared.select("window", "least"), "window").where("least < owner")
+    shared = stored(
+        opened.groupBy("window").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
+        .where("least < most").select("window", "least"), "shared")
+    lent = opened.join(shared, "window").where("least < owner")
     # Stretches of windows of one document: at most a window's length of rows for each path.
     along = Window.partitionBy("path").orderBy("offset")
     goes_on = (F.lag("least").over(along) == F.col("least")) & (F.lag("offset").over(along) == F.col("offset") - 1)
@@ -155,10 +158,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     row that loses words its place and ``spans``, an array of first word and end."""
     paths = with_place(docs, doc_id="doc_id", _text="_text").mapInArrow(
         _Paths(), "_file long, _at long, doc_id long, anchor long, path binary, start long, n long")
-    shared = (
+    # Stored, like other aggregates that are joined back to what they count: a join may
+    # split a hot key only if neither side has been dealt by it for an aggregate.
+    shared = stored(
         paths.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .where("least < most").select("anchor")
-    )
+        .where("least < most").select("anchor"), "shared")
     seen = stored(paths.join(shared, "anchor", "left_semi"), "paths")
     # The paths around each one in its document; a path that starts elsewhere is no neighbour.
     along = Window.partitionBy(*PLACE).orderBy("start")
@@ -180,10 +184,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # Stretches that meet and have one owner become one.
     down = Window.partitionBy("path", "whole").orderBy("begin")
     goes_on = (F.lag("end").over(down) == F.col("begin")) & (F.lag("owner").over(down) == F.col("owner"))
-    stretches = (
+    stretches = stored(
         owners.withColumn("part", F.sum(F.when(goes_on, 0).otherwise(1)).over(down))
-        .groupBy("path", "whole", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("owner").alias("owner"))
-    )
+        .groupBy("path", "whole", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("owner").alias("owner")),
+        "stretches")
     first, stop = F.col("start") + F.col("begin"), F.col("start") + F.col("end") + (WINDOW - 1)
     return (
         seen.select(*PLACE, "doc_id", "path", "start").join(stretches, "path").where("owner < doc_id")
