@@ -176,7 +176,10 @@ def candidates(classes: DataFrame) -> DataFrame:
     half the fingerprint of a class; should two classes share it, they only meet for
     verification."""
     banded = classes.select("node", F.explode("bands").alias("band"))
-    crowded = banded.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
+    # Stored: a join may split a hot band only if it wasn't dealt by it for an aggregate.
+    crowded = stored(
+        banded.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+        .where("least < most").select("band", "least"), "crowded")
     ties = banded.join(crowded, "band").select(F.col("node").alias("a"), F.col("least").alias("b"))
     return components(ties)
 
@@ -198,11 +201,10 @@ def near_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *,
     wanted = stored(classes.drop("bands").join(heaps, "node"), "wanted")
     totals = wanted.agg(F.sum("n_shingles")).first()[0] or 0
     lots = max(shuffle_width(spark), math.ceil(totals / BLOCK_SHINGLES * 4))
-    blocks = (
+    blocks = stored(
         wanted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
         .where("n > 1")
-        .select("root", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    )
+        .select("root", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "blocks")
     # Where a class goes: small heaps by lots of many, a large one to all pairs of its blocks.
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
