@@ -58,3 +58,19 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA + ", k int, block string")
     assert joined(chat.collapsed(df)) == brute(rows)
     assert chat.collapsed(df.where("false")).count() == 0
+
+
+def test_ties_behind_a_long_common_begin(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART", 8)
+    monkeypatch.setattr(chat, "TIED_ROWS", 40)
+    rng, begin, rows = random.Random(15), "boilerplate " * 9, []
+    for conv in range(0, 60, 2):  # one snapshot ends inside a tie of the next
+        said = sorted(begin + f"{rng.random()}" for _ in range(5))
+        turn = None if conv % 4 else 1
+        rows += [(c, 0, "user", f"question {conv}") for c in (conv, conv + 1)]
+        rows += [(conv, turn, "tool", t) for t in said[:3]] + [(conv + 1, turn, "tool", t) for t in said]
+    rows += [(100, None, "tool", begin + f"{rng.random()}") for _ in range(45)] + [(101, 7, None, begin + f"{i % 3} {i}") for i in range(30)]
+    rows += rows[:9]
+    out = chat.collapsed(spark.createDataFrame(rows, SCHEMA))
+    assert joined(out) == brute(rows)
+    assert {r.conv_id for r in out.collect()} == {*range(1, 60, 2), 100, 101}

@@ -6,8 +6,9 @@ and summed as decimals, so it can be added up in blocks. A conversation whose wh
 is among the hashes of the strict prefixes of others goes by an anti-join; of equal
 conversations the least id stays. What stays is rendered, in parts of ``PART`` turns.
 
-Only ids, positions and hashes are numbered and compared; texts are read once more,
-for the conversations that stay. Positions come from ranges (``common.numbered``) and
+Only ids, positions and hashes are numbered and compared, with the first ``BEGIN``
+characters of a text; whole texts only where turns of one conversation, turn number and
+role share these. Texts are read once more, for the conversations that stay. Positions come from ranges (``common.numbered``) and
 sums from blocks of ``PART`` turns, so a conversation of any length is split over tasks.
 A first turn that a third of all conversations share is one row per task.
 
@@ -20,9 +21,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import numbered, pick, stored, table
+from tidemark.llm.common import numbered, pick, shuffle_width, stored, table
 
 PART = 1024
+BEGIN, TIED_ROWS = 64, 10_000
 
 #: How a turn is written.
 OPEN, BREAK, CLOSE = "<|", "|>\n", "\n<|end|>\n"
@@ -38,12 +40,37 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), role, F.lit(BREAK), text, F.lit(CLOSE))
 
 
+def ties(rows: DataFrame) -> DataFrame | None:
+    """Where turns differ only behind their first characters: ``tie``, their order by the
+    whole text; None if there are none."""
+    group = ["conv_id", "late", "turn", "role"]
+    begun = rows.withColumn("begin", F.xxhash64(F.substring("text", 1, BEGIN)))
+    ends = [end(F.xxhash64("text", F.lit(seed))).alias(f"_{name}{seed}") for seed in (1, 2) for name, end in (("low", F.min), ("high", F.max))]
+    tied = stored(begun.groupBy(*group, "begin").agg(*ends).where("_low1 < _high1 or _low2 < _high2").select(*group, "begin"), "tied")
+    if tied.isEmpty():
+        return None
+    other = tied.toDF(*[f"_{c}" for c in tied.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "turn" else F.col(c) == F.col(f"_{c}") for c in tied.columns]
+    texts = stored(begun.join(other, same, "left_semi").select(*group, "text").distinct(), "tied-texts")
+    # Few ranges, as their bounds are drawn from whole texts, 300 for each range.
+    ranges = min(shuffle_width(rows.sparkSession), 1 + texts.count() // TIED_ROWS)
+    return stored(
+        numbered(texts, "conv_id", ["late", "turn", "role", "text"], "tie", ranges)
+        .select(*[F.col(c).alias(f"_{c}") for c in group], F.md5("text").alias("_mark"), "tie"), "ties")
+
+
 def prefixes(rows: DataFrame) -> DataFrame:
     """Per turn: its position from 1, the hash of all turns up to it, and the turns of
     its conversation."""
     key = F.md5("text").alias("mark")
-    light = rows.select("conv_id", "late", "turn", "role", key, F.substring("text", 1, 64).alias("begin")).distinct()
-    placed = stored(numbered(light, "conv_id", ["late", "turn", "role", "begin", "mark"], "at"), "turns")
+    light = rows.select("conv_id", "late", "turn", "role", key, F.substring("text", 1, BEGIN).alias("begin")).distinct()
+    tied = ties(rows)
+    if tied is None:
+        light = light.withColumn("tie", F.lit(0).cast("long"))
+    else:
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "turn" else F.col(c) == F.col(f"_{c}") for c in ("conv_id", "late", "turn", "role", "mark")]
+        light = light.join(tied, same, "left").select(*light.columns, F.coalesce("tie", F.lit(0)).alias("tie"))
+    placed = stored(numbered(light, "conv_id", ["late", "turn", "role", "begin", "tie"], "at"), "turns")
     term = lambda seed: F.xxhash64("at", "role", "mark", F.lit(seed)).cast("decimal(20,0)")
     placed = placed.withColumns({"block": F.floor(F.col("at") / PART), "a": term(1), "b": term(2)})
     along = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

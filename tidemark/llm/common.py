@@ -54,7 +54,7 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def numbered(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: list[str], name: str, ranges: int | None = None) -> DataFrame:
     """Add ``name``: 0, 1, 2 ... within each key, in the given order.
 
     A window over the key would put all its rows into one task. Instead rows are
@@ -62,7 +62,7 @@ def numbered(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
     rows of the ranges before, of which there is one count per range and key. The
     order must tell all rows apart.
     """
-    ranged = df.repartitionByRange(shuffle_width(df.sparkSession), key, *order)
+    ranged = df.repartitionByRange(ranges or shuffle_width(df.sparkSession), key, *order)
     ranged = stored(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
     inside = Window.partitionBy(key, "_range").orderBy(*order)
     before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
