@@ -240,3 +240,16 @@ def test_unknown_member(tables):
     dim = star.with_unknown_member(tables.present())
     row = dim.where("customer_sk = '-1'").first()
     assert (row.customer_id, row.plan_tier, row.valid_to, row.is_current) == ("UNKNOWN", "UNKNOWN", None, True)
+
+
+def test_event_older_than_any_lookback_is_inserted(spark, tables, tmp_path):
+    files, table = str(tmp_path / "in"), state.ChangeTable(spark, str(tmp_path / "t"), "events", 2)
+    events = tables("event_arrivals").where("arrival_seq = 1").orderBy("event_timestamp", "event_id").limit(60).localCheckpoint()
+    top = events.agg(F.max("event_timestamp")).first()[0]
+    late = events.limit(1).withColumns({"event_id": F.lit("EVT-LATE"), "event_timestamp": ntz(top - timedelta(days=400))})
+    for part in (events, late.unionByName(events.limit(5))):
+        part.write.mode("append").parquet(files)
+        streams.stream_insert_events(streams.read_changes(spark, files, "events"), table, str(tmp_path / "checkpoint"))
+    assert rows(table.current(), "event_id") == rows(events.unionByName(late), "event_id")
+    with pytest.raises(ValueError, match="insert-only"):
+        streams.stream_insert_events(events, state.ChangeTable(spark, str(tmp_path / "o"), "orders"), "")

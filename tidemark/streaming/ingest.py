@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
 from queue import Queue
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.operators.state import ChangeTable
 from tidemark.schemas import SOURCES
@@ -43,20 +42,9 @@ def stream_upsert(changes: DataFrame, table: ChangeTable, checkpoint: str, name:
     query.awaitTermination()
 
 
-def first_arrivals(events: DataFrame, lookback: timedelta) -> DataFrame:
-    """Each event once. Ids are remembered for the lookback; what is later than that
-    is dropped, like rows below the effective mark in batch."""
-    seconds = int(lookback.total_seconds())
-    timed = events.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-    once = timed.withWatermark("_event_time", f"{seconds} seconds").dropDuplicatesWithinWatermark(["event_id"])
-    return once.drop("_event_time")
-
-
-def stream_insert_events(events: DataFrame, path: str, checkpoint: str, lookback: timedelta) -> None:
-    """Append first arrivals to a Parquet table, exactly once by the file sink's log."""
-    query = (
-        first_arrivals(events, lookback).writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+def stream_insert_events(events: DataFrame, table: ChangeTable, checkpoint: str, name: str = "stream") -> None:
+    """Insert each event once, by its first arrival, however late it comes: ids are
+    compared with all that are stored, so there is no time after which one is lost."""
+    if table.source.mutable:
+        raise ValueError(f"{table.name} is not insert-only")
+    stream_upsert(events, table, checkpoint, name)
