@@ -253,3 +253,26 @@ def test_event_older_than_any_lookback_is_inserted(spark, tables, tmp_path):
     assert rows(table.current(), "event_id") == rows(events.unionByName(late), "event_id")
     with pytest.raises(ValueError, match="insert-only"):
         streams.stream_insert_events(events, state.ChangeTable(spark, str(tmp_path / "o"), "orders"), "")
+
+
+@pytest.mark.parametrize("year", [1950, 2024, 2200])
+def test_arrival_without_numbers_follows_the_whole_time(spark, tables, tmp_path, year):
+    first = tables("raw_subscriptions").limit(40).localCheckpoint()
+    at = datetime(year, 3, 4, 5, 6, 7)
+    steps = [first.withColumns({"status": F.lit(f"S{n}"), "plan_tier": F.lit(f"P{n}"),
+                                "event_timestamp": ntz(at + timedelta(microseconds=n))}) for n in (2, 0, 3, 1)]
+    table = state.ChangeTable(spark, str(tmp_path), "subscriptions", 2)
+    table.merge(steps[0].unionByName(steps[1]).unionByName(steps[2]).unionByName(steps[3]), "A")
+    found = table.current().select("plan_tier", "status", "event_timestamp").distinct().collect()
+    assert [tuple(r) for r in found] == [("P0", "S3", at)]
+    later = [first.withColumns({"status": F.lit(f"T{n}"), "event_timestamp": ntz(at + timedelta(microseconds=n))}) for n in (9, 8)]
+    table.merge(later[0].unionByName(later[1]), "B")
+    assert {tuple(r) for r in table.current().select("status", "event_timestamp").collect()} == {("T9", at)}
+
+
+def test_tables_with_long_numbers_are_read(spark, tables, tmp_path):
+    changes = tables("order_changes")
+    old = changes.withColumn("arrival_seq", F.col("arrival_seq").cast("long"))
+    old.select("arrival_seq").write.parquet(str(tmp_path / "old"))
+    read = spark.read.schema(T.StructType().add("arrival_seq", state.SEQ)).parquet(str(tmp_path / "old"))
+    assert read.agg(F.max("arrival_seq")).first()[0] == 4

@@ -39,6 +39,7 @@ COMMITS = T.StructType([
     T.StructField("buckets", LONG, True),
 ])
 
+SEQ = T.DecimalType(38, 0)  # of arrivals; tables written with long numbers are read as such
 BUCKETS = 64  # of a new table whose creator names none
 MAX_DELTAS = 8  # additions to a bucket before it is rewritten
 MAX_FILES = 32  # the same for insert-only tables
@@ -203,7 +204,7 @@ class ChangeTable(VersionedTable):
         self.source, self.asked, self.max_deltas = source, buckets, max_deltas
         schema = T.StructType(source.schema.fields + [
             T.StructField("_ingested_at", TS),
-            T.StructField("_first_seq", LONG), T.StructField("_last_seq", LONG), T.StructField("_commit_no", LONG),
+            T.StructField("_first_seq", SEQ), T.StructField("_last_seq", SEQ), T.StructField("_commit_no", LONG),
         ])
         super().__init__(spark, root, source.name, schema, "bucket")
 
@@ -259,7 +260,7 @@ class ChangeTable(VersionedTable):
         log_path = f"{self.root}/log/batch={batch_id}"
         arrival = arrival_order(self.source, head.number + 1)
         if "arrival_seq" in batch.columns:
-            arrival = F.coalesce(F.col("arrival_seq"), arrival)
+            arrival = F.coalesce(F.col("arrival_seq").cast(SEQ), arrival)
         loaded = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
         batch.select(*self.source.columns, arrival.alias("arrival_seq"), F.lit(str(loaded)).cast(TS).alias("_ingested_at")).write.mode(
             "overwrite").parquet(log_path)
@@ -312,7 +313,7 @@ class ChangeTable(VersionedTable):
         return rewritten.unionByName(added.select(*rewritten.columns))
 
     def _log_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", LONG).add("_ingested_at", TS)
+        return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", SEQ).add("_ingested_at", TS)
 
     def change_log(self) -> DataFrame:
         """All committed change records, in a form the history dimension can use."""
@@ -324,11 +325,17 @@ class ChangeTable(VersionedTable):
 
 def arrival_order(source: Source, commit_no: int) -> Column:
     """The order in which rows of a commit count as arrived, for sources that have none
-    of their own: by commit, within it by second of the event time, then by a hash of the
-    row. Needs no sort, and is the same however often a commit is tried."""
-    seconds = F.coalesce(F.unix_seconds(F.col(source.ts).cast("timestamp")), F.lit(0))
-    within = F.shiftleft(F.greatest(F.least(seconds, F.lit((1 << 32) - 1)), F.lit(0)).cast("long"), 10)
-    return F.lit(commit_no << 42) + within + F.pmod(F.xxhash64(*source.columns), F.lit(1 << 10))
+    of their own: by commit, within it by the whole event time, then by a hash of the row.
+    Needs no sort, and is the same however often a commit is tried. The digits are, from
+    the left: commit (8), microseconds of any time above the least (20), hash (10)."""
+    micros = F.coalesce(F.unix_micros(F.col(source.ts).cast("timestamp")), F.lit(0))
+    row = F.pmod(F.xxhash64(*source.columns), F.lit(10 ** 10))
+
+    def part(value: Column, power: int) -> Column:  # as text: no sum or product of decimals loses a digit
+        return F.lpad(value.cast("string"), power, "0")
+
+    above = (micros.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("decimal(20,0)")
+    return F.concat(F.lit(str(commit_no)), part(above, 20), part(row, 10)).cast(SEQ)
 
 
 def content_signature(df: DataFrame) -> DataFrame:

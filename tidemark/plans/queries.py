@@ -246,6 +246,21 @@ def run_source(t: Tables) -> DataFrame:
     return state.ChangeTable(t.spark, f"{root}/orders", "orders", BUCKETS).current()
 
 
+@query
+def run_source_unnumbered(t: Tables) -> DataFrame:
+    """Changes without arrival numbers, three of each key within a tenth of a second."""
+    root = t.folder("run")
+    step = F.expr("make_dt_interval(0, 0, 0, CAST(n * 0.04 AS DECIMAL(18,6)))")
+    changes = t("raw_subscriptions").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumns({
+        "status": F.concat(F.lit("S"), F.col("n")), "plan_tier": F.concat(F.lit("P"), F.col("n")),
+        "event_timestamp": (F.col("event_timestamp") + step).cast("timestamp_ntz")})
+    half = F.substring("subscription_event_id", -1, 1).isin("0", "2", "4", "6", "8")
+    for run, part in (("RUN-1", changes.where(half & (F.col("n") == 0))), ("RUN-2", changes.where(~half | (F.col("n") > 0)))):
+        ingest.run_source(t.spark, root, "subscriptions", part.drop("n"), run, full_refresh=True, buckets=BUCKETS)
+    current = state.ChangeTable(t.spark, f"{root}/subscriptions", "subscriptions", BUCKETS).current()
+    return current.select("subscription_event_id", "plan_tier", "status", "event_timestamp")
+
+
 def change_logs(t: Tables) -> dict[str, DataFrame]:
     return {"customers": t("customer_changes"), "orders": t("order_changes"),
             "subscriptions": t("subscription_changes"), "events": t("event_arrivals")}
