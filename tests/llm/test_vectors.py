@@ -72,3 +72,9 @@ def test_odd_rows(spark):
                    (9, 4, 7, False), (10, 1, 10, True), (11, 1, 10, False), (12, 0, 12, True)]
     assert near_duplicates(df.where("false")).count() == 0
     assert [r.n_links for r in near_duplicates(df.where("vec_id = 8")).collect()] == [1, 1]
+
+
+def test_shorter_substrings_where_codes_do_not_reach():
+    x = np.random.default_rng(21).normal(size=(600, 24))
+    tables = vectors.learn(x / np.linalg.norm(x, axis=1, keepdims=True), 20_000_000, threshold=0.85)
+    assert len(tables.codes) == vectors.MOST_CODES and tables.bits < 20

@@ -117,6 +117,10 @@ def learn(x: np.ndarray, classes: int, threshold: float = THRESHOLD, recall: flo
         tables.codes.append(learn_rotation(x, len(tables.codes)))
         if (tables.places(x) == tables.places(pairs)).any(1).mean() >= recall:
             return tables
+    while tables.bits > 1:  # no more codes: shorter substrings meet more often, in fuller places
+        tables.bits -= 1
+        if (tables.places(x) == tables.places(pairs)).any(1).mean() >= recall:
+            return tables
     raise ValueError(f"{MOST_CODES} codes don't reach a recall of {recall}")
 
 
