@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, jaccard, language, packing, passages, quality, sharding, vectors, wordpiece
+from tidemark.llm import (
+    bpe, chat, fingerprints, jaccard, language, lexical, packing, passages, quality, sharding, vectors, whitening, wordpiece,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_vectors": vectors.op8_vectors,
         "op9_token_counts": wordpiece.op9_token_counts,
         "op10_near_copies": jaccard.op10_near_copies,
+        "op11_search": lexical.op11_search,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_fingerprints": fingerprints.op13_fingerprints,
     }
 
 
@@ -32,4 +37,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_passages": passages.OP7_SQL,
         "op8_vectors": vectors.OP8_SQL,
         "op10_near_copies": jaccard.OP10_SQL,
+        "op11_search": lexical.OP11_SQL,
+        "op13_fingerprints": fingerprints.OP13_SQL,
     }
