@@ -70,7 +70,7 @@ def test_polar_factor():
 
 
 def test_odd_rows(spark):
-    good = [[0.5, 1.0, 0.0], [0.25, -1.0, 2.0], [0.5, 1.0, 0.0], [1.0], [], [3.0, 0.0, 1e9]]
+    good = [[0.5, 1.0, 0.0], [0.25, -1.0, 2.0], [0.5, 1.0, 0.0], [1.0], [], [3.0, 0.0, 1e3]]
     bad = [None, [1.0, None, 2.0], [float("nan"), 0.0, 0.0], [float("inf"), 0.0, 0.0], [1e300, 0.0, 0.0]]
     rows = [(i, v, 1.5, "s") for i, v in enumerate(good)] + [(None, good[0], 1.5, "s")] + [(100 + i, v, 1.5, "s") for i, v in enumerate(bad)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, whitened double, x string")

@@ -28,7 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.llm.common import pick, shuffle_width, slices, stored, table, texts
 from tidemark.llm.hashing import filed, with_place
@@ -106,7 +106,7 @@ def compared(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """The rows of a frame with the ``likeness`` of two fingerprints, null where one is."""
     names = pairs.columns
     plain = pairs.toDF(*[f"_c{i}" for i in range(len(names))])
-    schema = plain.schema.add("_likeness", "double")
+    schema = T.StructType([*plain.schema.fields, T.StructField("_likeness", T.DoubleType())])
 
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
