@@ -72,10 +72,33 @@ def test_reduction_equals_sequential(spark, source, seed):
     assert rows(UPSERTS[source](frame(spark, source, log))) == as_rows(source, apply_one_by_one(source, log))
 
 
-def test_hot_subscription_key(spark):
-    log = random_log("subscriptions", 3)
-    found = cdc.upsert_subscriptions(frame(spark, "subscriptions", log), 20)
-    assert rows(found) == as_rows("subscriptions", apply_one_by_one("subscriptions", log))
+@pytest.mark.parametrize("seed", range(3, 9))
+def test_subscriptions_in_any_split(spark, seed):
+    """Reduced in random parts, then together, as tasks and batches do."""
+    rng, log = random.Random(seed), random_log("subscriptions", seed, n=rng_size(seed), keys=6)
+    parts = [[] for _ in range(rng.randrange(1, 6))]
+    for record in log:
+        rng.choice(parts).append(record)
+    frames = [frame(spark, "subscriptions", p).repartition(3) for p in parts if p]
+    whole = frames[0]
+    for f in frames[1:]:
+        whole = whole.unionByName(f)
+    expected = as_rows("subscriptions", apply_one_by_one("subscriptions", log))
+    assert rows(cdc.upsert_subscriptions(whole)) == expected
+
+
+def rng_size(seed):
+    return (1, 2, 10, 60, 300, 900)[seed % 6]
+
+
+def test_subscriptions_that_all_end_too_late(spark):
+    """Times only fall, so of each key the first arrival wins; equal times go to the last."""
+    log = random_log("subscriptions", 4, n=120, keys=5)
+    for i, record in enumerate(log):
+        record["event_timestamp"] = datetime(2024, 1, 2) - timedelta(minutes=i // 2)
+    changes = frame(spark, "subscriptions", log)
+    assert cdc.unsettled_subscriptions(cdc.as_changes(changes)).count() == len({r["subscription_event_id"] for r in log})
+    assert rows(cdc.upsert_subscriptions(changes)) == as_rows("subscriptions", apply_one_by_one("subscriptions", log))
 
 
 @pytest.mark.parametrize("source", SOURCES)
@@ -87,11 +110,11 @@ def test_batches_equal_one_load(spark, tmp_path, source, max_deltas):
     table, stored = ChangeTable(spark, str(tmp_path), source, 4, max_deltas), {}
     for no, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(log)])):
         batch = frame(spark, source, log[lo:hi])
-        first = table.merge(batch, f"B{no}", hot=20)
+        first = table.merge(batch, f"B{no}")
         apply_one_by_one(source, log[lo:hi], stored)
         assert (first.offered, first.replayed) == (hi - lo, False)
-        assert rows(table.current(hot=20)) == as_rows(source, stored)
-    again = table.merge(batch, "B2", hot=20)
+        assert rows(table.current()) == as_rows(source, stored)
+    again = table.merge(batch, "B2")
     assert (again.applied, again.replayed) == (0, True)
     assert table.watermark() == max(r[SOURCES[source].ts] for r in log)
     assert table.change_log().count() == len(log)

@@ -11,7 +11,10 @@ one of three reductions per key:
   not older than the first one wins, the last of them finally.
 
 All of them combine before the shuffle, so a key with any number of changes sends
-one row per task. State rows carry the first and last arrival they stand for
+one row per task. For subscriptions that takes two steps, as which changes count depends on the
+first arrival: the first and the last arrival of each key are found first, and where the last
+one is not older than the first it has won. Only keys whose last arrival came too late are
+looked through again, for the last arrival that did not. State rows carry the first and last arrival they stand for
 (``_first_seq``, ``_last_seq``), which closes the reductions: state plus new
 changes reduces to the same state as the full log.
 """
@@ -20,10 +23,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.operators.skew import (
-    HOT_ROWS, Heat, along_key, resolve, split_hot, with_key_value,
-)
+from tidemark.operators.skew import HOT_ROWS, Heat, along_key, with_key_value
 from tidemark.schemas import SOURCES, Source
+from tidemark.session import new_folder
 
 LATEST = ("_last_seq", "_commit_no", "_ingested_at")  # follow the last change applied
 
@@ -43,12 +45,12 @@ def _newest(rows: DataFrame, key: str, *order) -> DataFrame:
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def reduce_customers(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+def reduce_customers(rows: DataFrame) -> DataFrame:
     s = SOURCES["customers"]
     return _newest(rows, s.key, F.desc(s.ts), F.desc("_last_seq"))
 
 
-def reduce_orders(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+def reduce_orders(rows: DataFrame) -> DataFrame:
     s = SOURCES["orders"]
     fixed = [c for c in rows.columns if c not in (*s.mutable, s.key, *LATEST)]
     moving = [c for c in rows.columns if c not in (*fixed, s.key)]
@@ -59,33 +61,34 @@ def reduce_orders(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     return reduced.select(s.key, "_first.*", "_last.*").select(*rows.columns)
 
 
-def reduce_subscriptions(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+def unsettled_subscriptions(rows: DataFrame) -> DataFrame | None:
+    """Keys whose last arrival is older than their first, with the time of the first
+    (``_guard``); None if there are none. Stored, so a join with them knows their size."""
+    s = SOURCES["subscriptions"]
+    ends = rows.groupBy(s.key).agg(
+        F.min_by(s.ts, "_first_seq").alias("_guard"), F.max_by(s.ts, "_last_seq").alias("_tail"))
+    found, path = ends.where("_tail < _guard").select(F.col(s.key).alias("_open_key"), "_guard"), new_folder(rows.sparkSession, "unsettled")
+    found.write.parquet(path)
+    kept = rows.sparkSession.read.schema(found.schema).parquet(path)
+    return None if kept.isEmpty() else kept
+
+
+def reduce_subscriptions(rows: DataFrame) -> DataFrame:
     s = SOURCES["subscriptions"]
     moving = [c for c in rows.columns if c in (*s.mutable, *LATEST)]
     fixed = [c for c in rows.columns if c not in (*moving, s.key)]
-
-    def reduce(guarded: DataFrame) -> DataFrame:
-        accepted = F.col(s.ts) >= F.col("_guard")
-        reduced = guarded.groupBy(s.key).agg(
-            F.min_by(F.struct(*fixed), "_first_seq").alias("_first"),
-            F.max_by(F.when(accepted, F.struct(*moving)), F.when(accepted, F.col("_last_seq"))).alias("_last"),
-        )
-        return reduced.select(s.key, "_first.*", "_last.*").select(*rows.columns)
-
-    heat, first = resolve(rows, s.key, hot), F.min_by(s.ts, "_first_seq")
-    arrivals = Window.partitionBy(s.key).orderBy("_first_seq").rowsBetween(Window.unboundedPreceding, 0)
-    guard = F.first(s.ts).over(arrivals)
-    if heat.keys is None:
-        # The guard and the reduction share one shuffle.
-        return reduce(rows.withColumn("_guard", guard))
-    # The few guards of hot keys are joined back, and their rows combine where they lie.
-    cold, warm = split_hot(rows, s.key, heat)
-    guards = warm.groupBy(F.col(s.key).alias("_guard_key")).agg(first.alias("_guard"))
-    guarded = warm.join(guards, F.col(s.key).eqNullSafe(F.col("_guard_key"))).drop("_guard_key")
-    return reduce(cold.withColumn("_guard", guard)).unionByName(reduce(guarded))
-
-
-def reduce_events(rows: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+    last = F.max_by(F.struct(*moving), "_last_seq").alias("_last")
+    ends = rows.groupBy(s.key).agg(F.min_by(F.struct(*fixed), "_first_seq").alias("_first"), last)
+    unsettled = unsettled_subscriptions(rows)
+    if unsettled is not None:
+        # One row per key on the right: adaptive execution can split the left.
+        accepted = rows.join(unsettled, F.col(s.key) == F.col("_open_key")).where(F.col(s.ts) >= F.col("_guard"))
+        winners = accepted.groupBy("_open_key").agg(last.alias("_won"))
+        ends = ends.join(winners, F.col(s.key) == F.col("_open_key"), "left").withColumn("_last", F.coalesce("_won", "_last"))
+    return ends.select(s.key, "_first.*", "_last.*").select(*rows.columns)
+
+
+def reduce_events(rows: DataFrame) -> DataFrame:
     return _newest(rows, SOURCES["events"].key, F.asc("_first_seq"))
 
 
@@ -105,8 +108,8 @@ def upsert_orders(log: DataFrame) -> DataFrame:
     return _public(reduce_orders(as_changes(log)), SOURCES["orders"])
 
 
-def upsert_subscriptions(log: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
-    return _public(reduce_subscriptions(as_changes(log), hot), SOURCES["subscriptions"])
+def upsert_subscriptions(log: DataFrame) -> DataFrame:
+    return _public(reduce_subscriptions(as_changes(log)), SOURCES["subscriptions"])
 
 
 def insert_events(log: DataFrame, stored: DataFrame | None = None) -> DataFrame:

@@ -21,7 +21,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import cdc
-from tidemark.operators.skew import CALM, HOT_ROWS, Heat, resolve
 from tidemark.schemas import EPOCH, LONG, SOURCES, STR, TS, Source
 
 COMMITS = T.StructType([
@@ -217,35 +216,34 @@ class ChangeTable(VersionedTable):
         bucket = F.pmod(F.xxhash64(self.source.key), F.lit(buckets)).cast("string")
         return rows.withColumn("bucket", bucket)
 
-    def _state(self, head: Head, hot: Heat | int) -> DataFrame:
+    def _state(self, head: Head) -> DataFrame:
         """One row per key with its sequence numbers."""
         grown = [b for b, versions in head.parts.items() if len(versions) > 1]
         if not grown or not self.source.mutable:
             return self.read(head=head).drop("bucket")
         settled = [b for b in head.parts if b not in set(grown)]
-        reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"), hot)
+        reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"))
         return self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
 
-    def current(self, hot: Heat | int = HOT_ROWS, load_time: bool = False) -> DataFrame:
+    def current(self, load_time: bool = False) -> DataFrame:
         """One row per key; with ``load_time`` also when it was last applied."""
         head = self.head()
         self._buckets(head)
-        return self._state(head, hot).select(*self.source.columns, *(["_ingested_at"] if load_time else []))
+        return self._state(head).select(*self.source.columns, *(["_ingested_at"] if load_time else []))
 
-    def rebucket(self, buckets: int, batch_id: str, hot: Heat | int = HOT_ROWS) -> Outcome:
+    def rebucket(self, buckets: int, batch_id: str) -> Outcome:
         """Rewrite the table in another number of buckets, as one commit."""
         head = self.head(batch_id)
         if head.replayed:
             return Outcome(batch_id, 0, 0, replayed=True)
-        rows = self._bucketed(self._state(head, hot), buckets)
+        rows = self._bucketed(self._state(head), buckets)
         self.asked = buckets
         return self.replace(
             rows.select(*self.schema.fieldNames()), batch_id, None, head=head, offered=0, watermark=head.watermark,
             count_applied=False, buckets=buckets)
 
     def merge(
-        self, batch: DataFrame, batch_id: str, *, hot: Heat | int = HOT_ROWS, head: Head | None = None,
-        committed_at: datetime | None = None, loaded_at: datetime | None = None,
+        self, batch: DataFrame, batch_id: str, *, head: Head | None = None, committed_at: datetime | None = None, loaded_at: datetime | None = None,
     ) -> Outcome:
         """Apply one batch. A batch id that is already committed is left alone.
 
@@ -271,21 +269,13 @@ class ChangeTable(VersionedTable):
         seen = changes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top")).collect()
         mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
         touched, offered = [r["bucket"] for r in seen], sum(r["n"] for r in seen)
-        # Stored rows are few per key, so only a large batch makes one hot; but
-        # subscriptions may be stored as they came, and then count as well.
-        counted = logged.select(self.source.key)
-        unreduced = self.source.name == "subscriptions" and any(len(v) > 1 for v in head.parts.values())
-        if unreduced:
-            counted = counted.unionByName(self.read(only=touched, head=head).select(self.source.key))
-        calm = isinstance(hot, int) and offered <= hot and not unreduced
-        heat = CALM if calm else resolve(counted, self.source.key, hot)
         if self.source.mutable:
             due = [b for b in touched if len(head.parts.get(b, [])) > self.max_deltas or b not in head.parts]
-            rows = self._merged(changes, due, head, heat, buckets)
+            rows = self._merged(changes, due, head, buckets)
         else:
             # Of stored files only the keys are read, but for buckets of many files.
             due, stored = [b for b in touched if len(head.parts.get(b, [])) >= MAX_FILES], self.read(only=touched, head=head)
-            fresh = cdc.reduce_events(changes, heat)
+            fresh = cdc.reduce_events(changes)
             rows = fresh.join(stored.select(self.source.key), self.source.key, "left_anti")
             if due:
                 rows = rows.unionByName(self.read(only=due, head=head).select(*rows.columns))
@@ -294,20 +284,20 @@ class ChangeTable(VersionedTable):
             count_applied=not self.source.mutable or len(due) == len(touched), committed_at=committed_at,
             buckets=buckets)
 
-    def _merged(self, changes: DataFrame, due: list[str], head: Head, heat: Heat, buckets: int) -> DataFrame:
+    def _merged(self, changes: DataFrame, due: list[str], head: Head, buckets: int) -> DataFrame:
         """New content of the buckets due for a rewrite, and additions to the others."""
         reducer, stored = cdc.REDUCERS[self.source.name], self.read(only=due, head=head)
 
         def rewrite(part: DataFrame) -> DataFrame:
             both = stored.unionByName(part.select(*stored.columns))
-            return self._bucketed(reducer(both.drop("bucket"), heat), buckets)
+            return self._bucketed(reducer(both.drop("bucket")), buckets)
 
         if self.max_deltas == 0:
             return rewrite(changes)
         is_due = F.col("bucket").isin(due)
         rewritten, added = rewrite(changes.where(is_due)), changes.where(~is_due)
         if self.source.name != "subscriptions":
-            added = self._bucketed(reducer(added.drop("bucket"), heat), buckets)
+            added = self._bucketed(reducer(added.drop("bucket")), buckets)
         # Which subscription changes count depends on the stored first arrival, so
         # those are added as they are.
         return rewritten.unionByName(added.select(*rewritten.columns))
