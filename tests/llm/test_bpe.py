@@ -74,3 +74,31 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0, r.n_tokens, bytes(r.decoded)) for r in out) == [
         (0, 0, b""), (1, 0, b""), (1, 2, b"a b"), (1, 2, b"a b")]
     assert bpe.encoded(df.where("false")).count() == 0
+
+
+def test_caches_are_bounded_by_what_they_hold(monkeypatch):
+    """Thousands of long words leave nothing behind, and no word is cut or lost."""
+    from tidemark.llm import bpe, common
+
+    made = []
+    cache = common.WordCache(lambda w: made.append(len(w)) or len(w), 100, 1000)
+    for n in range(5000):
+        assert cache[b"x" * (1 << 14) + str(n).encode()] == (1 << 14) + len(str(n))
+        assert cache[b"short%d" % n] == len(b"short%d" % n)
+        assert len(cache) <= 100 and sum(map(len, cache)) <= 1100
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 200)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    own, plain = bpe.Codec(bpe.vocabulary_path()), bpe.Codec(bpe.vocabulary_path())
+    for n in range(20):
+        texts = [f"a{n} b{n} " * 20 + "x" * (250 + n), "word " * n + "\t" + "longer" * 60, " y", "z" * 256 + " " + "z" * 255]
+        assert own.encode_all(texts) == [plain.encode(t) for t in texts]
+        assert max(map(len, own.words)) <= bpe.SHORT and len(own.words) <= 400
+        assert [own.decode(i) for i in own.encode_all(texts)] == texts
+
+
+def test_very_long_text(spark):
+    from tidemark.llm import bpe
+
+    text = "many words of one text " * 100_000 + "q" * 100_000
+    (row,) = bpe.encoded(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row.decoded.decode() == text and row.n_tokens * 4 == len(row.ids)

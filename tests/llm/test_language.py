@@ -30,7 +30,7 @@ def segmentations(text, pieces):
 
 def test_forward_sums_all_segmentations(model):
     pieces = {p: i for i, p in enumerate(vocabulary(PATH))}
-    other, plain = len(pieces), model.weights / language.lattice(PATH).scale[:, None]
+    other, plain = len(pieces), model.weights
     for word in ["the", "Änder", "xq", "a", "\U000e0101z", "ation"]:
         text = MARK + word.lower()
         sums = sum(np.prod([plain[pieces.get(p, other)] for p in parts], axis=0) for parts in segmentations(text, pieces))
@@ -44,9 +44,61 @@ def test_expected_counts_cover_each_character(model):
     assert math.isclose((counts * sizes).sum(), sum(n * (len(w) + 1) for w, n in zip(words, times)), rel_tol=1e-9)
 
 
-def test_long_word_in_sections(model):
-    word = "abc" * 30_000
-    assert np.isfinite(language.log_sums([word], model)).all()
+def exact_log_sum(word, pieces, logs):
+    """The forward sum in logarithms, position by position."""
+    text, longest = MARK + word.lower(), max(map(len, pieces))
+    sums = [np.zeros(logs.shape[1])]
+    for j in range(1, len(text) + 1):
+        terms = [sums[i] + logs[pieces[text[i:j]]] for i in range(max(0, j - longest), j) if text[i:j] in pieces]
+        if text[j - 1] not in pieces:
+            terms.append(sums[j - 1] + logs[len(pieces)])
+        sums.append(np.logaddexp.reduce(terms, axis=0))
+    return sums[-1]
+
+
+@pytest.fixture(scope="module")
+def lopsided():
+    """Counts of millions in the Latin pieces only, so that other scripts are very improbable."""
+    latin = np.array([p.replace(MARK, "").isascii() for p in vocabulary(PATH)] + [False])
+    return language.Model(["a", "b"], np.stack((latin * 200.0, latin * 190.0 + 1e-3), 1) * 6, PATH)
+
+
+@pytest.mark.parametrize("word", ["thequickbrownfox" * 625, "สวัสดีครับ" * 1000, "北京" * 40, "กขค" * 20, "x\U0001f600" * 300, "é"])
+@pytest.mark.parametrize("span", [64, 1 << 15])
+def test_words_of_any_length_in_any_script(lopsided, word, span, monkeypatch):
+    monkeypatch.setattr(language, "SPAN", span)
+    pieces = {p: i for i, p in enumerate(vocabulary(PATH))}
+    exact = exact_log_sum(word, pieces, np.log(lopsided.weights))
+    assert np.allclose(language.log_sums([word, "the", word[:7]], lopsided)[0], exact, rtol=1e-9)
+    ((lang, score),) = language.Scorer(lopsided)([word])
+    assert lang == "ab"[int(exact.argmax())] and 0 <= score <= 1
+
+
+def test_expected_counts_of_long_words(lopsided, monkeypatch):
+    words, times = ["ab" * 3000, "กข" * 500, "the"], np.array([1, 2, 3])
+    whole = language.expected(words, times, PATH, lopsided.weights[:, :1])
+    monkeypatch.setattr(language, "SPAN", 50)
+    assert np.allclose(whole, language.expected(words, times, PATH, lopsided.weights[:, :1]))
+    sizes = np.array([len(p) for p in vocabulary(PATH)] + [1])
+    assert math.isclose((whole * sizes).sum(), sum(n * (len(w) + 1) for w, n in zip(words, times)), rel_tol=1e-9)
+
+
+def test_memory_of_the_scorer_is_bounded(lopsided, monkeypatch):
+    monkeypatch.setattr(language, "CACHE_WORDS", 50)
+    monkeypatch.setattr(language, "CACHE_BYTES", 300)
+    scorer, plain = language.Scorer(lopsided), language.Scorer(lopsided)
+    for n in range(30):
+        texts = [f"word{n} other{n} " * 5, "y" * (200 + n), "the " * n, None, "12 34"]
+        assert scorer(texts) == [language.Scorer(lopsided)([t])[0] for t in texts]
+        assert len(scorer.known) <= 60 and all(len(w) <= language.LONG_WORD for w in scorer.known)
+    assert plain(["", " ", "..."]) == [("und", 0.0)] * 3
+
+
+def test_very_long_text(spark, lopsided):
+    text = "the cat and the dog " * 100_000 + "z" * 30_000
+    df = spark.createDataFrame([(1, text), (2, "the cat")], "doc_id long, text string")
+    out = {r.doc_id: r for r in language.identified(df, lopsided).collect()}
+    assert out[1].lang_pred in ("a", "b") and 0 <= out[1].score <= 1
 
 
 def test_query_on_held_out_rows(spark, sf_dir):

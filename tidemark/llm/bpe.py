@@ -10,7 +10,8 @@ parts. Both give the same ids. Words seen before come from a cache of bounded si
 
 Results for odd input: null and empty texts give no ids. A text of any length is
 encoded whole. The special token's own string in a text becomes its id, as the
-library does by default. Rows with equal or null ``doc_id`` are rows like others.
+library does by default. Rows with equal or null ``doc_id`` are rows like others, and an
+empty table gives no rows. Caches are bounded in words and in characters.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import CACHE_WORDS, pick, slices, table, texts
+from tidemark.llm.common import CACHE_BYTES, CACHE_WORDS, pick, slices, table, texts
 
 #: How byte-level vocabularies split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
@@ -72,6 +73,7 @@ class Codec:
         self.apart = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         self.words: dict[str, bytes] = {}  # word: ids
         self.spaced: dict[str, bytes] = {}  # what stands between two spaces: ids, with the space before it
+        self.held = [0, 0]  # characters of the words in either
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right
@@ -167,20 +169,27 @@ class Codec:
         """Encode what these texts, split at spaces, add to the cache. Only what neither
         is empty nor begins or ends with white space: after a space that follows such a
         part, a word begins, and it is split alike whatever came before it."""
-        if len(self.spaced) > CACHE_WORDS:
+        if len(self.spaced) > CACHE_WORDS or self.held[1] > CACHE_BYTES:
             self.spaced.clear()
+            self.held[1] = 0
         new = set().union(*texts).difference(self.spaced)
-        new = [w for w in new if w and len(w) <= SHORT and not (w[0].isspace() or w[-1].isspace())]
+        new = [w for w in new if w and len(w) < SHORT and not (w[0].isspace() or w[-1].isspace())]
         split = [self.split(" " + w) for w in new]
         self._learn_words(set().union(*split))
         get = self.words.__getitem__
         self.spaced.update(zip(new, [b"".join(map(get, ws)) for ws in split]))
+        self.held[1] += sum(map(len, new))
 
-    def _learn_words(self, words: set[str]) -> None:
-        if len(self.words) > CACHE_WORDS:
+    def _learn_words(self, words: set[str]) -> dict[str, bytes]:
+        """Encode words for the cache; long ones are not kept but returned."""
+        if len(self.words) > CACHE_WORDS or self.held[0] > CACHE_BYTES:
             self.words.clear()
+            self.held[0] = 0
         words = list(words.difference(self.words))
-        self.words.update(zip(words, self.encode_words(words)))
+        short, long = [w for w in words if len(w) <= SHORT], [w for w in words if len(w) > SHORT]
+        self.words.update(zip(short, self.encode_words(short)))
+        self.held[0] += sum(map(len, short))
+        return dict(zip(long, self.encode_words(long)))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -209,8 +218,8 @@ class Codec:
         try:
             return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            self._learn_words(set(words))
-            return b"".join(map(self.words.__getitem__, words))
+            long = self._learn_words(set(words))
+            return b"".join([long[w] if len(w) > SHORT else self.words[w] for w in words])
 
     def decode(self, ids: bytes) -> str:
         pieces = b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I").tolist()))

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidemark.session import new_folder
 
 WHITE = b" \t\n\x0b\x0c\r"  # bytes.split() and bytes.strip() use just these
-CACHE_WORDS = 500_000  # entries of a word cache; a full one starts again
+CACHE_WORDS, CACHE_BYTES = 300_000, 24 << 20  # of a word cache; a full one starts again
+LONG_WORD = 256  # longer words are not kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,16 +80,21 @@ def numbered(df: DataFrame, key: str, order: list[str], name: str, ranges: int |
 
 
 class WordCache(dict):
-    """What a function gives for a word, kept for the words seen lately."""
+    """What a function gives for a word, kept for the words seen lately: so many words
+    and so many bytes of them at most, none of them long."""
 
-    def __init__(self, make, limit: int = CACHE_WORDS):
+    def __init__(self, make, limit: int = CACHE_WORDS, most: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.most, self.held = make, limit, most, 0
 
     def __missing__(self, word):
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = value = self.make(word)
+        value = self.make(word)
+        if len(word) <= LONG_WORD:
+            if len(self) >= self.limit or self.held > self.most:
+                self.clear()
+                self.held = 0
+            self.held += len(word)
+            self[word] = value
         return value
 
 

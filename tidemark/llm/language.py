@@ -4,8 +4,8 @@ The pieces of a fixed public vocabulary are given a probability in every languag
 probability of a word is the sum, over all ways to cut it into pieces, of the product
 of their probabilities; the forward algorithm adds them up from left to right. Words
 are lower-cased, split at ASCII white space and read with a mark before them; a
-character in no piece is a piece of its own kind. Words above ``SECTION`` characters
-are summed section by section. A text is scored by its words; the prediction is the
+character in no piece is a piece of its own kind. Words of any length are summed whole: only as
+many positions are held as the longest piece spans, and their common scale moves along. A text is scored by its words; the prediction is the
 language of the highest sum of logarithms, and its score the share of that language
 if the text were one average word: 1 where the words speak for one language only,
 near 1/languages where they don't tell.
@@ -18,68 +18,108 @@ every value of the language column, which is taken to have few.
 
 Results for odd input: a null text and one without a letter is ``und`` with score 0.
 Rows without a language teach nothing but are predicted. If no row can teach, all
-are ``und``. Texts are scored whole. Equal and null ids are rows like others.
+are ``und``. Texts are scored whole, however long they or their words are, and scores lie
+between 0 and 1. Equal and null ids are rows like others, equal sums go to the first language by
+name, an empty table gives no rows, and further columns of any name don't matter.
 """
 
 from __future__ import annotations
 
 import functools
-import math
-import uuid
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import CACHE_WORDS, only_rows, pick, shuffle_width, slices, stored, table, texts
+from tidemark.llm.common import only_rows, pick, shuffle_width, slices, stored, table, texts
 from tidemark.llm.wordpiece import MARK, vocabulary, vocabulary_path
 
 SAMPLE = 2000
 ROUNDS = 3
-SECTION = 48  # characters
-SCALE = 20.0  # per character, so that sums stay within range
+CELLS, SPAN = 1 << 17, 1 << 15  # characters of a group of words, and of one look at their pieces
+LEAST = 1e-30  # smaller numbers move the scale
+CACHE_WORDS, CACHE_BYTES, LONG_WORD = 200_000, 8 << 20, 64
 PRIOR = 0.05  # added to every count
 UNDECIDED = "und"
 
 
 class Lattice:
-    """All pieces in a list of words: word, first and last character, piece."""
+    """Finds all pieces in words: at each character, as far as a piece goes."""
 
     def __init__(self, path: str):
         pieces = vocabulary(path)
         self.size = len(pieces) + 1  # the last: a character in no piece
-        self.trie: list[dict[str, int]] = [{}]
-        self.end = [-1]
+        self.longest = max(map(len, pieces), default=1)
+        letters = sorted({c for p in pieces for c in p})
+        self.kinds = np.zeros(ord(letters[-1]) + 2, np.int64)  # 0: in no piece
+        self.kinds[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.width = len(letters) + 1
+        kind = {c: i for i, c in enumerate(letters, 1)}
+        steps, ends = {}, [-1]
         for number, piece in enumerate(pieces):
             node = 0
             for c in piece:
-                if c not in self.trie[node]:
-                    self.trie[node][c] = len(self.trie)
-                    self.trie.append({})
-                    self.end.append(-1)
-                node = self.trie[node][c]
-            self.end[node] = number
-        self.scale = np.array([SCALE ** len(p) for p in pieces] + [SCALE])
+                after = steps.setdefault(node * self.width + kind[c], len(ends))
+                if after == len(ends):
+                    ends.append(-1)
+                node = after
+            ends[node] = number
+        self.ends = np.array(ends, np.int32)
+        # Steps by (node, kind) in a hash table of numbers: the place of a key, or one of the next.
+        self.bits = max(4, (4 * len(steps)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.after = np.full(1 << self.bits, -1, np.int32)
+        keys, after = np.array(list(steps), np.int64), np.array(list(steps.values()), np.int32)
+        place = self._place(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            self.keys[place[free]], self.after[place[free]] = keys[free], after[free]
+            lost = self.keys[place] != keys
+            keys, after, place = keys[lost], after[lost], (place[lost] + 1) & (1 << self.bits) - 1
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _step(self, nodes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Where a character leads from each node, or -1."""
+        keys = nodes * self.width + kinds
+        place = self._place(keys)
+        seen = self.keys[place]
+        found = np.where(seen == keys, self.after[place], -1).astype(np.int64)
+        open_ = np.flatnonzero((seen != keys) & (seen >= 0))
+        while len(open_):
+            place[open_] = (place[open_] + 1) & (1 << self.bits) - 1
+            seen = self.keys[place[open_]]
+            hit = seen == keys[open_]
+            found[open_[hit]] = self.after[place[open_[hit]]]
+            open_ = open_[~hit & (seen >= 0)]
+        return found
 
     def arcs(self, words: list[str]) -> np.ndarray:
-        """Columns: word, start, stop, piece; ordered by stop."""
-        found, trie, end, other = [], self.trie, self.end, self.size - 1
-        for w, word in enumerate(words):
-            for i, c in enumerate(word):
-                node, single = trie[0].get(c), True
-                j = i + 1
-                while node is not None:
-                    if end[node] >= 0:
-                        found.append((w, i, j, end[node]))
-                        single = single and j > i + 1
-                    if j == len(word):
-                        break
-                    node = trie[node].get(word[j])
-                    j += 1
-                if single:
-                    found.append((w, i, i + 1, other))
-        arcs = np.array(found, np.int32).reshape(-1, 4)
-        return arcs[np.argsort(arcs[:, 2], kind="stable")]
+        """Rows of word, start, stop, piece."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = self.kinds[np.minimum(text, len(self.kinds) - 1)]
+        word = np.repeat(np.arange(len(words)), lengths)
+        start = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at, nodes, left, found = np.arange(len(text)), np.zeros(len(text), np.int64), lengths[word] - start, []
+        for size in range(1, self.longest + 1):
+            nodes = self._step(nodes, kinds[at + size - 1])
+            ends = np.where(nodes >= 0, self.ends[nodes], -1)
+            if size == 1:  # a character that is no piece goes by itself all the same
+                here = np.where(ends >= 0, ends, self.size - 1)
+                found.append((at, here, size))
+            else:
+                some = ends >= 0
+                found.append((at[some], ends[some], size))
+            on = (nodes >= 0) & (left[at] > size)
+            at, nodes = at[on], nodes[on]
+            if not len(at):
+                break
+        return np.concatenate([
+            np.stack((word[i], start[i], start[i] + size, piece), 1).astype(np.int32) for i, piece, size in found])
 
 
 @functools.cache
@@ -87,76 +127,128 @@ def lattice(path: str) -> Lattice:
     return Lattice(path)
 
 
-def sections(word: str) -> list[str]:
-    word = MARK + word.lower()
-    return [word[i:i + SECTION] for i in range(0, len(word), SECTION)]
-
-
-def forward(arcs: np.ndarray, n: int, width: int, weights: np.ndarray) -> np.ndarray:
-    """alpha[word, position, language]; ``weights`` by piece and language."""
-    alpha = np.zeros((n, width + 1, weights.shape[1]))
-    alpha[:, 0] = 1
-    edges = np.searchsorted(arcs[:, 2], np.arange(width + 2))
-    for j in range(1, width + 1):
-        some = arcs[edges[j]:edges[j + 1]]
-        np.add.at(alpha[:, j], some[:, 0], alpha[some[:, 0], some[:, 1]] * weights[some[:, 3]])
-    return alpha
-
-
-def backward(arcs: np.ndarray, lengths: np.ndarray, width: int, weights: np.ndarray) -> np.ndarray:
-    beta = np.zeros((len(lengths), width + 1, weights.shape[1]))
-    beta[np.arange(len(lengths)), lengths] = 1
-    order = np.argsort(-arcs[:, 1], kind="stable")
-    arcs = arcs[order]
-    edges = np.searchsorted(-arcs[:, 1], -np.arange(width, -2, -1))
-    for k, i in enumerate(range(width, -1, -1)):
-        some = arcs[edges[k]:edges[k + 1]]
-        np.add.at(beta[:, i], some[:, 0], beta[some[:, 0], some[:, 2]] * weights[some[:, 3]])
-    return beta
+def marked(word: str) -> str:
+    return MARK + word.lower()
+
+
+def _groups(words: list[str]) -> Iterator[np.ndarray]:
+    """Numbers of words of about one length, so that a group has at most ``CELLS`` characters, or one word."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
+    begin = 0
+    while begin < len(order):
+        end = begin + 1
+        top = min(len(order), begin + 4096)
+        while end < top and (end + 1 - begin) * lengths[order[end]] <= CELLS:
+            end += 1
+        yield order[begin:end]
+        begin = end
+
+
+def _sorted_arcs(own: Lattice, words: list[str], begin: int, end: int, by: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arcs that stop (``by`` 2) in (begin, end], or start (``by`` 1) in [begin, end), in
+    order, and where each position's begin."""
+    low, high = (max(0, begin - own.longest), end) if by == 2 else (begin, end + own.longest)
+    arcs = own.arcs([w[low:high] for w in words])
+    arcs[:, 1:3] += low
+    arcs = arcs[(arcs[:, 2] > begin) if by == 2 else (arcs[:, 1] < end)]
+    arcs = arcs[np.argsort(arcs[:, by], kind="stable")]
+    first = begin + 1 if by == 2 else begin
+    return arcs, np.searchsorted(arcs[:, by], np.arange(first, first + end - begin + 1))
+
+
+def forward(own: Lattice, words: list[str], weights: np.ndarray, keep: bool = False):
+    """Logarithm of the sum over all segmentations, by word and column of ``weights``
+    (piece, column); with ``keep`` also of those of every beginning of the words.
+
+    Only the last positions that a piece can reach back to are held, in one scale for each word
+    and column, which moves along before numbers get too small.
+    """
+    n, ring, columns = len(words), own.longest + 1, weights.shape[1]
+    lengths = np.array([len(w) for w in words])
+    width = int(lengths.max())
+    sums, scale = np.zeros((n, ring, columns)), np.zeros((n, columns))
+    sums[:, 0] = 1
+    out, kept = np.zeros((n, columns)), np.zeros((n, width + 1, columns)) if keep else None
+    ends = [np.flatnonzero(lengths == j) for j in range(width + 1)] if width <= 4096 else None
+    for begin in range(0, width, SPAN):
+        end = min(begin + SPAN, width)
+        arcs, edges = _sorted_arcs(own, words, begin, end, 2)
+        for j in range(begin + 1, end + 1):
+            some = arcs[edges[j - begin - 1]:edges[j - begin]]
+            now = sums[:, j % ring]
+            now[:] = 0
+            np.add.at(now, some[:, 0], sums[some[:, 0], some[:, 1] % ring] * weights[some[:, 3]])
+            small = (now < LEAST) & (now > 0)
+            if small.any():
+                factor = np.where(small, 1 / np.where(small, now, 1), 1)
+                sums *= factor[:, None, :]
+                scale -= np.log(factor)
+            done = ends[j] if ends is not None else np.flatnonzero(lengths == j)
+            if len(done):
+                out[done] = np.log(now[done]) + scale[done]
+            if keep:
+                with np.errstate(divide="ignore"):
+                    kept[:, j] = np.log(now) + scale
+    return (out, kept) if keep else out
+
+
+def backward(own: Lattice, words: list[str], weights: np.ndarray) -> np.ndarray:
+    """The same from each position to the end of the word, for one column of weights."""
+    n, ring = len(words), own.longest + 1
+    lengths = np.array([len(w) for w in words])
+    width = int(lengths.max())
+    sums, scale, kept = np.zeros((n, ring)), np.zeros(n), np.full((n, width + 1), -np.inf)
+    for end in range(width, -1, -SPAN):
+        begin = max(0, end - SPAN + 1)
+        arcs, edges = _sorted_arcs(own, words, begin, end + 1, 1)
+        for i in range(end, begin - 1, -1):
+            some = arcs[edges[i - begin]:edges[i - begin + 1]]
+            now = sums[:, i % ring]
+            now[:] = lengths == i
+            np.add.at(now, some[:, 0], sums[some[:, 0], some[:, 2] % ring] * weights[some[:, 3], 0])
+            small = (now < LEAST) & (now > 0)
+            if small.any():
+                factor = np.where(small, 1 / np.where(small, now, 1), 1)
+                sums *= factor[:, None]
+                scale -= np.log(factor)
+            with np.errstate(divide="ignore"):
+                kept[:, i] = np.log(now) + scale
+    return kept
 
 
 def log_sums(words: list[str], model: Model) -> np.ndarray:
-    """Log probability of each word in each language."""
-    out = np.zeros((len(words), len(model.langs)))
-    parts = [(i, s) for i, w in enumerate(words) for s in sections(w)]
-    parts.sort(key=lambda p: len(p[1]))
-    own = lattice(model.path)
-    for begin in range(0, len(parts), 4096):
-        some = parts[begin:begin + 4096]
-        lengths = np.array([len(s) for _, s in some])
-        arcs = own.arcs([s for _, s in some])
-        alpha = forward(arcs, len(some), int(lengths.max()), model.weights)
-        total = np.log(alpha[np.arange(len(some)), lengths]) - lengths[:, None] * math.log(SCALE)
-        np.add.at(out, [i for i, _ in some], total)
+    """Log probability of each word in each language, all segmentations summed."""
+    out, own, words = np.zeros((len(words), len(model.langs))), lattice(model.path), [marked(w) for w in words]
+    for some in _groups(words):
+        out[some] = forward(own, [words[i] for i in some], model.weights)
     return out
 
 
 def expected(words: list[str], times: np.ndarray, path: str, weights: np.ndarray) -> np.ndarray:
     """How often each piece is expected in the words, all segmentations weighted by
     their probability. ``weights``: one column."""
-    own, total = lattice(path), np.zeros(len(weights))
-    parts = [(s, n) for w, n in zip(words, times) for s in sections(w)]
-    parts.sort(key=lambda p: len(p[0]))
-    for begin in range(0, len(parts), 4096):
-        some = parts[begin:begin + 4096]
-        lengths = np.array([len(s) for s, _ in some])
-        arcs, width = own.arcs([s for s, _ in some]), int(lengths.max())
-        alpha = forward(arcs, len(some), width, weights)[:, :, 0]
-        beta = backward(arcs, lengths, width, weights)[:, :, 0]
-        w, i, j, p = arcs.T
-        share = alpha[w, i] * weights[p, 0] * beta[w, j] / alpha[w, lengths[w]]
-        total += np.bincount(p, share * np.array([n for _, n in some], float)[w], len(total))
+    own, total, words = lattice(path), np.zeros(len(weights)), [marked(w) for w in words]
+    logs = np.log(weights[:, 0])
+    for group in _groups(words):
+        some = [words[i] for i in group]
+        whole, before = forward(own, some, weights, keep=True)
+        after, width = backward(own, some, weights), max(map(len, some))
+        for begin in range(0, width, SPAN):
+            arcs, _ = _sorted_arcs(own, some, begin, min(begin + SPAN, width), 2)
+            w, i, j, p = arcs.T
+            share = np.exp(before[w, i, 0] + logs[p] + after[w, j] - whole[w, 0])
+            total += np.bincount(p, share * times[group][w], len(total))
     return total
 
 
 class Model:
-    """Languages, and the scaled probability of every piece in each of them."""
+    """Languages, and the probability of every piece in each of them."""
 
     def __init__(self, langs: list[str], counts: np.ndarray, path: str):
         self.langs, self.path = langs, path
-        self.token = uuid.uuid4().hex
         smooth = counts + PRIOR
-        self.weights = smooth / smooth.sum(0) * lattice(path).scale[:, None]
+        self.weights = smooth / smooth.sum(0)
 
 
 def in_training(id_col: str) -> Column:
@@ -216,44 +308,50 @@ def fit(rows: DataFrame, path: str | None = None, sample: int = SAMPLE, rounds:
 
 
 class Scorer:
+    """Predicts texts; the sums of words seen lately are kept, of ``CACHE_WORDS`` words
+    and ``CACHE_BYTES`` bytes at most, none of them long."""
+
     def __init__(self, model: Model | None):
-        self.model, self.known = model, {}
-        self.values = np.zeros((0, len(model.langs) if model else 1))
+        self.model, self.known, self.held, self.sums = model, {}, 0, None
+
+    def _values(self, words: set[bytes]) -> tuple[dict[bytes, int], np.ndarray]:
+        """A number for each of the words, and their sums by number."""
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > CACHE_WORDS or self.held > CACHE_BYTES:
+            self.known, self.held, self.sums, new = {}, 0, None, list(words)
+        short = [w for w in new if len(w) <= LONG_WORD]
+        long = [w for w in new if len(w) > LONG_WORD]
+        if short:
+            fresh = log_sums([w.decode() for w in short], self.model)
+            self.known.update(zip(short, range(len(self.known), len(self.known) + len(short))))
+            self.sums = fresh if self.sums is None else np.concatenate((self.sums, fresh))
+            self.held += sum(map(len, short))
+        if not long:
+            return self.known, self.sums
+        fresh = log_sums([w.decode() for w in long], self.model)
+        both = fresh if self.sums is None else np.concatenate((self.sums, fresh))
+        return self.known | dict(zip(long, range(len(self.known), len(both)))), both
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if self.model is None:
             return [(UNDECIDED, 0.0) for _ in texts]
-        split = [t.encode().split() if t else [] for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.values = {}, self.values[:0]
-        new = list({w for ws in split for w in ws}.difference(self.known))
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.values = np.concatenate((self.values, log_sums([w.decode() for w in new], self.model)))
-        out = []
-        for text, words in zip(texts, split):
-            if not text or not any(map(str.isalpha, text)):
-                out.append((UNDECIDED, 0.0))
-                continue
-            total = self.values[list(map(self.known.__getitem__, words))].sum(0)
-            best = int(total.argmax())
-            share = 1 / np.exp((total - total[best]) / len(words)).sum()
-            out.append((self.model.langs[best], float(share)))
+        split = [t.encode().split() if t and any(map(str.isalpha, t)) else [] for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        out = [(UNDECIDED, 0.0)] * len(texts)
+        rows = np.flatnonzero(sizes)
+        if not len(rows):
+            return out
+        known, sums = self._values(set().union(*split))
+        numbers = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        begins = (np.cumsum(sizes) - sizes)[rows]
+        total = np.add.reduceat(sums[numbers], begins, axis=0)
+        best = total.argmax(1)
+        apart = (total - total[np.arange(len(rows)), best][:, None]) / sizes[rows][:, None]
+        for row, k, share in zip(rows.tolist(), best.tolist(), (1 / np.exp(apart).sum(1)).tolist()):
+            out[row] = (self.model.langs[k], share)
         return out
 
 
-_scorer: dict[str, Scorer] = {}
-
-
-def scorer_of(model: Model | None) -> Scorer:
-    """The scorer of this worker process, so that a task finds the words of the last."""
-    token = model.token if model else ""
-    if token not in _scorer:
-        _scorer.clear()
-        _scorer[token] = Scorer(model)
-    return _scorer[token]
-
-
 class _Predict:
     """Adds prediction and score, or keeps the rows that reach a least score."""
 
@@ -263,8 +361,8 @@ class _Predict:
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        scorer = scorer_of(self.model)
-        for batch in slices(batches, "_text", 4 << 20):
+        scorer = Scorer(self.model)  # of this task; nothing outlives it
+        for batch in slices(batches, "_text", 2 << 20):
             nulls = batch.column("_text").is_null().to_pylist()
             found = scorer([None if none else t.decode() for none, t in zip(nulls, texts(batch, "_text"))])
             if self.least is not None:
