@@ -14,7 +14,7 @@ def plan(df):
 LAZY = sorted(set(entry.queries()) - {
     "scan_csv_landing", "write_landing_by_day", "record_failure", "run_source", "run_all", "backfill_window",
     "merge_into_target", "verify_idempotent", "build_marts", "materialize_mart", "partition_facts_monthly", "read_month_range",
-    "stream_upsert", "stream_insert_events"})
+    "stream_upsert", "stream_insert_events", "dim_customer_incremental", "refresh_fact_orders", "change_feed"})
 
 
 #: Operators that may use Python are those of the language-model part, but for the native one.

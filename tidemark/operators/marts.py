@@ -81,16 +81,17 @@ def latest_per_instant(changes: DataFrame, heat: Heat) -> DataFrame:
         return rows.withColumn("_rank", F.row_number().over(instant)).where("_rank = 1").drop("_rank")
 
     if heat.keys is None:
-        return last(changes).drop("arrival_seq")
+        return last(changes)
     cold, warm = split_hot(changes, "customer_id", heat)
-    return last(cold).unionByName(ranked(warm)).drop("arrival_seq")
+    return last(cold).unionByName(ranked(warm))
 
 
-def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
+def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Customer versions. Each is valid until the next one; the last one stays open.
 
     A deleted customer's last version stays open too but is not current. Feed it the
     staged change log to keep history, or one row per customer for the present only.
+    ``keep`` names further columns of the changes that the versions carry.
     """
     heat = resolve(stg, "customer_id", hot)
     if "arrival_seq" in stg.columns:
@@ -108,7 +109,7 @@ def dim_customer_scd2(stg: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
         "acquisition_channel",
         F.col("source_updated_at").alias("valid_from"),
         F.coalesce("_next", open_end()).alias("valid_to"),
-        (F.col("_next").isNull() & ~F.col("is_deleted")).alias("is_current"),
+        (F.col("_next").isNull() & ~F.col("is_deleted")).alias("is_current"), *keep,
     )
 
 
@@ -121,7 +122,7 @@ def scd2_compact(
     """
     heat = resolve(stg, "customer_id", hot)
     if "arrival_seq" in stg.columns:
-        stg = latest_per_instant(stg, heat)
+        stg = latest_per_instant(stg, heat).drop("arrival_seq")
 
     def previous(window):
         return {"_before": F.lag("_watched").over(window)}

@@ -14,7 +14,7 @@ nothing visible, and a repeated batch id is recognised. One writer per table.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -64,6 +64,7 @@ class Head:
     watermark: datetime | None = None
     replayed: bool = False
     buckets: int | None = None
+    batch_id: str = ""  # of the newest successful commit
 
 
 class VersionedTable:
@@ -95,12 +96,23 @@ class VersionedTable:
             F.max("commit_no").alias("number"),
             F.max_by("watermark", F.when(ok, F.col("commit_no"))).alias("watermark"),
             F.count_if(ok & (F.col("batch_id") == batch_id)).alias("replays"),
+            F.max_by("batch_id", F.when(ok, F.col("commit_no"))).alias("last_batch"),
         ).first()
         if row["number"] is None:
             return Head()
         # Of the parts only the newest commit's are read; statistics rule the other files out.
         newest = commits.where(F.col("commit_no") == row["number"]).select("parts", "buckets").first()
-        return Head(row["number"], newest["parts"], row["watermark"], row["replays"] > 0, newest["buckets"])
+        return Head(
+            row["number"], newest["parts"], row["watermark"], row["replays"] > 0, newest["buckets"], row["last_batch"] or "")
+
+    def head_at(self, number: int) -> Head:
+        """What the table was made of after a commit; nothing before the first one."""
+        if number == 0:
+            return Head()
+        row = self.commits().where(F.col("commit_no") == number).select("parts", "buckets").first()
+        if row is None:
+            raise ValueError(f"{self.root} has no commit {number}")
+        return Head(number, row["parts"], buckets=row["buckets"])
 
     def watermark(self, default: datetime = EPOCH) -> datetime:
         return self.head().watermark or default
@@ -225,6 +237,10 @@ class ChangeTable(VersionedTable):
         reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"))
         return self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
 
+    def state(self, head: Head, parts: list[str]) -> DataFrame:
+        """One row per key of the named buckets, as of a commit."""
+        return self._state(replace(head, parts={p: head.parts[p] for p in parts if p in head.parts}))
+
     def current(self, load_time: bool = False) -> DataFrame:
         """One row per key; with ``load_time`` also when it was last applied."""
         head = self.head()
@@ -243,12 +259,17 @@ class ChangeTable(VersionedTable):
             count_applied=False, buckets=buckets)
 
     def merge(
-        self, batch: DataFrame, batch_id: str, *, head: Head | None = None, committed_at: datetime | None = None, loaded_at: datetime | None = None,
+        self, batch: DataFrame, batch_id: str, *, head: Head | None = None, committed_at: datetime | None = None,
+        loaded_at: datetime | None = None, remembered: tuple[str, datetime] | None = None,
     ) -> Outcome:
         """Apply one batch. A batch id that is already committed is left alone.
 
         Rows without ``arrival_seq`` take their order from the commit and their time.
         All rows get the time of loading, now unless ``loaded_at`` says otherwise.
+
+        Rows of insert-only sources are compared with stored keys. ``remembered`` is for callers that
+        have dropped themselves what commits of theirs hold: ids beginning with the first part,
+        committed since the second. Then only rows not newer than the other commits are compared.
         """
         head = head or self.head(batch_id)
         if head.replayed:
@@ -265,8 +286,13 @@ class ChangeTable(VersionedTable):
         logged = self.spark.read.schema(self._log_schema()).parquet(log_path)
         number = F.lit(head.number + 1).cast("long")
         changes = self._bucketed(cdc.as_changes(logged).withColumn("_commit_no", number), buckets)
+        old = F.lit(True)
+        if remembered is not None:
+            mark_of_others = self._mark_of_others(*remembered)
+            old = F.lit(mark_of_others is not None) & F.coalesce(F.col(self.source.ts) <= F.lit(str(mark_of_others)).try_cast(TS), F.lit(True))
         # One line per bucket, whatever the batch size.
-        seen = changes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top")).collect()
+        seen = changes.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top"), F.max(old).alias("old")).collect()
         mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
         touched, offered = [r["bucket"] for r in seen], sum(r["n"] for r in seen)
         if self.source.mutable:
@@ -274,9 +300,11 @@ class ChangeTable(VersionedTable):
             rows = self._merged(changes, due, head, buckets)
         else:
             # Of stored files only the keys are read, but for buckets of many files.
-            due, stored = [b for b in touched if len(head.parts.get(b, [])) >= MAX_FILES], self.read(only=touched, head=head)
-            fresh = cdc.reduce_events(changes)
-            rows = fresh.join(stored.select(self.source.key), self.source.key, "left_anti")
+            due, compared = [b for b in touched if len(head.parts.get(b, [])) >= MAX_FILES], [r["bucket"] for r in seen if r["old"]]
+            rows = cdc.reduce_events(changes)
+            if any(b in head.parts for b in compared):
+                stored = self.read(only=compared, head=head).select(self.source.key)
+                rows = rows.where(~old).unionByName(rows.where(old).join(stored, self.source.key, "left_anti"))
             if due:
                 rows = rows.unionByName(self.read(only=due, head=head).select(*rows.columns))
         return self.replace(
@@ -284,6 +312,11 @@ class ChangeTable(VersionedTable):
             count_applied=not self.source.mutable or len(due) == len(touched), committed_at=committed_at,
             buckets=buckets)
 
+    def _mark_of_others(self, prefix: str, since: datetime) -> datetime | None:
+        """The mark that successful commits other than those of a caller had reached."""
+        own = F.col("batch_id").startswith(prefix) & (F.col("committed_at") >= F.lit(str(since)).cast(TS))
+        return self.commits().where((F.col("status") == "SUCCESS") & ~own).agg(F.max("watermark")).first()[0]
+
     def _merged(self, changes: DataFrame, due: list[str], head: Head, buckets: int) -> DataFrame:
         """New content of the buckets due for a rewrite, and additions to the others."""
         reducer, stored = cdc.REDUCERS[self.source.name], self.read(only=due, head=head)

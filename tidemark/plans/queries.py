@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions.dates import ntz
 from tidemark.functions.text import canonicalize
 from tidemark.operators.skew import HOT_ROWS, Heat, find_hot
-from tidemark.operators import cdc, incremental, marts, monitoring, profiling, quality, staging, star, state
+from tidemark.operators import cdc, incremental, marts, monitoring, profiling, quality, refresh, staging, star, state
 from tidemark.plans import ingest, warehouse as build
 from tidemark.schemas import (
     ACCOUNT_STATUSES, CONTRACTS, EPOCH, LONG, ORDER_STATUSES, PLAN_TIERS, SOURCES, SUBSCRIPTION_STATUSES,
@@ -462,6 +462,39 @@ def materialize_mart(t: Tables) -> DataFrame:
     return built.read().drop("slice")
 
 
+@query
+def dim_customer_incremental(t: Tables) -> DataFrame:
+    """The history, from three batches in no order of arrival, one of them offered twice."""
+    history, changes = refresh.HistoryTable(t.spark, t.folder("history"), BUCKETS), t("customer_changes")
+    for part in (2, 0, 0, 1):
+        history.merge(changes.where(F.col("arrival_seq") % 3 == part), f"BATCH-{part}")
+    return history.current()
+
+
+def order_facts(raw: DataFrame) -> DataFrame:
+    return marts.fact_orders(staging.stg_orders(raw))
+
+
+@query
+def refresh_fact_orders(t: Tables) -> DataFrame:
+    """The mart follows its source through new orders, updates, stale ones and ties."""
+    source = state.ChangeTable(t.spark, t.folder("orders"), "orders", BUCKETS, max_deltas=2)
+    mart = refresh.monthly_mart(t.spark, t.folder("mart"), "fact_orders")
+    for seq in (1, 2, 3, 4):
+        source.merge(t("order_changes").where(F.col("arrival_seq") == seq), f"BATCH-{seq}")
+        refresh.refresh_mart(source, mart, order_facts, "order_id", "order_timestamp")
+    return mart.read().drop("month")
+
+
+@query
+def change_feed(t: Tables) -> DataFrame:
+    """What the second batch of order changes took away and brought."""
+    source = state.ChangeTable(t.spark, t.folder("orders"), "orders", BUCKETS)
+    for seq in (1, 2):
+        source.merge(t("order_changes").where(F.col("arrival_seq") == seq), f"BATCH-{seq}")
+    return refresh.change_feed(source, 1)
+
+
 @query
 def build_marts(t: Tables) -> DataFrame:
     """The four marts, stored, and what is in them."""
@@ -820,7 +853,8 @@ def stream_upsert(t: Tables) -> DataFrame:
 @query
 def stream_insert_events(t: Tables) -> DataFrame:
     """Events arrive, the stream stops, all of them arrive again with others that are
-    older than those seen, most by more than two days; it resumes."""
+    older than those seen, most by more than two days; it resumes. Then a stream that
+    remembers none of it gets all of them once more."""
     files, checkpoint = t.folder("arrivals"), t.folder("checkpoint")
     table = state.ChangeTable(t.spark, t.folder("events"), "events", BUCKETS)
     arrivals = t("event_arrivals")
@@ -828,4 +862,5 @@ def stream_insert_events(t: Tables) -> DataFrame:
     for part in (arrivals.where(early), arrivals.where(~early)):
         part.write.mode("append").parquet(files)
         streams.stream_insert_events(streams.read_changes(t.spark, files, "events"), table, checkpoint)
+    streams.stream_insert_events(streams.read_changes(t.spark, files, "events"), table, t.folder("checkpoint"))
     return table.current()
