@@ -255,6 +255,78 @@ def test_event_older_than_any_lookback_is_inserted(spark, tables, tmp_path):
         streams.stream_insert_events(events, state.ChangeTable(spark, str(tmp_path / "o"), "orders"), "")
 
 
+def reads_of(table, monkeypatch):
+    """Which buckets a table's stored rows are read from, merge by merge."""
+    asked, plain = [], table.read
+    monkeypatch.setattr(table, "read", lambda only=None, head=None: asked.append(only) or plain(only=only, head=head))
+    return asked
+
+
+def test_recent_repetitions_need_no_stored_id(spark, tables, tmp_path, monkeypatch):
+    files, table = str(tmp_path / "in"), state.ChangeTable(spark, str(tmp_path / "t"), "events", 2)
+    events = tables("event_arrivals").where("arrival_seq = 1")
+    parts = [F.pmod(F.xxhash64("event_id"), F.lit(3)) == n for n in range(3)]
+    asked = reads_of(table, monkeypatch)
+
+    def run(rows_, checkpoint="c", **options):
+        rows_.write.mode("append").parquet(files)
+        streams.stream_insert_events(streams.read_changes(spark, files, "events"), table, str(tmp_path / checkpoint), **options)
+
+    run(events.where(parts[0]))
+    run(events.where(parts[0] | parts[1]))  # repeated, and others of any age
+    assert rows(table.current(), "event_id") == rows(events.where(parts[0] | parts[1]), "event_id")
+    assert [only for only in asked if only is not None] == []
+    offered = [r.offered for r in table.commits().orderBy("commit_no").collect() if r.offered]
+    assert offered == [events.where(parts[0]).count(), events.where(parts[1]).count()]  # the state dropped the rest
+    # Another job's commit is not in the state: what may be in it is compared with stored ids.
+    table.merge(events.where(parts[2]), "by-hand")
+    asked.clear()
+    later = events.limit(1).withColumns({"event_id": F.lit("EVT-NEW"), "event_timestamp": ntz("2031-01-01")})
+    run(later)
+    assert asked == []  # newer than any commit
+    run(events)
+    assert asked != []
+    run(events, checkpoint="other")  # a stream without memory
+    assert rows(table.current(), "event_id") == rows(events.unionByName(later), "event_id")
+
+
+def test_state_that_has_expired_is_made_up_for(spark, tables, tmp_path):
+    """With a window of no length every id is forgotten, and found among the stored ones."""
+    files, table = str(tmp_path / "in"), state.ChangeTable(spark, str(tmp_path / "t"), "events", 2)
+    events = tables("event_arrivals").where("arrival_seq = 1")
+    for _ in range(3):
+        events.write.mode("append").parquet(files)
+        stream = streams.read_changes(spark, files, "events")
+        streams.stream_insert_events(stream, table, str(tmp_path / "c"), window=timedelta(0))
+    assert rows(table.current(), "event_id") == rows(events, "event_id")
+
+
+def test_redelivered_batch_of_a_remembering_stream(spark, tables, tmp_path, monkeypatch):
+    """The job dies after the table's commit and before the stream's own."""
+    files, table = str(tmp_path / "in"), state.ChangeTable(spark, str(tmp_path / "t"), "events", 2)
+    events, merge = tables("event_arrivals").where("arrival_seq = 1"), state.ChangeTable.merge
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+
+    def run():
+        streams.stream_insert_events(streams.read_changes(spark, files, "events"), table, str(tmp_path / "c"))
+
+    def dies(self, *args, **options):
+        merge(self, *args, **options)
+        raise RuntimeError("lost")
+
+    events.where(half).write.parquet(files)
+    monkeypatch.setattr(state.ChangeTable, "merge", dies)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.undo()
+    run()  # the same batch again, and its state
+    events.write.mode("append").parquet(files)
+    run()
+    assert rows(table.current(), "event_id") == rows(events, "event_id")
+    offered = [r.offered for r in table.commits().orderBy("commit_no").collect() if r.offered]
+    assert offered == [events.where(half).count(), events.where(~half).count()]
+
+
 @pytest.mark.parametrize("year", [1950, 2024, 2200])
 def test_arrival_without_numbers_follows_the_whole_time(spark, tables, tmp_path, year):
     first = tables("raw_subscriptions").limit(40).localCheckpoint()
