@@ -14,7 +14,8 @@ def plan(df):
 LAZY = sorted(set(entry.queries()) - {
     "scan_csv_landing", "write_landing_by_day", "record_failure", "run_source", "run_all", "backfill_window",
     "merge_into_target", "verify_idempotent", "build_marts", "materialize_mart", "partition_facts_monthly", "read_month_range",
-    "stream_upsert", "stream_insert_events", "dim_customer_incremental", "refresh_fact_orders", "change_feed"})
+    "stream_upsert", "stream_insert_events", "dim_customer_incremental", "refresh_fact_orders", "change_feed",
+    "pit_join_bucketed"})
 
 
 #: Operators that may use Python are those of the language-model part, but for the native one.
@@ -78,3 +79,32 @@ def test_time_condition_reaches_the_scan(spark, sf_dir):
 def test_columns_are_pruned(spark, sf_dir):
     text = plan(entry.queries()["customer_ltv"](spark, sf_dir))
     assert "o_orderpriority" not in text and "props" not in text
+
+
+@pytest.mark.parametrize("hot", [10 ** 9, 40])
+def test_bucketed_point_in_time_join_moves_no_row(spark, tables, hot):
+    """No exchange, planned or run; without bucketed reads one, and the same rows. Hot
+    keys are joined apart, from plain tables. Facts may be added."""
+    from conftest import rows
+
+    from tidemark.operators import star
+
+    facts, dim, take = tables("pit_orders"), tables.history("profile_changes"), ["customer_sk", "plan_tier"]
+    expected, half = rows(star.pit_join(facts, dim, "order_timestamp", take)), "xxhash64(order_id) % 2 = 0"
+    timeline = star.store_timeline(facts.where(half), dim, "order_timestamp", take, 4, hot=hot)
+    timeline.add_facts(facts.where(f"not {half}"))
+    joined = timeline.joined()
+    if hot > 40:
+        ran = joined._jdf.queryExecution()
+        assert rows(joined) == expected and "Bucketed: true" in plan(joined)
+        assert "Exchange" not in plan(joined) and "Join" not in plan(joined)
+        joined.collect()
+        assert "Exchange" not in ran.executedPlan().toString()
+        spark.conf.set("spark.sql.sources.bucketing.enabled", "false")
+        assert plan(timeline.joined()).count("Exchange") == 1
+    else:
+        assert timeline.heat.keys is not None
+    try:
+        assert rows(timeline.joined()) == expected and len(expected) > 100
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.enabled")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.functions.dates import month_key, ntz
 from tidemark.operators.skew import (
     HOT_ROWS, Heat, along_key, resolve, split_hot, with_key_value,
 )
 from tidemark.schemas import INT, MONEY, TIER_RANK, UNKNOWN, UNKNOWN_SK
+from tidemark.session import new_folder
 
 REVENUE = "decimal(22,2)"
 
@@ -81,6 +85,81 @@ def pit_join(
     return joined.select(*facts.columns, *[F.col(f"_version.{c}").alias(c) for c in take])
 
 
+@dataclass(frozen=True)
+class Timeline:
+    """Facts and versions stored for point-in-time joins that move no row.
+
+    Both lie in one table, bucketed by key and sorted by time, so the join is a scan, a sort and
+    a window without an exchange. (A union of two bucketed tables isn't relied on: where Spark keeps
+    its buckets and reads it in columns, 4.1 pairs the wrong ones.) Rows of hot keys, which would
+    make a bucket too large, lie in plain tables beside it and are joined as ``pit_join`` does it.
+    With bucketed reads switched off the result is the same, by a shuffle.
+    """
+
+    spark: SparkSession
+    table: str
+    key: str
+    ts: str
+    buckets: int
+    fact_columns: tuple[str, ...]
+    take: tuple[str, ...]
+    heat: Heat
+    hot_path: str
+
+    def joined(self) -> DataFrame:
+        """Each fact with the version valid at its time; facts without one are left out."""
+        window = Window.partitionBy(self.key).orderBy("_at", "_side", "_end").rowsBetween(Window.unboundedPreceding, 0)
+        rows = self.spark.table(self.table)
+        found = (
+            rows.withColumn("_found", F.last("_version", ignorenulls=True).over(window)).where(F.col("_side") == 1)
+            .select("_fact.*", _valid(F.col("_found"), F.col("_at")).alias("_found")).where(F.col("_found").isNotNull())
+            .select(*self.fact_columns, *[F.col(f"_found.{c}").alias(c) for c in self.take])
+        )
+        if self.heat.keys is None:
+            return found
+        warm = self.spark.read.schema(rows.schema).parquet(self.hot_path)
+        facts = warm.where("_side = 1").select("_fact.*")
+        versions = warm.where("_side = 0").select(self.key, F.col("_at").alias("valid_from"), "_version.*")
+        return found.unionByName(pit_join(facts, versions, self.ts, list(self.take), key=self.key, hot=self.heat))
+
+    def add_facts(self, facts: DataFrame) -> None:
+        """More facts, to the same buckets. Versions can't be added: a new one ends an old
+        one, so they are stored anew."""
+        like = self.spark.table(self.table)
+        self.write(_fact_rows(facts.select(*self.fact_columns), self.key, self.ts, like.schema["_version"].dataType).select(*like.columns))
+
+    def write(self, rows: DataFrame) -> None:
+        cold = rows
+        if self.heat.keys is not None:
+            cold, warm = split_hot(rows, self.key, self.heat)
+            warm.write.mode("append").parquet(self.hot_path)
+        (cold.repartition(self.buckets, self.key).write.format("parquet").mode("append").bucketBy(self.buckets, self.key)
+         .sortBy(self.key, "_at").option("path", f"{self.hot_path}-buckets").saveAsTable(self.table))
+
+
+def _fact_rows(facts: DataFrame, key: str, ts: str, version: DataType) -> DataFrame:
+    return facts.where(F.col(key).isNotNull()).select(
+        key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("timestamp_ntz").alias("_end"),
+        F.lit(None).cast(version).alias("_version"), F.struct(*facts.columns).alias("_fact"))
+
+
+def store_timeline(
+    facts: DataFrame, dim: DataFrame, ts: str, take: list[str], buckets: int, *, key: str = "customer_id",
+    hot: Heat | int = HOT_ROWS,
+) -> Timeline:
+    """Store facts and versions once, for as many joins as follow."""
+    spark, name = facts.sparkSession, f"timeline_{uuid.uuid4().hex}"
+    heat = resolve(facts.select(key).unionByName(dim.select(key)), key, hot)
+    versions = _version_rows(dim, key, take)
+    fact_rows = _fact_rows(facts, key, ts, versions.schema["_version"].dataType)
+    versions = versions.select(
+        key, "_at", "_side", F.col("_version.valid_to").alias("_end"), "_version",
+        F.lit(None).cast(fact_rows.schema["_fact"].dataType).alias("_fact"))
+    timeline = Timeline(spark, name, key, ts, buckets, tuple(facts.columns), tuple(take), heat, new_folder(spark, "timeline"))
+    timeline.write(fact_rows.unionByName(versions))
+    return timeline
+
+
 def revenue_by_tier_pit(facts: DataFrame, dim: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Orders and net revenue by the tier the customer had at the time of the order."""
     needed = facts.select("customer_id", "order_timestamp", "net_amount_usd")

@@ -520,6 +520,14 @@ def pit_join(t: Tables) -> DataFrame:
     return star.pit_join(t("pit_orders"), dim, "order_timestamp", ["customer_sk", "plan_tier"], hot=hot)
 
 
+@query
+def pit_join_bucketed(t: Tables) -> DataFrame:
+    """The same join over stored buckets, without an exchange."""
+    hot = t.hot_customers("pit_orders", "profile_changes")
+    dim, take = t.history("profile_changes", hot), ["customer_sk", "plan_tier"]
+    return star.store_timeline(t("pit_orders"), dim, "order_timestamp", take, BUCKETS, hot=hot).joined()
+
+
 @query
 def revenue_by_tier_pit(t: Tables) -> DataFrame:
     hot = t.hot_customers("pit_orders", "profile_changes")
