@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import CACHE_BYTES, CACHE_WORDS, pick, slices, table, texts
+from tidemark.llm.common import CACHE_BYTES, CACHE_WORDS, lean, pick, slices, table, texts
 
 #: How byte-level vocabularies split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
@@ -165,6 +165,12 @@ class Codec:
             offer(i)
         return array("I", [p for p in parts if p >= 0]).tobytes()
 
+    def forget(self) -> None:
+        """Empty the caches, at the end of a task."""
+        self.words.clear()
+        self.spaced.clear()
+        self.held = [0, 0]
+
     def _learn_spaced(self, texts: list[list[str]]) -> None:
         """Encode what these texts, split at spaces, add to the cache. Only what neither
         is empty nor begins or ends with white space: after a space that follows such a
@@ -245,6 +251,7 @@ class _Encode:
     def __init__(self, path: str):
         self.path = path
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -256,6 +263,7 @@ class _Encode:
                 [batch.column("doc_id"), pa.array([len(made) // 4 for made in ids], pa.int64()),
                  pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
+        own.forget()
 
 
 def digest(coded: DataFrame) -> DataFrame:

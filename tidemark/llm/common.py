@@ -6,6 +6,8 @@ further columns of the input never clash with them, whatever they are called.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -87,17 +89,43 @@ class WordCache(dict):
         super().__init__()
         self.make, self.limit, self.most, self.held = make, limit, most, 0
 
+    def clear(self):
+        super().clear()
+        self.held = 0
+
     def __missing__(self, word):
         value = self.make(word)
         if len(word) <= LONG_WORD:
             if len(self) >= self.limit or self.held > self.most:
                 self.clear()
-                self.held = 0
             self.held += len(word)
             self[word] = value
         return value
 
 
+def give_back() -> None:
+    """Return freed memory to the machine."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(call):
+    """For functions over Arrow batches: worker processes outlive tasks, so what a task has used
+    is given back at its end and doesn't add up with what the next stage needs."""
+    @functools.wraps(call)
+    def run(self, batches):
+        try:
+            yield from call(self, batches)
+        finally:
+            give_back()
+    return run
+
+
 def digest16(word: bytes) -> bytes:
     return hashlib.blake2b(word, digest_size=16).digest()
 

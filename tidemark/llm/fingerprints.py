@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.llm.common import pick, shuffle_width, slices, stored, table, texts
+from tidemark.llm.common import lean, pick, shuffle_width, slices, stored, table, texts
 from tidemark.llm.hashing import filed, with_place
 
 BUCKETS, SECOND, THIRD = 512, 4, 9
@@ -149,6 +149,7 @@ class _InOrder:
         columns = zip(*rows) if rows else [[]] * len(self.schema)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, self.schema)], schema=self.schema)
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         before = part = None
         for batch in slices(batches, "_text"):
@@ -169,6 +170,7 @@ class _Across:
     def __init__(self, schema):
         self.schema = schema
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import shuffle_width, slices, stored, table, texts
+from tidemark.llm.common import lean, shuffle_width, slices, stored, table, texts
 from tidemark.llm.components import components
 from tidemark.llm.hashing import PLACE, Words, filed, mix, with_place, word_cache
 
@@ -65,6 +65,7 @@ class _Sign:
     def __init__(self, bands: int, rows: int, size: int):
         self.bands, self.rows, self.size = bands, rows, size
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

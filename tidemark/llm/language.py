@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import only_rows, pick, shuffle_width, slices, stored, table, texts
+from tidemark.llm.common import lean, only_rows, pick, shuffle_width, slices, stored, table, texts
 from tidemark.llm.wordpiece import MARK, vocabulary, vocabulary_path
 
 SAMPLE = 2000
@@ -264,6 +264,7 @@ class _Expect:
     def __init__(self, model: Model):
         self.model = model
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -358,6 +359,7 @@ class _Predict:
     def __init__(self, model: Model | None, least: float | None = None):
         self.model, self.least = model, least
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

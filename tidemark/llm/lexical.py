@@ -38,7 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import WordCache, pick, slices, stored, table, texts
+from tidemark.llm.common import WordCache, lean, pick, slices, stored, table, texts
 from tidemark.llm.hashing import filed, mix, with_place
 
 TERM, GAP = re.compile(rb"[0-9a-z\x80-\xff]+"), re.compile(rb"[^0-9A-Za-z\x80-\xff]")
@@ -102,6 +102,7 @@ class _Block:
 
 
 class _Index:
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         hashes, filling = WordCache(_hash), {}
         for batch in slices(batches, "_text"):
@@ -184,6 +185,7 @@ class _Frequencies:
     def __init__(self, terms: list[bytes]):
         self.terms = terms
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -226,6 +228,7 @@ class _Bounds:
                 upper[whose[first]] += np.add.reduceat(present * weights[part, None], first, axis=0) * gain
         return upper
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -267,6 +270,7 @@ class _Score:
     def __init__(self, items: Items):
         self.items = items
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe
-from tidemark.llm.common import pick, slices, table, texts
+from tidemark.llm.common import lean, pick, slices, table, texts
 
 LENGTH = 1024
 SENTENCE, INSIDE, STRIDE = 2, 16, 32
@@ -152,6 +152,7 @@ class _Pack:
     def __init__(self, path: str, length: int, block: int):
         self.path, self.length, self.block = path, length, block
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
@@ -181,6 +182,7 @@ class _Pack:
                 if len(packer.out) >= 1024:
                     yield rows(id_type)
         packer.finish()
+        codec.forget()
         if packer.out:
             yield rows(id_type)
 

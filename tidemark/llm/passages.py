@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import WHITE, slices, stored, table, texts
+from tidemark.llm.common import WHITE, lean, slices, stored, table, texts
 from tidemark.llm.hashing import PLACE, Words, binary16, filed, with_place, word_cache
 
 WINDOW, ANCHOR = 50, 8
@@ -57,6 +57,7 @@ def paths_of(words: Words, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[
 
 
 class _Paths:
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -81,6 +82,7 @@ class _Paths:
 class _Open:
     """The windows of the wanted paths of a document."""
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -220,6 +222,7 @@ def cut(text: bytes, spans: list) -> tuple[bytes, int, int]:
 class _Cut:
     """Rows with their texts cut, and words before and lost as last columns."""
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -250,6 +253,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
 class _Join:
     """Words joined by one space."""
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import pick, shuffle_width, stored, table
+from tidemark.llm.common import lean, pick, shuffle_width, stored, table
 from tidemark.llm.components import components
 
 THRESHOLD, RECALL = 0.9, 0.97
@@ -47,6 +47,7 @@ class _Read:
     def __init__(self, width: int):
         self.width = width
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -128,6 +129,7 @@ class _Place:
     def __init__(self, tables: Tables):
         self.tables = tables
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import pick, stored, table
+from tidemark.llm.common import lean, pick, stored, table
 
 COMPONENTS = 16
 STEP, SHIFTED = 64, 1_000_000
@@ -141,6 +141,7 @@ class _Read:
     def __init__(self, width: int):
         self.width = width
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -169,6 +170,7 @@ class _Sums:
     def __init__(self, width: int):
         self.width = width
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -190,6 +192,7 @@ class _Products:
     def __init__(self, width: int, mean: np.ndarray, turn: np.ndarray | None = None):
         self.width, self.mean, self.turn = width, mean, turn
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -267,6 +270,7 @@ class _Project:
     def __init__(self, width: int, found: Whitening):
         self.width, self.found = width, found
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -23,7 +23,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import WordCache, pick, slices, table, texts
+from tidemark.llm.common import WordCache, lean, pick, slices, table, texts
 
 MARK = "▁"  # stands for the space before a word
 UNKNOWN = 1 << 40  # a word's value: tokens, and this where the token is the unknown one
@@ -110,6 +110,7 @@ class _Count:
     def __init__(self, path: str):
         self.path = path
 
+    @lean
     def __call__(self, batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -124,6 +125,7 @@ class _Count:
                 [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array([v % UNKNOWN for v in values], pa.int64()),
                  pa.array([v // UNKNOWN for v in values], pa.int64())],
                 names=["doc_id", "n_words", "n_tokens", "n_unknown"])
+        counts.clear()
 
 
 def token_counts(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, path: str | None = None) -> DataFrame:
