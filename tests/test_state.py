@@ -278,6 +278,7 @@ def test_recent_repetitions_need_no_stored_id(spark, tables, tmp_path, monkeypat
     assert [only for only in asked if only is not None] == []
     offered = [r.offered for r in table.commits().orderBy("commit_no").collect() if r.offered]
     assert offered == [events.where(parts[0]).count(), events.where(parts[1]).count()]  # the state dropped the rest
+    assert [p.name for p in (tmp_path / "c" / "sources").iterdir()] == ["0"]  # rows and ids come from one reading
     # Another job's commit is not in the state: what may be in it is compared with stored ids.
     table.merge(events.where(parts[2]), "by-hand")
     asked.clear()

@@ -376,20 +376,56 @@ def customer_ltv(orders: DataFrame, subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def cohort_retention(orders: DataFrame) -> DataFrame:
-    """Active customers by month of first order and months since.
+WORD = 63  # months in a mask of one long number
+
 
-    Orders shrink to one row per customer and active month before anything else;
-    the cohort of a customer is then a window over at most that many months.
+def active_months(orders: DataFrame) -> DataFrame:
+    """One row per customer: the month of the first order (``_cohort``) and the offsets of all
+    active months from it, in order (``_offsets``, with NULL last for orders without a date).
+
+    Months are bits of a few long numbers, as many as the span of the data takes, which is read
+    first (two dates). Masks combine before the only shuffle by customer, whatever the orders.
     """
-    months = (F.year("order_date") * 12 + F.month("order_date")).cast("int")
-    active = orders.select("customer_id", months.alias("_month")).distinct()
-    first = active.withColumn("_cohort", F.min("_month").over(Window.partitionBy("customer_id")))
-    cohort = (F.floor((F.col("_cohort") - 1) / 12) * 100 + (F.col("_cohort") - 1) % 12 + 1).cast("int")
-    return (
-        first.groupBy(cohort.alias("cohort_month"), (F.col("_month") - F.col("_cohort")).alias("month_offset"))
-        .agg(F.count("customer_id").alias("active_customers"))
-    )
+    def month(day: str) -> Column:
+        return (F.year(day) * 12 + F.month(day) - 1).cast("int")
+
+    span = orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).select(month("lo"), month("hi")).first()
+    low, high = (span[0], span[1]) if span[0] is not None else (0, 0)
+    words = (high - low) // WORD + 1
+    at = month("order_date") - low
+    bit = F.expr(f"shiftleft(1L, (year(order_date) * 12 + month(order_date) - 1 - {low}) % {WORD})")
+    masks = orders.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.array(*[F.bit_or(F.when(F.floor(at / WORD) == k, bit).otherwise(F.lit(0).cast("long"))) for k in range(words)]).alias("_words"),
+        F.max(F.col("order_date").isNull()).alias("_undated"))
+    months = F.sequence(F.lit(0), F.lit(high - low))
+    word = lambda m: F.get("_words", F.floor(m / WORD).cast("int"))
+    active = F.filter(months, lambda m: F.call_function("shiftright", word(m), (m % WORD).cast("int")).bitwiseAND(1) == 1)
+    found = masks.withColumn("_active", active).withColumn("_since", F.get("_active", F.lit(0)))
+    offsets = F.transform("_active", lambda m: m - F.col("_since"))
+    undated = F.array(F.lit(None).cast("int"))
+    return found.select(
+        "customer_id", (F.col("_since") + low).alias("_cohort"),
+        F.when(F.col("_undated"), F.concat(offsets, undated)).otherwise(offsets).alias("_offsets"))
+
+
+def _month_number(months: Column) -> Column:
+    return (F.floor(months / 12) * 100 + months % 12 + 1).cast("int")
+
+
+def cohort_retention(orders: DataFrame) -> DataFrame:
+    """Active customers by month of first order and months since."""
+    active = active_months(orders).select("_cohort", F.explode("_offsets").alias("month_offset"))
+    return active.groupBy(_month_number(F.col("_cohort")).alias("cohort_month"), "month_offset").agg(
+        F.count(F.lit(1)).alias("active_customers"))
+
+
+def cohort_streaks(orders: DataFrame) -> DataFrame:
+    """Customers by month of first order who ordered in each of their first n months."""
+    # Offsets rise, so one equals its place just as long as no month is missing.
+    streak = F.size(F.filter("_offsets", lambda offset, place: offset == place))
+    months = active_months(orders).where("_cohort is not null").select("_cohort", F.explode(F.sequence(F.lit(1), streak)).alias("first_months"))
+    return months.groupBy(_month_number(F.col("_cohort")).alias("cohort_month"), "first_months").agg(
+        F.count(F.lit(1)).alias("customers"))
 
 
 def mrr_movement(facts: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:

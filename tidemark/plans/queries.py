@@ -57,15 +57,6 @@ class Tables:
     def subscriptions(self) -> DataFrame:
         return marts.fact_subscription_events(self.stg("subscriptions"))
 
-    def event_orders(self) -> DataFrame:
-        """Orders of event users, in the shape of the order facts."""
-        return self("pit_orders").select(
-            "order_id", "customer_id", "order_timestamp", "net_amount_usd",
-            F.date_format("order_timestamp", "yyyyMMdd").cast("int").alias("date_key"),
-            F.lit("COMPLETED").alias("order_status"), F.lit("CARD").alias("payment_method"),
-            F.lit("US").alias("shipping_country"), F.col("net_amount_usd").alias("gross_amount_usd"),
-            F.lit(0).cast("decimal(12,2)").alias("discount_usd"))
-
     def calendar(self) -> DataFrame:
         return marts.dim_date(self.spark)
 
@@ -562,8 +553,13 @@ def unknown_member(t: Tables) -> DataFrame:
 
 @query
 def fact_orders_sk(t: Tables) -> DataFrame:
-    hot = t.hot_customers("pit_orders", "profile_changes")
-    return star.fact_orders_sk(t.event_orders(), t.history("profile_changes", hot), hot=hot)
+    """All orders, with their own status, method, country and discount, tax by country and
+    items by amount, against the history of the customers who placed them."""
+    hot = t.hot_customers("raw_orders", "order_profiles")
+    dim = marts.dim_customer_scd2(staging.stg_customers(t("order_profiles"), "arrival_seq"), hot)
+    rate = F.when(F.col("shipping_country").isin("CHINA", "FRANCE", "GERMANY"), 0.19).otherwise(0.07).cast("decimal(4,2)")
+    items = F.floor(F.col("gross_amount_usd") / 50000) + 1
+    return star.fact_orders_sk(t.orders(), dim, F.col("net_amount_usd") * rate, items, hot)
 
 
 @query
@@ -635,6 +631,11 @@ def cohort_retention(t: Tables) -> DataFrame:
     return star.cohort_retention(t.orders())
 
 
+@query
+def cohort_streaks(t: Tables) -> DataFrame:
+    return star.cohort_streaks(t.orders())
+
+
 @query
 def mrr_movement(t: Tables) -> DataFrame:
     return star.mrr_movement(t.subscriptions())

@@ -73,6 +73,24 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
                o_orderdate + (o_orderkey % 86400) * INTERVAL '1' SECOND AS source_updated_at,
                'I' AS _source_op, 'first-orders' AS _batch_id
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""),
+    # Profiles of customers who order: some changed in 1994 and 1996, some were deleted, and
+    # those whose number 11 divides are unknown.
+    "order_profiles": (("raw_customers",), """
+        SELECT customer_id, first_name, last_name, email, country_code, plan_tier, account_status, acquisition_channel,
+               CAST('1992-02-01 00:00:00' AS {TS}) + (CAST(SUBSTRING(customer_id, 6) AS INT) % 300) * INTERVAL '1' DAY
+                   AS source_updated_at, 'I' AS _source_op, FALSE AS _is_deleted, 'first-profiles' AS _batch_id,
+               CAST(1 AS BIGINT) AS arrival_seq
+        FROM {raw_customers} WHERE CAST(SUBSTRING(customer_id, 6) AS INT) % 11 <> 0
+        UNION ALL
+        SELECT customer_id, first_name, last_name, email, country_code, 'enterprise', account_status, acquisition_channel,
+               CAST('1994-03-01 12:00:00' AS {TS}) + (CAST(SUBSTRING(customer_id, 6) AS INT) % 50) * INTERVAL '1' HOUR,
+               'U', FALSE, 'BATCH-94', CAST(2 AS BIGINT)
+        FROM {raw_customers} WHERE CAST(SUBSTRING(customer_id, 6) AS INT) % 11 IN (1, 2, 3, 4)
+        UNION ALL
+        SELECT customer_id, first_name, last_name, email, country_code, 'free', account_status, acquisition_channel,
+               CAST('1996-07-01 00:00:00' AS {TS}) + (CAST(SUBSTRING(customer_id, 6) AS INT) % 90) * INTERVAL '1' DAY,
+               CASE WHEN plan_tier = 'basic' THEN 'D' ELSE 'U' END, plan_tier = 'basic', 'BATCH-96', CAST(3 AS BIGINT)
+        FROM {raw_customers} WHERE CAST(SUBSTRING(customer_id, 6) AS INT) % 11 IN (3, 4, 5)"""),
     # Every order arrives once; then real updates, stale updates and exact ties.
     "order_changes": (("raw_orders",), """
         SELECT *, CAST(1 AS BIGINT) AS arrival_seq FROM {raw_orders}
