@@ -15,7 +15,7 @@ LAZY = sorted(set(entry.queries()) - {
     "scan_csv_landing", "write_landing_by_day", "record_failure", "run_source", "run_all", "backfill_window",
     "merge_into_target", "verify_idempotent", "build_marts", "materialize_mart", "partition_facts_monthly", "read_month_range",
     "stream_upsert", "stream_insert_events", "dim_customer_incremental", "refresh_fact_orders", "change_feed",
-    "pit_join_bucketed"})
+    "pit_join_bucketed", "backfill_marts"})
 
 
 #: Operators that may use Python are those of the language-model part, but for the native one.
@@ -108,3 +108,22 @@ def test_bucketed_point_in_time_join_moves_no_row(spark, tables, hot):
         assert rows(timeline.joined()) == expected and len(expected) > 100
     finally:
         spark.conf.unset("spark.sql.sources.bucketing.enabled")
+
+
+def test_counts_come_from_footers(spark, sf_dir):
+    from tidemark.operators import profiling
+
+    text = plan(profiling.footer_aggregates(profiling.footer_session(spark), f"{sf_dir}/orders.parquet", "o_orderkey"))
+    assert re.search(r"PushedAggregation: \[COUNT\(\*\), COUNT\(o_orderkey\), MIN\(o_orderkey\), MAX\(o_orderkey\)", text)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_bytes_of_footer_profile(spark, tmp_path):
+    from tidemark.operators import profiling
+
+    path = tmp_path / "t"
+    spark.range(1000).selectExpr("if(id % 10 = 0, null, id) as k").repartition(3).write.parquet(str(path))
+    (row,) = profiling.footer_profile(spark, {"t": (str(path), "k")}).collect()
+    files = list(path.glob("*.parquet"))
+    assert (row.row_count, row.null_keys, row.min_key, row.max_key, row.files) == (1000, 100, 1, 999, len(files))
+    assert row.bytes == sum(f.stat().st_size for f in files)

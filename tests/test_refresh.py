@@ -127,3 +127,20 @@ def test_a_month_that_loses_its_rows_disappears(spark, tables, tmp_path):
     source.merge(first.withColumns({"source_updated_at": ntz("1991-06-06"), "arrival_seq": F.lit(2).cast("long")}), "B")
     assert refresh.refresh_mart(source, mart, by_update, "order_id", "order_timestamp") == ["199005", "199106"]
     assert list(mart.head().parts) == ["199106"] and mart.read().count() == 5
+
+
+def test_backfill_touches_only_its_parts(spark, tables, tmp_path):
+    from tidemark.plans import queries as q
+
+    fixes = q.corrected(tables)
+    history = refresh.HistoryTable(spark, str(tmp_path / "history"), 16)
+    history.merge(tables("customer_changes"), "LOAD")
+    source, mart = ChangeTable(spark, str(tmp_path / "orders"), "orders", 4), refresh.monthly_mart(spark, str(tmp_path / "mart"), "fact_orders")
+    source.merge(tables("order_changes").where("arrival_seq = 1"), "LOAD")
+    sources = {"orders": (source, mart, order_facts, "order_id", "order_timestamp")}
+    refresh.refresh_mart(source, mart, order_facts, "order_id", "order_timestamp")
+    one = fixes["customers"].where(F.col("customer_id") == fixes["customers"].select(F.min("customer_id")).first()[0])
+    touched = refresh.backfill(sources, history, fixes, one, "BACKFILL")
+    assert touched["fact_orders"] == ["199703"] and len(touched["dim_customer"]) == 1
+    assert rows(mart.read(), *FACT) == rows(order_facts(source.current()), *FACT)
+    assert rows(history.current()) == rows(rebuilt(tables("customer_changes").unionByName(one)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def profile_table(df: DataFrame, name: str, key: str, ts: str) -> DataFrame:
@@ -36,6 +36,37 @@ def file_inventory(df: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session that answers counts and bounds of Parquet files from their footers; the
+    caller's own session keeps its settings."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
+def footer_aggregates(session: SparkSession, path: str, key: str) -> DataFrame:
+    """Rows, rows with a key, and the bounds of a numeric key, without reading a row."""
+    return session.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count(key).alias("keyed_rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))
+
+
+def footer_profile(spark: SparkSession, files: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row per table of ``files`` (name: path and key): rows, rows without a key, bounds
+    of the key, files and bytes. Only footers and the listing of files are read, so a table of any
+    size costs its number of files."""
+    session, rows = footer_session(spark), []
+    for name, (path, key) in files.items():
+        found = footer_aggregates(session, path, key).first()  # one row
+        # Of whole files only the length is asked for, which the listing knows.
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        sizes = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        bounds = [None if b is None else int(b) for b in (found["min_key"], found["max_key"])]
+        rows.append((name, found["row_count"], found["row_count"] - found["keyed_rows"], *bounds, sizes[0], sizes[1]))
+    return spark.createDataFrame(
+        rows, "table_name string, row_count long, null_keys long, min_key long, max_key long, files long, bytes long")
+
+
 def reconcile_lake(landing: dict[str, DataFrame], raw: dict[str, DataFrame], manifest: DataFrame) -> DataFrame:
     """Landing files against raw tables and the manifest, one row per source."""
     from tidemark.operators.quality import union_all

@@ -140,3 +140,23 @@ def refresh_mart(
     kept = mart.read(only=months).join(moved.select(key).distinct(), key, "left_anti")
     mart.replace(kept.select(*names).unionByName(moved.where("_came").select(*names)), batch_id, months, count_applied=False)
     return months
+
+
+def backfill(
+    sources: dict[str, tuple[ChangeTable, VersionedTable, Callable, str, str]], history: HistoryTable,
+    corrections: dict[str, DataFrame], customers: DataFrame, batch_id: str,
+) -> dict[str, list[str]]:
+    """Apply corrected records of some days and carry them through the marts.
+
+    ``sources`` names for each fact its source, its mart, and how ``refresh_mart`` derives it.
+    What a correction touches follows from the rows it moves: the months of facts, and of the history
+    the buckets of the customers. Per mart the parts that were rewritten; all others keep their files.
+    """
+    touched = {}
+    for name, (table, mart, derive, key, ts) in sources.items():
+        table.merge(corrections[name], batch_id)
+        touched[mart.name] = refresh_mart(table, mart, derive, key, ts)
+    before = history.head()
+    history.merge(customers, batch_id)
+    touched[history.name] = differing_parts(before, history.head())
+    return touched

@@ -477,6 +477,53 @@ def refresh_fact_orders(t: Tables) -> DataFrame:
     return mart.read().drop("month")
 
 
+def subscription_facts(raw: DataFrame) -> DataFrame:
+    return marts.fact_subscription_events(staging.stg_subscriptions(raw))
+
+
+def corrected(t: Tables) -> dict[str, DataFrame]:
+    """Three days of each source once more: orders and subscriptions worth one more,
+    customers on the free tier."""
+    orders = t("raw_orders").where(F.col("order_timestamp").between(ntz("1997-03-04"), ntz("1997-03-06 23:59:59"))).withColumns({
+        "order_amount_usd": (F.col("order_amount_usd") + 1).cast("decimal(12,2)"),
+        "source_updated_at": (F.col("source_updated_at") + F.expr("interval 1 day")).cast("timestamp_ntz")})
+    days = (ntz("2024-01-10"), ntz("2024-01-12 23:59:59"))
+    subs = t("raw_subscriptions").where(F.col("event_timestamp").between(*days)).withColumn(
+        "monthly_recurring_revenue", (F.col("monthly_recurring_revenue") + 1).cast("decimal(12,2)"))
+    customers = t("customer_changes").where(F.col("source_updated_at").between(*days)).withColumns({
+        "plan_tier": F.lit("free"), "arrival_seq": F.col("arrival_seq") + 10 ** 11})
+    return {"orders": orders.withColumn("arrival_seq", F.lit(2).cast("long")),
+            "subscriptions": subs.withColumn("arrival_seq", F.lit(2).cast("long")), "customers": customers}
+
+
+@query
+def backfill_marts(t: Tables) -> DataFrame:
+    """The marts are built, then three days of every source are corrected; what is in them."""
+    history = refresh.HistoryTable(t.spark, t.folder("history"), BUCKETS)
+    history.merge(t("customer_changes"), "LOAD")
+    sources = {}
+    for name, fact, derive, key, ts in (
+        ("orders", "fact_orders", order_facts, "order_id", "order_timestamp"),
+        ("subscriptions", "fact_subscription_events", subscription_facts, "subscription_event_id", "event_timestamp"),
+    ):
+        source, mart = state.ChangeTable(t.spark, t.folder(name), name, BUCKETS), refresh.monthly_mart(t.spark, t.folder(fact), fact)
+        source.merge(t(f"raw_{name}").withColumn("arrival_seq", F.lit(1).cast("long")), "LOAD")
+        refresh.refresh_mart(source, mart, derive, key, ts)
+        sources[name] = (source, mart, derive, key, ts)
+    fixes = corrected(t)
+    refresh.backfill(sources, history, fixes, fixes["customers"], "BACKFILL")
+    amounts = {"fact_orders": "net_amount_usd", "fact_subscription_events": "mrr_amount_usd"}
+    facts = [
+        mart.read().groupBy("month").agg(F.count(F.lit(1)).alias("row_count"), F.sum(amounts[mart.name]).cast("decimal(22,2)").alias("amount"))
+        .select(F.lit(mart.name).alias("mart"), F.col("month").alias("part"), "row_count", "amount")
+        for _, mart, *_ in sources.values()
+    ]
+    versions = history.current().groupBy("plan_tier").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("dim_customer").alias("mart"), F.col("plan_tier").alias("part"), "row_count",
+        F.lit(None).cast("decimal(22,2)").alias("amount"))
+    return quality.union_all([*facts, versions])
+
+
 @query
 def change_feed(t: Tables) -> DataFrame:
     """What the second batch of order changes took away and brought."""
@@ -841,9 +888,19 @@ def reconcile_lake(t: Tables) -> DataFrame:
     return profiling.reconcile_lake(landed, raw, t.baseline()).drop("landing_bytes")
 
 
+@query
+def footer_profile(t: Tables) -> DataFrame:
+    """Rows and keys of the landed tables from their footers; bytes have no SQL to compare with."""
+    files = {n: (f"{t.sf_dir}/{n}.parquet", key) for n, key in (
+        ("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("events", "event_id"))}
+    return profiling.footer_profile(t.spark, files).drop("bytes")
+
+
 @query
 def table_counts(t: Tables) -> DataFrame:
-    return monitoring.table_counts({f"raw_{s}": t(f"raw_{s}") for s in SOURCES})
+    """The raw tables, and the table of marks."""
+    tables = {f"raw_{s}": t(f"raw_{s}") for s in SOURCES}
+    return monitoring.table_counts(tables | {"_pipeline_watermarks": incremental.read_watermarks(t.spark, t("commit_log"))})
 
 
 # -- streaming --------------------------------------------------------------
