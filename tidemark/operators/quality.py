@@ -97,17 +97,21 @@ def scd_overlap(dim: DataFrame, hot: Heat | int = HOT_ROWS) -> DataFrame:
     """Versions that start before an earlier version of the customer has ended.
 
     Some version overlaps another exactly if such a version exists; the running end
-    of all earlier versions finds it without pairing versions with each other.
+    of all earlier versions finds it without pairing versions with each other. Beside each such
+    version stands the earlier one that ends last (of several, that of the greatest key).
     """
     spans = dim.groupBy("customer_id", "customer_sk", "valid_from").agg(F.max("valid_to").alias("valid_to"))
 
     def ended(window):
-        return {"earlier_valid_to": F.max("valid_to").over(window.rowsBetween(Window.unboundedPreceding, -1))}
+        end = F.when(F.col("valid_to").isNotNull(), F.struct("valid_to", "customer_sk"))
+        return {"_earlier": F.max(end).over(window.rowsBetween(Window.unboundedPreceding, -1))}
 
     judged = along_key(
         spans, "customer_id", ["valid_from"], ended, hot=hot,
-        rank=["valid_to", "valid_from"])
-    return judged.where(F.col("valid_from") < F.col("earlier_valid_to"))
+        rank=["valid_to", "customer_sk"])
+    overlapping = judged.where(F.col("valid_from") < F.col("_earlier.valid_to"))
+    return overlapping.select(
+        *spans.columns, F.col("_earlier.valid_to").alias("earlier_valid_to"), F.col("_earlier.customer_sk").alias("earlier_customer_sk"))
 
 
 def single_current(dim: DataFrame) -> DataFrame:
