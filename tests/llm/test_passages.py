@@ -57,14 +57,14 @@ def test_random_shared_passages(spark):
             words += [f"own{rng.randrange(10 ** 6)}" for _ in range(rng.randint(0, 30))]
         docs.append((rng.choice([i, i, i, i // 2, None]), rng.choice([" ", "\n", "  \t"]).join(words)))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    assert digests(passages.digest(passages.without_repeats(df))) == brute(docs)
+    assert digests(passages.digest(passages.without_repeats(df, joined=True))) == brute(docs)
 
 
 def test_hot_passage(spark):
     common = [f"c{i}" for i in range(70)]
     docs = [(i, " ".join([f"a{i}"] * (i % 3) + common + [f"b{i}"] * (i % 5))) for i in range(300)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert digests(passages.digest(passages.without_repeats(df))) == brute(docs)
+    assert digests(passages.digest(passages.without_repeats(df, joined=True))) == brute(docs)
 
 
 def test_fingerprints_follow_the_words():

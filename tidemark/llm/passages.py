@@ -158,8 +158,9 @@ def _chains(nodes: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Spans of words to remove, for the rows ``doc_id``, ``_text`` of a filed frame: per
     row that loses words its place and ``spans``, an array of first word and end."""
-    paths = with_place(docs, doc_id="doc_id", _text="_text").mapInArrow(
-        _Paths(), "_file long, _at long, doc_id long, anchor long, path binary, start long, n long")
+    # Stored, as it is read twice and every text is hashed for it.
+    paths = stored(with_place(docs, doc_id="doc_id", _text="_text").mapInArrow(
+        _Paths(), "_file long, _at long, doc_id long, anchor long, path binary, start long, n long"), "all-paths")
     # Stored, like other aggregates that are joined back to what they count: a join may
     # split a hot key only if neither side has been dealt by it for an aggregate.
     shared = stored(
@@ -220,7 +221,11 @@ def cut(text: bytes, spans: list) -> tuple[bytes, int, int]:
 
 
 class _Cut:
-    """Rows with their texts cut, and words before and lost as last columns."""
+    """Rows with their texts cut, and words before and lost as last columns; with ``joined``
+    after them the words left, joined by one space."""
+
+    def __init__(self, joined: bool):
+        self.joined = joined
 
     @lean
     def __call__(self, batches: Iterator) -> Iterator:
@@ -231,15 +236,18 @@ class _Cut:
             nulls = batch.column("_text").is_null().to_pylist()
             text = pa.array([None if none else t.decode() for (t, *_), none in zip(done, nulls)], pa.string())
             names = [n for n in batch.schema.names if n != "spans"]
+            more = [pa.array([n for _, n, _ in done], pa.int64()), pa.array([n for *_, n in done], pa.int64())]
+            if self.joined:
+                more.append(pa.array([b" ".join(t.split()) for t, *_ in done], pa.binary()))
             yield pa.RecordBatch.from_arrays(
-                [*(text if n == "_text" else batch.column(n) for n in names),
-                 pa.array([n for _, n, _ in done], pa.int64()), pa.array([n for *_, n in done], pa.int64())],
-                names=[*names, "n_words", "n_removed"])
+                [*(text if n == "_text" else batch.column(n) for n in names), *more],
+                names=[*names, *["n_words", "n_removed", "kept_words"][:len(more)]])
 
 
-def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, joined: bool = False) -> DataFrame:
     """All rows and columns, the text without what is repeated, and ``n_words`` and
-    ``n_removed`` after the others."""
+    ``n_removed`` after the others; with ``joined`` then ``kept_words``, the words left,
+    joined by one space."""
     names = docs.columns
     inner = ["_text" if n == text else f"_c{i}" for i, n in enumerate(names)]
     plain = filed(docs.toDF(*inner))
@@ -247,29 +255,16 @@ def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     spans = stored(repeated_spans(keyed), "spans")
     rows = with_place(plain, **{c: c for c in inner}).join(spans.hint("merge"), PLACE, "left").drop(*PLACE)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields]
-    return rows.mapInArrow(_Cut(), ", ".join([*kinds, "n_words long", "n_removed long"])).toDF(*names, "n_words", "n_removed")
-
-
-class _Join:
-    """Words joined by one space."""
-
-    @lean
-    def __call__(self, batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in slices(batches, "_text"):
-            joined = [b" ".join(t.split()) for t in texts(batch, "_text")]
-            yield batch.set_column(batch.schema.get_field_index("_text"), "_text", pa.array(joined, pa.binary()))
+    more = {"n_words": "long", "n_removed": "long"} | ({"kept_words": "binary"} if joined else {})
+    return rows.mapInArrow(_Cut(joined), ", ".join([*kinds, *[f"{n} {k}" for n, k in more.items()]])).toDF(*names, *more)
 
 
 def digest(cleaned: DataFrame) -> DataFrame:
-    rows = cleaned.select("doc_id", "n_words", "n_removed", F.coalesce("text", F.lit("")).alias("_text"))
-    joined = rows.mapInArrow(_Join(), "doc_id long, n_words long, n_removed long, _text binary")
-    return joined.select("doc_id", "n_words", "n_removed", F.sha2("_text", 256).alias("kept_sha256"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
 
 
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return digest(without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), joined=True))
 
 
 OP7_SQL = r"""
