@@ -179,12 +179,15 @@ class Codec:
             self.spaced.clear()
             self.held[1] = 0
         new = set().union(*texts).difference(self.spaced)
-        new = [w for w in new if w and len(w) < SHORT and not (w[0].isspace() or w[-1].isspace())]
+        # Letters of ASCII alone are one word, with the space before them.
+        plain = [w for w in new if w.isascii() and w.isalpha() and len(w) < SHORT]
+        self.spaced.update(zip(plain, self.encode_words([" " + w for w in plain])))
+        new = [w for w in new.difference(plain) if w and len(w) < SHORT and not (w[0].isspace() or w[-1].isspace())]
         split = [self.split(" " + w) for w in new]
         self._learn_words(set().union(*split))
         get = self.words.__getitem__
         self.spaced.update(zip(new, [b"".join(map(get, ws)) for ws in split]))
-        self.held[1] += sum(map(len, new))
+        self.held[1] += sum(map(len, new)) + sum(map(len, plain))
 
     def _learn_words(self, words: set[str]) -> dict[str, bytes]:
         """Encode words for the cache; long ones are not kept but returned."""
