@@ -18,6 +18,11 @@ from tidemark.streaming import ingest as streams
 SCHEMA = T.StructType().add("id", "long").add("dt", "string")
 
 
+def fixed(df):
+    """Its rows, once and for all."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def days(spark, n, shift=0):
     return spark.range(n).select((F.col("id") + shift).alias("id"), F.concat(F.lit("d"), F.col("id") % 3).alias("dt"))
 
@@ -244,7 +249,7 @@ def test_unknown_member(tables):
 
 def test_event_older_than_any_lookback_is_inserted(spark, tables, tmp_path):
     files, table = str(tmp_path / "in"), state.ChangeTable(spark, str(tmp_path / "t"), "events", 2)
-    events = tables("event_arrivals").where("arrival_seq = 1").orderBy("event_timestamp", "event_id").limit(60).localCheckpoint()
+    events = tables("event_arrivals").where("arrival_seq = 1").orderBy("event_timestamp", "event_id").limit(60).transform(fixed)
     top = events.agg(F.max("event_timestamp")).first()[0]
     late = events.limit(1).withColumns({"event_id": F.lit("EVT-LATE"), "event_timestamp": ntz(top - timedelta(days=400))})
     for part in (events, late.unionByName(events.limit(5))):
@@ -330,7 +335,7 @@ def test_redelivered_batch_of_a_remembering_stream(spark, tables, tmp_path, monk
 
 @pytest.mark.parametrize("year", [1950, 2024, 2200])
 def test_arrival_without_numbers_follows_the_whole_time(spark, tables, tmp_path, year):
-    first = tables("raw_subscriptions").limit(40).localCheckpoint()
+    first = tables("raw_subscriptions").limit(40).transform(fixed)
     at = datetime(year, 3, 4, 5, 6, 7)
     steps = [first.withColumns({"status": F.lit(f"S{n}"), "plan_tier": F.lit(f"P{n}"),
                                 "event_timestamp": ntz(at + timedelta(microseconds=n))}) for n in (2, 0, 3, 1)]
