@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.dates import ntz
 from tidemark.functions.text import canonicalize
@@ -275,6 +275,25 @@ def late_report(t: Tables) -> DataFrame:
     return report.select("event_id", "event_timestamp", "arrival")
 
 
+@query
+def choose_lookback(t: Tables) -> DataFrame:
+    """Lookbacks from the lateness of four batches, and what they cover of the two that follow."""
+    changes = t("customer_changes").select(F.floor(F.col("arrival_seq") / 10 ** 9).alias("batch"), "source_updated_at")
+    before = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+    marks = changes.groupBy("batch").agg(F.max("source_updated_at").alias("top")).select(
+        "batch", F.max("top").over(before).alias("mark")).where("mark is not null")  # one row a batch
+    met = changes.join(marks, "batch")
+    bins = quality.union_all([incremental.lateness_bins(met.where(F.col("batch") == n), "source_updated_at", "mark") for n in (1, 2, 3, 4)])
+    chosen = incremental.choose_lookback(bins, [0.5, 0.9, 0.99])
+    seconds = (F.unix_micros(F.col("mark").cast("timestamp")) - F.unix_micros(F.col("source_updated_at").cast("timestamp"))) / 1_000_000
+    later = met.where("batch > 4").select(seconds.alias("seconds"))
+    return quality.union_all([  # one aggregate for each of the three lookbacks
+        later.agg(F.count(F.lit(1)).alias("later_rows"), F.count_if(F.col("seconds") <= row["lookback_seconds"]).alias("covered_rows")).select(
+            F.lit(row["share"]).alias("share"), F.lit(row["lookback_seconds"]).cast("long").alias("lookback_seconds"),
+            F.lit(row["row_count"]).cast("long").alias("row_count"), "later_rows", "covered_rows")
+        for row in chosen.collect()])
+
+
 @query
 def backfill_window(t: Tables) -> DataFrame:
     """All days are loaded, then three of them again with corrected paths."""
