@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 
@@ -36,6 +37,18 @@ def test_random_texts_as_the_library(own, library):
         assert own.decode(made) == library.decode(expected, skip_special_tokens=False)
 
 
+def test_letters_with_marks_as_the_library(own, library):
+    """Words of letters and marks between single spaces."""
+    rng = random.Random(4)
+    letters = ["a", "the", "s", "Ll", "é", "ß", "ª", "µ", "ɐ", "ʰ", "ж", "日", "1", "e\u0301", "²"]
+    marks = list(bpe.MARKS) + ["'s", "'ll", "...", "'", "’", "$$", "\x7f", ""]
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(0, 4))) + "".join(rng.choice(marks) for _ in range(rng.randint(0, 3)))
+    texts = [" ".join(filter(None, (word() for _ in range(rng.randint(1, 8))))) for _ in range(4000)]
+    for text, made in zip(texts, own.encode_all(texts)):
+        assert ids(made) == library.encode(text, add_special_tokens=False).ids, text
+    assert gc.isenabled()
+
+
 def test_long_words_by_heap_as_by_scan(own, library):
     rng = random.Random(2)
     for size in (1, 2, bpe.SHORT - 1, bpe.SHORT, bpe.SHORT + 1, 20_000):

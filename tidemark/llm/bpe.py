@@ -25,11 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import CACHE_BYTES, CACHE_WORDS, lean, pick, slices, table, texts
+from tidemark.llm.common import CACHE_BYTES, CACHE_WORDS, lean, pick, slices, table, texts, uncollected
 
 #: How byte-level vocabularies split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 SHORT = 256  # bytes
+#: The marks of ASCII, and the end of the Latin letters.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS = "\u0250"
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -68,6 +71,8 @@ class Codec:
         self.none = len(pairs)
         self.joined = np.array([ids[a + b] for a, b in pairs], np.int32)
         self.byte_ids = np.array([ids[bytes([b])] for b in range(256)], np.int32)
+        every = np.arange(256)
+        self.byte_ranks = self._ranks(self.byte_ids[every[:, None]], self.byte_ids[every])
         self.rank_of = dict(zip(keys.tolist(), range(len(pairs))))
         self.split = regex.compile(PATTERN).findall
         self.apart = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
@@ -107,7 +112,7 @@ class Codec:
         contiguous arrays of one width."""
         out: list[bytes] = [b""] * len(block)
         rows, parts = np.arange(len(block)), self.byte_ids[block]
-        ranks = self._ranks(parts[:, :-1], parts[:, 1:])
+        ranks = self.byte_ranks[block[:, :-1], block[:, 1:]]
         while True:
             width = parts.shape[1]
             if width > 1:
@@ -179,15 +184,29 @@ class Codec:
             self.spaced.clear()
             self.held[1] = 0
         new = set().union(*texts).difference(self.spaced)
-        # Letters of ASCII alone are one word, with the space before them.
-        plain = [w for w in new if w.isascii() and w.isalpha() and len(w) < SHORT]
-        self.spaced.update(zip(plain, self.encode_words([" " + w for w in plain])))
-        new = [w for w in new.difference(plain) if w and len(w) < SHORT and not (w[0].isspace() or w[-1].isspace())]
-        split = [self.split(" " + w) for w in new]
-        self._learn_words(set().union(*split))
-        get = self.words.__getitem__
-        self.spaced.update(zip(new, [b"".join(map(get, ws)) for ws in split]))
-        self.held[1] += sum(map(len, new)) + sum(map(len, plain))
+        # Letters alone are one word, with the space before them, and marks after them another.
+        # Beyond ``LETTERS``, and where digits are among them, the pattern says what is a letter.
+        plain, marked, others = set(), [], []
+        for w in new:
+            if not w or len(w) >= SHORT:
+                continue
+            stem = w.rstrip(MARKS)
+            if stem.isalpha() and max(stem) < LETTERS:
+                if len(stem) == len(w):
+                    plain.add(w)
+                else:
+                    marked.append((w, stem, w[len(stem):]))
+            elif not (w[0].isspace() or w[-1].isspace()):
+                others.append(w)
+        plain.update({stem for _, stem, _ in marked}.difference(self.spaced))
+        order = list(plain)
+        self.spaced.update(zip(order, self.encode_words([" " + w for w in order])))
+        split = [self.split(" " + w) for w in others]
+        self._learn_words(set().union(*split, {tail for *_, tail in marked}))
+        get, stems = self.words.__getitem__, self.spaced
+        stems.update([(w, stems[stem] + get(tail)) for w, stem, tail in marked])
+        stems.update(zip(others, [b"".join(map(get, ws)) for ws in split]))
+        self.held[1] += sum(map(len, order)) + sum(map(len, others)) + sum(len(w) for w, *_ in marked)
 
     def _learn_words(self, words: set[str]) -> dict[str, bytes]:
         """Encode words for the cache; long ones are not kept but returned."""
@@ -205,8 +224,13 @@ class Codec:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        with uncollected():
+            return self._encode_all(texts)
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
         spaced = [t.split(" ") for t in texts]
         self._learn_spaced(spaced)
+        self._learn_words(set().union(*[self.split(parts[0]) for parts in spaced if len(parts[0]) < SHORT]))
         get, out = self.spaced.__getitem__, []
         for text, (first, *rest) in zip(texts, spaced):
             if self.apart and any(s in text for s in self.special):

@@ -6,8 +6,10 @@ further columns of the input never clash with them, whatever they are called.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -103,6 +105,19 @@ class WordCache(dict):
         return value
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """For steps that make very many strings and no cycles: without the search for cycles, which
+    would walk through all of them again and again. What is no longer used goes at once even so."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def give_back() -> None:
     """Return freed memory to the machine."""
     import pyarrow as pa
