@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from tidemark.functions.dates import ntz
 from tidemark.functions.text import canonicalize
 from tidemark.operators.skew import HOT_ROWS, Heat, find_hot
-from tidemark.operators import cdc, incremental, marts, monitoring, profiling, quality, refresh, staging, star, state
+from tidemark.operators import cdc, content, incremental, marts, monitoring, profiling, quality, refresh, staging, star, state
 from tidemark.plans import ingest, warehouse as build
 from tidemark.schemas import (
     ACCOUNT_STATUSES, CONTRACTS, EPOCH, LONG, ORDER_STATUSES, PLAN_TIERS, SOURCES, SUBSCRIPTION_STATUSES,
@@ -369,6 +369,21 @@ def verify_idempotent(t: Tables) -> DataFrame:
     return state.verify_idempotent(targets, lambda: ingest.run_all(t.spark, root, inputs, "RUN-2", **options))
 
 
+@query
+def state_differences(t: Tables) -> DataFrame:
+    """Orders of a replica that lags, in other buckets: it lacks the last year and an update."""
+    changes, tables = t("order_changes"), []
+    behind = changes.where((F.col("arrival_seq") == 1) & (F.col("order_timestamp") < ntz("1998-01-01")))
+    for name, buckets, batches in (
+        ("replica", BUCKETS, [behind]), ("orders", 2 * BUCKETS, [changes.where(F.col("arrival_seq") == seq) for seq in (1, 2)]),
+    ):
+        table = state.ChangeTable(t.spark, t.folder(name), "orders", buckets)
+        for no, batch in enumerate(batches):
+            table.merge(batch, f"BATCH-{no}")
+        tables.append((table, table.head()))
+    return content.differing_keys(*tables)
+
+
 # -- staging ----------------------------------------------------------------
 
 
