@@ -115,3 +115,16 @@ def test_very_long_text(spark):
     text = "many words of one text " * 100_000 + "q" * 100_000
     (row,) = bpe.encoded(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert row.decoded.decode() == text and row.n_tokens * 4 == len(row.ids)
+
+
+def test_full_caches_keep_what_is_needed(monkeypatch):
+    """Texts that share words, with caches that are full after each call."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 5)
+    own, fresh = bpe.Codec(bpe.vocabulary_path()), bpe.Codec(bpe.vocabulary_path())
+    calls = [["the cat, the dog", "", " cat", "a  b"], ["the dog\nsat down.", "the cat, the cat"], ["dog, the"]]
+    seen = []
+    monkeypatch.setattr(own, "encode_words", lambda words: seen.append(set(words)) or fresh.encode_words(words))
+    for texts in calls:
+        assert own.encode_all(texts) == [fresh.encode(t) for t in texts]
+    assert sum(" the" in words for words in seen) == 1
+    assert own.encode_all([]) == []

@@ -25,11 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import CACHE_BYTES, CACHE_WORDS, lean, pick, slices, table, texts, uncollected
+from tidemark.llm.common import CACHE_BYTES, lean, pick, slices, table, texts, uncollected
 
 #: How byte-level vocabularies split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 SHORT = 256  # bytes
+CACHE_WORDS = 150_000  # of either cache; a full one keeps what the next texts need
 #: The marks of ASCII, and the end of the Latin letters.
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LETTERS = "\u0250"
@@ -70,16 +71,22 @@ class Codec:
         self.keys, self.key_ranks = np.append(keys[order], np.iinfo(np.int64).max), np.append(order, len(pairs)).astype(np.int32)
         self.none = len(pairs)
         self.joined = np.array([ids[a + b] for a, b in pairs], np.int32)
+        self._rank_of: dict[int, int] | None = None
         self.byte_ids = np.array([ids[bytes([b])] for b in range(256)], np.int32)
         every = np.arange(256)
         self.byte_ranks = self._ranks(self.byte_ids[every[:, None]], self.byte_ids[every])
-        self.rank_of = dict(zip(keys.tolist(), range(len(pairs))))
         self.split = regex.compile(PATTERN).findall
         self.apart = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         self.words: dict[str, bytes] = {}  # word: ids
         self.spaced: dict[str, bytes] = {}  # what stands between two spaces: ids, with the space before it
         self.held = [0, 0]  # characters of the words in either
 
+    def rank_of(self) -> dict[int, int]:
+        """Ranks by the ids of two parts, made when the first long word comes."""
+        if self._rank_of is None:
+            self._rank_of = dict(zip(self.keys[:-1].tolist(), self.key_ranks[:-1].tolist()))
+        return self._rank_of
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.keys, key)
@@ -87,20 +94,21 @@ class Codec:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word as little-endian unsigned 32-bit integers."""
-        data = [w.encode() for w in words]
+        data = list(map(str.encode, words))
         out: list[bytes] = [b""] * len(data)
-        by_length: dict[int, list[int]] = {}
-        for i, d in enumerate(data):
-            by_length.setdefault(len(d), []).append(i)
-        for length, rows in by_length.items():
+        lengths = np.fromiter(map(len, data), np.int64, len(data))
+        order = np.argsort(lengths, kind="stable")
+        begins = np.flatnonzero(np.diff(lengths[order], prepend=-1))
+        for some in np.split(order, begins[1:]):
+            rows, length = some.tolist(), int(lengths[some[0]]) if len(some) else 0
             if length > SHORT:
                 for i in rows:
                     out[i] = self._heap(data[i])
                 continue
-            for begin in range(0, len(rows), 1 << 14):
-                some = rows[begin:begin + (1 << 14)]
-                block = np.frombuffer(b"".join([data[i] for i in some]), np.uint8).reshape(len(some), length)
-                for i, ids in zip(some, self._scan(block)):
+            for begin in range(0, len(rows), 1 << 13):
+                part = rows[begin:begin + (1 << 13)]
+                block = np.frombuffer(b"".join([data[i] for i in part]), np.uint8).reshape(len(part), length)
+                for i, ids in zip(part, self._scan(block)):
                     out[i] = ids
         return out
 
@@ -146,7 +154,7 @@ class Codec:
         """The same merges for a long word: leftmost least rank from a heap, stale
         entries told by the parts that they were made for."""
         parts = self.byte_ids[np.frombuffer(data, np.uint8)].tolist()
-        n, ranks = len(parts), self.rank_of
+        n, ranks = len(parts), self.rank_of()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[int, int, int, int]] = []
 
@@ -176,22 +184,27 @@ class Codec:
         self.spaced.clear()
         self.held = [0, 0]
 
-    def _learn_spaced(self, texts: list[list[str]]) -> None:
-        """Encode what these texts, split at spaces, add to the cache. Only what neither
+    def _learn_spaced(self, parts: list[str]) -> None:
+        """Encode what these parts of texts, split at spaces, add to the cache. Only what neither
         is empty nor begins or ends with white space: after a space that follows such a
         part, a word begins, and it is split alike whatever came before it."""
         if len(self.spaced) > CACHE_WORDS or self.held[1] > CACHE_BYTES:
-            self.spaced.clear()
-            self.held[1] = 0
-        new = set().union(*texts).difference(self.spaced)
+            # What these texts need stays.
+            self.spaced = {w: ids for w in parts if (ids := self.spaced.get(w)) is not None}
+            self.held[1] = sum(map(len, self.spaced))
+        new = set(parts).difference(self.spaced)
         # Letters alone are one word, with the space before them, and marks after them another.
         # Beyond ``LETTERS``, and where digits are among them, the pattern says what is a letter.
-        plain, marked, others = set(), [], []
+        # Most are ASCII letters alone.
+        plain, marked, others = set(filter(str.isascii, filter(str.isalpha, new))), [], []
+        new -= plain
+        if plain and len(max(plain, key=len)) >= SHORT:
+            plain = {w for w in plain if len(w) < SHORT}
         for w in new:
             if not w or len(w) >= SHORT:
                 continue
             stem = w.rstrip(MARKS)
-            if stem.isalpha() and max(stem) < LETTERS:
+            if stem.isalpha() and (stem.isascii() or max(stem) < LETTERS):
                 if len(stem) == len(w):
                     plain.add(w)
                 else:
@@ -228,23 +241,52 @@ class Codec:
             return self._encode_all(texts)
 
     def _encode_all(self, texts: list[str]) -> list[bytes]:
-        spaced = [t.split(" ") for t in texts]
-        self._learn_spaced(spaced)
-        self._learn_words(set().union(*[self.split(parts[0]) for parts in spaced if len(parts[0]) < SHORT]))
-        get, out = self.spaced.__getitem__, []
-        for text, (first, *rest) in zip(texts, spaced):
-            if self.apart and any(s in text for s in self.special):
-                out.append(b"".join(
-                    array("I", [self.special[part]]).tobytes() if part in self.special else self._words_of(part)
-                    for part in self.apart(text) if part))
-                continue
-            try:
-                # The first part has no space before it, so it is split by itself.
-                get(first)
-                out.append(b"".join([self._words_of(first), *map(get, rest)]))
-            except KeyError:  # white space beside a space, or a long word
-                out.append(self._words_of(text))
-        return out
+        """A part between spaces is looked up once per call, however often it occurs; the
+        ids of all its places are gathered as arrays."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        edges, parts = split.offsets.to_numpy().astype(np.int64), split.flatten().dictionary_encode()
+        places, distinct = parts.indices.to_numpy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del split, parts
+        self._learn_spaced(distinct)
+        # The first part of a text has no space before it, so it is split by itself.
+        first_places = places[edges[:-1]]
+        firsts = {i: distinct[i] for i in np.unique(first_places).tolist()}
+        self._learn_words(set().union(*[self.split(w) for w in firsts.values() if len(w) < SHORT]))
+        found = list(map(self.spaced.get, distinct))
+        known = np.fromiter((ids is not None for ids in found), bool, len(found))
+        # White space beside a space, or a long word: such a text is split as a whole.
+        plain = np.logical_and.reduceat(known[places], edges[:-1])
+        if self.apart:
+            plain &= np.array([not any(s in text for s in self.special) for text in texts])
+        number = {i: len(found) + k for k, i in enumerate(firsts)}
+        found += [self._words_of(w) if known[i] else None for i, w in firsts.items()]
+        places = places.copy()
+        places[edges[:-1]] = np.array([number[i] for i in first_places.tolist()], places.dtype)
+        found = [ids or b"" for ids in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        del found
+        here = sizes[places]
+        ends = np.cumsum(here)
+        shift = (np.cumsum(sizes) - sizes)[places] - (ends - here)
+        ids = flat[np.repeat(shift.astype(np.int32), here) + np.arange(ends[-1], dtype=np.int32)]
+        stops = ends[edges[1:] - 1].tolist()
+        return [
+            ids[begin:stop].tobytes() if whole else self._encode_apart(text)
+            for text, whole, begin, stop in zip(texts, plain.tolist(), [0, *stops], stops)]
+
+    def _encode_apart(self, text: str) -> bytes:
+        """The ids of a text that may hold special tokens."""
+        if self.apart and any(s in text for s in self.special):
+            return b"".join(
+                array("I", [self.special[part]]).tobytes() if part in self.special else self._words_of(part)
+                for part in self.apart(text) if part)
+        return self._words_of(text)
 
     def _words_of(self, text: str) -> bytes:
         words = self.split(text)

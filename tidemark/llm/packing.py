@@ -48,20 +48,21 @@ def padding(length: int, full: int = LENGTH) -> int:
 def choose_cuts(positions: list[int], penalties: list[int], length: int = LENGTH) -> list[int]:
     """The cheapest increasing choice of ``positions`` that ends with the last one and
     leaves no window above ``length``. Neighbouring positions lie within ``length``."""
-    points, costs, back = [0, *positions], [0], [0]
-    keys, queue = [0], deque([0])  # key: cost + position
-    for j in range(1, len(points)):
-        here = points[j]
-        while here - points[queue[0]] > length:
-            queue.popleft()
-        best = queue[0]
-        key = keys[best] + length + penalties[j - 1]
-        costs.append(key - here)
-        keys.append(key)
-        back.append(best)
-        while queue and keys[queue[-1]] >= key:
+    # A key is cost + position. The queue is what of these two lists lies at ``first`` and above.
+    points, back = [0, *positions], [0]
+    queue, least, first, j = [0], [0], 0, 0
+    for here, penalty in zip(positions, penalties):
+        j += 1
+        low = here - length
+        while points[queue[first]] < low:
+            first += 1
+        key = least[first] + length + penalty
+        back.append(queue[first])
+        while len(least) > first and least[-1] >= key:
+            least.pop()
             queue.pop()
         queue.append(j)
+        least.append(key)
     cuts, at = [], len(points) - 1
     while at:
         cuts.append(points[at])
@@ -170,7 +171,7 @@ class _Pack:
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         id_type = None
-        for batch in slices(batches, "_text", 4 << 20):
+        for batch in slices(batches, "_text", 2 << 20):
             id_type = batch.schema.field("doc_id").type
             encoded = codec.encode_all([t.decode() for t in texts(batch, "_text")])
             for key, made in zip(batch.column("doc_id").to_pylist(), encoded):
