@@ -144,3 +144,28 @@ def test_backfill_touches_only_its_parts(spark, tables, tmp_path):
     assert touched["fact_orders"] == ["199703"] and len(touched["dim_customer"]) == 1
     assert rows(mart.read(), *FACT) == rows(order_facts(source.current()), *FACT)
     assert rows(history.current()) == rows(rebuilt(tables("customer_changes").unionByName(one)))
+
+
+def test_first_feed_moves_no_row_and_later_ones_join(spark, tables, tmp_path):
+    source = ChangeTable(spark, str(tmp_path / "orders"), "orders", 4)
+    changes = tables("order_changes")
+    for seq in (1, 2):
+        source.merge(changes.where(F.col("arrival_seq") == seq), f"B{seq}")
+    plan = lambda feed: feed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(refresh.change_feed(source, 0, source.head_at(1)))
+    feed = refresh.change_feed(source, 1)
+    assert "Join" in plan(feed)
+    old, now = source.state(source.head_at(1), list(source.head().parts)), source.current()
+    assert rows(feed.where("_change = 'in'").drop("_change")) == rows(now.exceptAll(old.select(*now.columns)))
+    assert rows(feed.where("_change = 'out'").drop("_change")) == rows(old.select(*now.columns).exceptAll(now))
+
+
+def test_feed_of_rows_without_a_key(spark, tables, tmp_path):
+    source = ChangeTable(spark, str(tmp_path / "orders"), "orders", 4)
+    raw = tables("raw_orders")
+    some = spark.createDataFrame([(None, *r[1:]) if i == 0 else tuple(r) for i, r in enumerate(raw.limit(3).collect())], raw.schema)
+    source.merge(some.withColumn("arrival_seq", F.lit(1)), "B1")
+    later = some.where("order_id is null").withColumn("source_updated_at", F.expr("source_updated_at + interval 1 day")).withColumn("order_status", F.lit("paid"))
+    source.merge(later.withColumn("arrival_seq", F.lit(2)), "B2")
+    found = [(r.order_id, r.order_status, r["_change"]) for r in refresh.change_feed(source, 1).orderBy(F.desc("_change")).collect()]
+    assert [(k, c) for k, _, c in found] == [(None, "out"), (None, "in")] and found[1][1] == "paid"

@@ -82,21 +82,31 @@ def change_feed(table: ChangeTable, since: int, until: Head | None = None) -> Da
     """Rows of the table's state that went (``_change`` out) or came (in) after a commit.
 
     Only buckets whose files differ are read. An updated row goes and comes; one that was
-    written again as it was does neither. Both sides of a key meet in one aggregate.
+    written again as it was does neither. States of mutable sources have one row per key: where
+    nothing was before, all rows came, and else both sides of a key meet in a join, for which
+    reduced states lie right already. Rows without a key, and those of other sources, meet in an aggregate.
     """
     old, new = table.head_at(since), until or table.head()
     parts, key, columns = differing_parts(old, new), table.source.key, table.source.columns
 
-    def side(head: Head, name: str) -> DataFrame:
-        rows = table.state(head, parts).select(F.col(key).alias("_key"), F.struct(*columns).alias("_row"))
+    if table.source.mutable and not old.parts:
+        return table.state(new, parts).select(*columns, F.lit("in").alias("_change"))
+
+    def side(head: Head, name: str, which: Column) -> DataFrame:
+        rows = table.state(head, parts).where(which).select(F.col(key).alias("_key"), F.struct(*columns).alias("_row"))
         return rows.select("_key", *[F.col("_row").alias(n) if n == name else F.lit(None).cast(rows.schema["_row"].dataType).alias(n)
                                      for n in ("_out", "_in")])
 
+    joined = F.col(key).isNotNull() if table.source.mutable else F.lit(False)
     both = (
-        side(old, "_out").unionByName(side(new, "_in")).groupBy("_key")
+        side(old, "_out", ~joined).unionByName(side(new, "_in", ~joined)).groupBy("_key")
         .agg(F.first("_out", ignorenulls=True).alias("_out"), F.first("_in", ignorenulls=True).alias("_in"))
-        .where(~F.col("_out").eqNullSafe(F.col("_in")))
     )
+    if table.source.mutable:
+        # The keys keep their names up to the join, so that an exchange for the reduction serves it too.
+        was, now = (table.state(head, parts).where(joined).select(key, F.struct(*columns).alias(name)) for head, name in ((old, "_out"), (new, "_in")))
+        both = was.join(now, key, "full").withColumnRenamed(key, "_key").unionByName(both)
+    both = both.where(~F.col("_out").eqNullSafe(F.col("_in")))
     moves = F.explode(F.array(
         F.struct(F.lit("out").alias("_change"), F.col("_out").alias("_row")),
         F.struct(F.lit("in").alias("_change"), F.col("_in").alias("_row"))))

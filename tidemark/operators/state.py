@@ -235,6 +235,8 @@ class ChangeTable(VersionedTable):
             return self.read(head=head).drop("bucket")
         settled = [b for b in head.parts if b not in set(grown)]
         reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"))
+        if not settled:
+            return reduced
         return self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
 
     def state(self, head: Head, parts: list[str]) -> DataFrame:
