@@ -8,8 +8,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, skew
-from tidemark.operators.state import ChangeTable, verify_idempotent
+from tidemark.operators import cdc, skew, state
+from tidemark.operators.state import ChangeTable, content_signature, verify_idempotent
 from tidemark.schemas import SOURCES, T
 
 UPSERTS = {
@@ -134,6 +134,51 @@ def test_reoffered_rows_change_nothing(spark, tmp_path):
     assert all(r.delta == 0 and r.same_content for r in verify_idempotent(tables, again).collect())
 
 
+@pytest.mark.parametrize("source", SOURCES)
+def test_merge_shuffles_rows_once(spark, tmp_path, monkeypatch, source):
+    """For the reduction and for the files together, in a first load and in an addition."""
+    plans, replace = [], ChangeTable.replace
+
+    def noted(self, rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return replace(self, rows, *args, **options)
+
+    monkeypatch.setattr(ChangeTable, "replace", noted)
+    table, batch = ChangeTable(spark, str(tmp_path), source, 4), frame(spark, source, random_log(source, 3, n=40))
+    for no in range(2):
+        table.merge(batch, f"B{no}")
+    assert [plan.count("Exchange") for plan in plans] == [1, 1]
+
+
+@pytest.mark.parametrize("source", SOURCES)
+def test_large_buckets_and_repeated_keys(spark, tmp_path, monkeypatch, source):
+    """Buckets over several tasks, one key combined before the others are dealt; a rewrite with stored rows."""
+    monkeypatch.setattr(state, "TASK_ROWS", 15)
+    monkeypatch.setattr(state, "FEW_ROWS", 10)
+    monkeypatch.setattr(state, "REPEATED", 25)
+    log, stored = random_log(source, 11), {}
+    table = ChangeTable(spark, str(tmp_path), source, 2, max_deltas=0)
+    for no, (lo, hi) in enumerate([(0, 150), (150, 400)]):
+        table.merge(frame(spark, source, log[lo:hi]), f"B{no}")
+        apply_one_by_one(source, log[lo:hi], stored)
+    assert rows(table.current()) == as_rows(source, stored)
+    assert max(len(list(p.glob("*.parquet"))) for p in tmp_path.glob("data/v=1/bucket=*")) > 1
+
+
+@pytest.mark.parametrize("source,column", [("orders", "order_status"), ("orders", "payment_method"), ("subscriptions", "status")])
+def test_digests_tell_states_apart(spark, tmp_path, source, column):
+    """One per key, the same however the state lies in files, and another where one value is."""
+    log, signatures = random_log(source, 12, n=40), []
+    other = [r | {column: "another"} for r in log]
+    for name, batches in (("one", [log]), ("two", [log[:20], log]), ("other", [other])):
+        table = ChangeTable(spark, str(tmp_path / name), source, 2)
+        for no, batch in enumerate(batches):
+            table.merge(frame(spark, source, batch), f"B{no}")
+        signatures.append(content_signature(table.digests()).first())
+    assert signatures[0] == signatures[1] and signatures[0].row_count == len({r[SOURCES[source].key] for r in log})
+    assert signatures[0].content_hash != signatures[2].content_hash
+
+
 def test_scenario_insert_update_stale_delete(spark, tmp_path):
     """Insert, upgrade, an older record that must be ignored, and a deletion."""
     t0 = datetime(2026, 3, 25, 12)

@@ -17,6 +17,9 @@ one is not older than the first it has won. Only keys whose last arrival came to
 looked through again, for the last arrival that did not. State rows carry the first and last arrival they stand for
 (``_first_seq``, ``_last_seq``), which closes the reductions: state plus new
 changes reduces to the same state as the full log.
+
+Rows that lie dealt by a function of their key, in a column that ``dealt`` names, are reduced
+where they are, without a shuffle.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from tidemark.operators.skew import HOT_ROWS, Heat, along_key, with_key_value
 from tidemark.schemas import SOURCES, Source
 from tidemark.session import new_folder
 
-LATEST = ("_last_seq", "_commit_no", "_ingested_at")  # follow the last change applied
+LATEST = ("_last_seq", "_commit_no", "_ingested_at", "_moving")  # follow the last change applied
 
 
 def as_changes(log: DataFrame) -> DataFrame:
@@ -39,26 +42,26 @@ def _public(state: DataFrame, source: Source) -> DataFrame:
     return state.select(*source.columns)
 
 
-def _newest(rows: DataFrame, key: str, *order) -> DataFrame:
+def _newest(rows: DataFrame, key: list[str], *order) -> DataFrame:
     """First row per key in the given order. The rank limit runs before the shuffle."""
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def reduce_customers(rows: DataFrame) -> DataFrame:
+def reduce_customers(rows: DataFrame, *dealt: str) -> DataFrame:
     s = SOURCES["customers"]
-    return _newest(rows, s.key, F.desc(s.ts), F.desc("_last_seq"))
+    return _newest(rows, [*dealt, s.key], F.desc(s.ts), F.desc("_last_seq"))
 
 
-def reduce_orders(rows: DataFrame) -> DataFrame:
+def reduce_orders(rows: DataFrame, *dealt: str) -> DataFrame:
     s = SOURCES["orders"]
-    fixed = [c for c in rows.columns if c not in (*s.mutable, s.key, *LATEST)]
-    moving = [c for c in rows.columns if c not in (*fixed, s.key)]
-    reduced = rows.groupBy(s.key).agg(
+    fixed = [c for c in rows.columns if c not in (*s.mutable, *dealt, s.key, *LATEST)]
+    moving = [c for c in rows.columns if c not in (*fixed, *dealt, s.key)]
+    reduced = rows.groupBy(*dealt, s.key).agg(
         F.min_by(F.struct(*fixed), "_first_seq").alias("_first"),
         F.max_by(F.struct(*moving), F.struct(s.ts, "_last_seq")).alias("_last"),
     )
-    return reduced.select(s.key, "_first.*", "_last.*").select(*rows.columns)
+    return reduced.select(*dealt, s.key, "_first.*", "_last.*").select(*rows.columns)
 
 
 def unsettled_subscriptions(rows: DataFrame) -> DataFrame | None:
@@ -73,10 +76,19 @@ def unsettled_subscriptions(rows: DataFrame) -> DataFrame | None:
     return None if kept.isEmpty() else kept
 
 
-def reduce_subscriptions(rows: DataFrame) -> DataFrame:
+def reduce_subscriptions(rows: DataFrame, *dealt: str) -> DataFrame:
     s = SOURCES["subscriptions"]
     moving = [c for c in rows.columns if c in (*s.mutable, *LATEST)]
-    fixed = [c for c in rows.columns if c not in (*moving, s.key)]
+    fixed = [c for c in rows.columns if c not in (*moving, *dealt, s.key)]
+    if dealt:  # the rows of a key lie together, so each sees the ends
+        of_key = Window.partitionBy(*dealt, s.key)
+        guarded = rows.withColumns({
+            "_guard": F.min_by(s.ts, "_first_seq").over(of_key), "_tail": F.max_by(s.ts, "_last_seq").over(of_key)})
+        too_late = F.col(s.key).isNotNull() & (F.col("_tail") < F.col("_guard")) & ~F.coalesce(F.col(s.ts) >= F.col("_guard"), F.lit(False))
+        return guarded.groupBy(*dealt, s.key).agg(
+            F.min_by(F.struct(*fixed), "_first_seq").alias("_first"),
+            F.max_by(F.struct(*moving), F.when(~F.coalesce(too_late, F.lit(False)), F.col("_last_seq"))).alias("_last"),
+        ).select(*dealt, s.key, "_first.*", "_last.*").select(*rows.columns)
     last = F.max_by(F.struct(*moving), "_last_seq").alias("_last")
     ends = rows.groupBy(s.key).agg(F.min_by(F.struct(*fixed), "_first_seq").alias("_first"), last)
     unsettled = unsettled_subscriptions(rows)
@@ -88,8 +100,8 @@ def reduce_subscriptions(rows: DataFrame) -> DataFrame:
     return ends.select(s.key, "_first.*", "_last.*").select(*rows.columns)
 
 
-def reduce_events(rows: DataFrame) -> DataFrame:
-    return _newest(rows, SOURCES["events"].key, F.asc("_first_seq"))
+def reduce_events(rows: DataFrame, *dealt: str) -> DataFrame:
+    return _newest(rows, [*dealt, SOURCES["events"].key], F.asc("_first_seq"))
 
 
 REDUCERS = {

@@ -14,6 +14,8 @@ nothing visible, and a repeated batch id is recognised. One writer per table.
 from __future__ import annotations
 
 import json
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
@@ -42,6 +44,11 @@ SEQ = T.DecimalType(38, 0)  # of arrivals; tables written with long numbers are
 BUCKETS = 64  # of a new table whose creator names none
 MAX_DELTAS = 8  # additions to a bucket before it is rewritten
 MAX_FILES = 32  # the same for insert-only tables
+LEAVES = 512  # keys of a batch are counted by so many hashes, or by one per bucket
+TASK_ROWS = 1_000_000  # a bucket with more is dealt to several tasks, each of which writes a file
+FEW_ROWS = 100_000  # buckets with fewer together share a task
+REPEATED = 4  # rows per key from which rows are combined before they are dealt
+PACKED = {"compression": "zstd"}  # files are written once and kept
 
 
 @dataclass(frozen=True)
@@ -168,7 +175,7 @@ class VersionedTable:
         target = f"{self.root}/data/v={number}"
         # Rebalancing groups rows by partition value and splits the large groups.
         laid_out = rows.hint("rebalance", self.part) if spread else rows
-        laid_out.write.mode("overwrite").partitionBy(self.part).parquet(target)
+        laid_out.write.mode("overwrite").options(**PACKED).partitionBy(self.part).parquet(target)
         written = self._written(target, number)
         for gone in list(parts) if replaced is None else replaced:
             parts.pop(gone, None)
@@ -228,16 +235,21 @@ class ChangeTable(VersionedTable):
         bucket = F.pmod(F.xxhash64(self.source.key), F.lit(buckets)).cast("string")
         return rows.withColumn("bucket", bucket)
 
-    def _state(self, head: Head) -> DataFrame:
-        """One row per key with its sequence numbers."""
+    def _state(self, head: Head, shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """One row per key with its sequence numbers. ``shape`` may put other columns in place of the
+        source's, before rows are reduced."""
+        def stored(only: list[str] | None = None) -> DataFrame:
+            rows = self.read(only=only, head=head).drop("bucket")
+            return shape(rows) if shape else rows
+
         grown = [b for b, versions in head.parts.items() if len(versions) > 1]
         if not grown or not self.source.mutable:
-            return self.read(head=head).drop("bucket")
+            return stored()
         settled = [b for b in head.parts if b not in set(grown)]
-        reduced = cdc.REDUCERS[self.source.name](self.read(only=grown, head=head).drop("bucket"))
+        reduced = cdc.REDUCERS[self.source.name](stored(grown))
         if not settled:
             return reduced
-        return self.read(only=settled, head=head).select(*reduced.columns).unionByName(reduced)
+        return stored(settled).select(*reduced.columns).unionByName(reduced)
 
     def state(self, head: Head, parts: list[str]) -> DataFrame:
         """One row per key of the named buckets, as of a commit."""
@@ -249,6 +261,25 @@ class ChangeTable(VersionedTable):
         self._buckets(head)
         return self._state(head).select(*self.source.columns, *(["_ingested_at"] if load_time else []))
 
+    def digests(self) -> DataFrame:
+        """One row per key, which stands for its whole row of ``current``: key and time, a hash of the
+        columns that the first arrival settles and one of those that later ones may change. Such
+        rows follow the same reduction, and only they are shuffled for it."""
+        s, head = self.source, self.head()
+        self._buckets(head)
+
+        def hashed(columns: list[str]) -> Column:
+            return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]) if columns else F.lit(0).cast("long")
+
+        values = [c for c in s.columns if c not in (s.key, s.ts)]
+
+        def shape(rows: DataFrame) -> DataFrame:
+            return rows.select(
+                s.key, s.ts, hashed([c for c in values if c not in s.mutable]).alias("_fixed"),
+                hashed([c for c in values if c in s.mutable]).alias("_moving"), "_first_seq", "_last_seq")
+
+        return self._state(head, shape).select(s.key, s.ts, "_fixed", "_moving")
+
     def rebucket(self, buckets: int, batch_id: str) -> Outcome:
         """Rewrite the table in another number of buckets, as one commit."""
         head = self.head(batch_id)
@@ -282,60 +313,122 @@ class ChangeTable(VersionedTable):
         arrival = arrival_order(self.source, head.number + 1)
         if "arrival_seq" in batch.columns:
             arrival = F.coalesce(F.col("arrival_seq").cast(SEQ), arrival)
-        loaded = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
-        batch.select(*self.source.columns, arrival.alias("arrival_seq"), F.lit(str(loaded)).cast(TS).alias("_ingested_at")).write.mode(
-            "overwrite").parquet(log_path)
-        logged = self.spark.read.schema(self._log_schema()).parquet(log_path)
-        number = F.lit(head.number + 1).cast("long")
-        changes = self._bucketed(cdc.as_changes(logged).withColumn("_commit_no", number), buckets)
+        loaded = F.lit(str(loaded_at or datetime.now(timezone.utc).replace(tzinfo=None))).cast(TS)
+        batch.select(*self.source.columns, arrival.alias("arrival_seq"), loaded.alias("_ingested_at")).write.mode(
+            "overwrite").options(**PACKED).parquet(log_path)
+        logged = self.spark.read.schema(self._log_schema()).parquet(log_path).drop("_ingested_at")
         old = F.lit(True)
         if remembered is not None:
             mark_of_others = self._mark_of_others(*remembered)
             old = F.lit(mark_of_others is not None) & F.coalesce(F.col(self.source.ts) <= F.lit(str(mark_of_others)).try_cast(TS), F.lit(True))
-        # One line per bucket, whatever the batch size.
-        seen = changes.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("n"), F.max(self.source.ts).alias("top"), F.max(old).alias("old")).collect()
+        # One line per leaf, whatever the batch size.
+        leaves = buckets * max(1, LEAVES // buckets)
+        leaf = f"pmod(xxhash64(`{self.source.key}`), {leaves})"
+        seen = logged.groupBy(F.expr(leaf).alias("leaf")).agg(
+            F.count(F.lit(1)).alias("n"), F.approx_count_distinct(self.source.key, 0.1).alias("keys"),
+            F.max(self.source.ts).alias("top"), F.max(old).alias("old")).collect()
         mark = max([r["top"] for r in seen if r["top"] is not None] + [head.watermark or EPOCH])
-        touched, offered = [r["bucket"] for r in seen], sum(r["n"] for r in seen)
+        touched, offered = list(dict.fromkeys(str(r["leaf"] % buckets) for r in seen)), sum(r["n"] for r in seen)
+        # Where keys repeat much, a task sends one row of each; elsewhere that would only sort the rows once more.
+        often = [r["leaf"] for r in seen if offered > FEW_ROWS and r["n"] > REPEATED * max(1, r["keys"])]
+        repeating, sizes = f"{leaf} IN ({', '.join(map(str, often))})" if often else "false", Counter()
+        for r in seen:
+            sizes[r["leaf"] % buckets] += r["keys"] + 1 if r["leaf"] in set(often) else r["n"]
+
+        def changes(log: DataFrame) -> DataFrame:
+            stamped = cdc.as_changes(log).withColumns({"_ingested_at": loaded, "_commit_no": F.lit(head.number + 1).cast("long")})
+            return self._bucketed(stamped, buckets)
+
         if self.source.mutable:
             due = [b for b in touched if len(head.parts.get(b, [])) > self.max_deltas or b not in head.parts]
-            rows = self._merged(changes, due, head, buckets)
+            rows = self._merged(logged, changes, due, head, sizes, buckets, repeating)
         else:
             # Of stored files only the keys are read, but for buckets of many files.
-            due, compared = [b for b in touched if len(head.parts.get(b, [])) >= MAX_FILES], [r["bucket"] for r in seen if r["old"]]
-            rows = cdc.reduce_events(changes)
-            if any(b in head.parts for b in compared):
-                stored = self.read(only=compared, head=head).select(self.source.key)
-                rows = rows.where(~old).unionByName(rows.where(old).join(stored, self.source.key, "left_anti"))
+            due = [b for b in touched if len(head.parts.get(b, [])) >= MAX_FILES]
+            compared = {str(r["leaf"] % buckets) for r in seen if r["old"]}
+            if often:
+                first = cdc.reduce_events(cdc.as_changes(logged.where(repeating))).drop("_first_seq").withColumnRenamed("_last_seq", "arrival_seq")
+                logged = first.unionByName(logged.where(f"NOT {repeating}"))
+            rows = self._inserted(logged, changes, [b for b in compared if b in head.parts], old, head, sizes, buckets)
             if due:
-                rows = rows.unionByName(self.read(only=due, head=head).select(*rows.columns))
+                kept = self.read(only=due, head=head)
+                rows = rows.unionByName(self._dealt(kept, buckets, self._stored_rows(due, head)).select(*rows.columns))
         return self.replace(
             rows.select(*self.schema.fieldNames()), batch_id, due, head=head, offered=offered, watermark=mark,
             count_applied=not self.source.mutable or len(due) == len(touched), committed_at=committed_at,
-            buckets=buckets)
+            spread=False, buckets=buckets)
+
+    def _stored_rows(self, parts: list[str], head: Head) -> Counter:
+        """Rows per bucket, which the footers of files tell."""
+        counted = self.read(only=parts, head=head).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        return Counter({int(r["bucket"]): r["n"] for r in counted.collect()})
+
+    def _dealt(self, rows: DataFrame, buckets: int, sizes: Counter) -> DataFrame:
+        """Rows shuffled once both for their reduction and for their files: all rows of a key go to one
+        task (``_slot``), a large bucket to tasks of its own and small buckets to one."""
+        first, shares, slot, filled = [], [], 0, 0
+        for bucket in range(buckets):
+            n = sizes[bucket]
+            if filled and filled + n > FEW_ROWS:
+                slot, filled = slot + 1, 0
+            shares.append(max(1, -(-n // TASK_ROWS)))
+            first.append(slot)
+            slot, filled = slot + shares[-1] - 1, filled + n
+        number = f"xxhash64(`{self.source.key}`)"
+        starts, counts = (f"array({', '.join(map(str, values))})[pmod({number}, {buckets})]" for values in (first, shares))
+        dealt = rows.withColumn("_slot", F.expr(f"int({starts} + pmod({number} div {buckets}, {counts}))"))
+        return dealt.repartitionById(slot + 1, "_slot")
 
     def _mark_of_others(self, prefix: str, since: datetime) -> datetime | None:
         """The mark that successful commits other than those of a caller had reached."""
         own = F.col("batch_id").startswith(prefix) & (F.col("committed_at") >= F.lit(str(since)).cast(TS))
         return self.commits().where((F.col("status") == "SUCCESS") & ~own).agg(F.max("watermark")).first()[0]
 
-    def _merged(self, changes: DataFrame, due: list[str], head: Head, buckets: int) -> DataFrame:
+    def _merged(
+        self, logged: DataFrame, changes: Callable[[DataFrame], DataFrame], due: list[str], head: Head,
+        sizes: Counter, buckets: int, repeating: str,
+    ) -> DataFrame:
         """New content of the buckets due for a rewrite, and additions to the others."""
-        reducer, stored = cdc.REDUCERS[self.source.name], self.read(only=due, head=head)
-
-        def rewrite(part: DataFrame) -> DataFrame:
-            both = stored.unionByName(part.select(*stored.columns))
-            return self._bucketed(reducer(both.drop("bucket")), buckets)
-
-        if self.max_deltas == 0:
-            return rewrite(changes)
-        is_due = F.col("bucket").isin(due)
-        rewritten, added = rewrite(changes.where(is_due)), changes.where(~is_due)
-        if self.source.name != "subscriptions":
-            added = self._bucketed(reducer(added.drop("bucket")), buckets)
-        # Which subscription changes count depends on the stored first arrival, so
-        # those are added as they are.
-        return rewritten.unionByName(added.select(*rewritten.columns))
+        reducer, added = cdc.REDUCERS[self.source.name], None
+        if self.source.name == "subscriptions" and len(due) < len({b for b in sizes if sizes[b]}):
+            # Which subscription changes count depends on the stored first arrival, so additions stay as they are.
+            bucket = f"pmod(xxhash64(`{self.source.key}`), {buckets})"
+            is_due = f"{bucket} IN ({', '.join(due)})" if due else "false"
+            added = changes(self._dealt(logged.where(f"NOT {is_due}"), buckets, sizes)).drop("_slot")
+            if not due:
+                return added
+            logged = logged.where(is_due)
+        stored = [b for b in due if b in head.parts]
+        if not stored and repeating == "false":
+            # What a commit has alike in all rows isn't shuffled.
+            rows = reducer(changes(self._dealt(logged, buckets, sizes)), "_slot")
+        else:
+            both = changes(logged)
+            if stored:
+                both, sizes = self.read(only=stored, head=head).select(*both.columns).unionByName(both), sizes + self._stored_rows(stored, head)
+            if repeating != "false":
+                combined = self._bucketed(reducer(both.where(repeating).drop("bucket")), buckets)
+                both = combined.select(*both.columns).unionByName(both.where(f"NOT {repeating}"))
+            rows = reducer(self._dealt(both, buckets, sizes), "_slot")
+        rows = rows.drop("_slot")
+        return rows if added is None else rows.unionByName(added.select(*rows.columns))
+
+    def _inserted(
+        self, logged: DataFrame, changes: Callable[[DataFrame], DataFrame], compared: list[str], old: Column, head: Head,
+        sizes: Counter, buckets: int,
+    ) -> DataFrame:
+        """First arrival of each key; old ones only where the key isn't stored in the buckets compared.
+        Stored keys lie beside the arrivals, so the shuffle of these is the only one they are in."""
+        if not compared:
+            return cdc.reduce_events(changes(self._dealt(logged, buckets, sizes)), "_slot").drop("_slot")
+        key = self.source.key
+        stored = self.read(only=compared, head=head).select(key, F.lit(True).alias("_stored")).where(F.col(key).isNotNull())
+        both = logged.withColumn("_stored", F.lit(False)).unionByName(stored, allowMissingColumns=True)
+        rest = [c for c in logged.columns if c != key]
+        met = self._dealt(both, buckets, sizes + self._stored_rows(compared, head)).groupBy("_slot", key).agg(
+            F.min_by(F.struct(*rest), F.when(~F.col("_stored"), F.col("arrival_seq"))).alias("_first"),
+            F.max("_stored").alias("_stored"))
+        return changes(met.where("_first is not null").select(key, "_first.*", "_stored").where(~(old & F.col("_stored"))).drop("_stored"))
 
     def _log_schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.dataType) for f in self.source.schema]).add("arrival_seq", SEQ).add("_ingested_at", TS)
@@ -374,12 +467,12 @@ def content_signature(df: DataFrame) -> DataFrame:
 
 def verify_idempotent(tables: dict[str, ChangeTable], rerun) -> DataFrame:
     """Run ``rerun()`` again and compare every table before and after."""
-    before = {name: content_signature(t.current()).first() for name, t in tables.items()}
+    before = {name: content_signature(t.digests()).first() for name, t in tables.items()}
     rerun()
     spark = next(iter(tables.values())).spark
     rows = []
     for name, t in tables.items():
-        after = content_signature(t.current()).first()
+        after = content_signature(t.digests()).first()
         same = before[name]["content_hash"] == after["content_hash"]
         rows.append((name, before[name]["row_count"], after["row_count"],
                      after["row_count"] - before[name]["row_count"], same))
