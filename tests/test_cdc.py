@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, skew, state
 from tidemark.operators.state import ChangeTable, content_signature, verify_idempotent
+from tidemark.plans import ingest, queries
 from tidemark.schemas import SOURCES, T
 
 UPSERTS = {
@@ -134,6 +135,38 @@ def test_reoffered_rows_change_nothing(spark, tmp_path):
     assert all(r.delta == 0 and r.same_content for r in verify_idempotent(tables, again).collect())
 
 
+def unreadable(changes):
+    return changes.withColumn("_batch_id", F.raise_error(F.lit("no connection")).cast("string"))
+
+
+def test_a_failed_source_fails_the_run_after_the_others(spark, tmp_path):
+    inputs = {source: frame(spark, source, random_log(source, 11, n=40)) for source in ("customers", "orders", "events")}
+    broken = inputs | {"customers": unreadable(inputs["customers"]), "events": unreadable(inputs["events"])}
+    with pytest.raises(ingest.RunFailed, match="(?s)source customers failed.*no connection.*source events failed") as failed:
+        ingest.run_all(spark, str(tmp_path), broken, "R1", buckets=2)
+    assert failed.value.offered == {"customers": 0, "orders": 40, "events": 0}
+    assert set(failed.value.problems) == {"customers", "events"}
+    found = {n: ChangeTable(spark, f"{tmp_path}/{n}", n, 2).commits().first()["status"] for n in inputs}
+    assert found == {"customers": "FAILED", "orders": "SUCCESS", "events": "FAILED"}
+    # What failed can be run again, and nothing new is no failure.
+    assert ingest.run_all(spark, str(tmp_path), inputs, "R2", buckets=2) == {"customers": 40, "orders": 0, "events": 40}
+
+
+@pytest.mark.parametrize("failing", ["RUN-1", "RUN-2"])
+def test_a_failed_run_is_not_idempotent(spark, monkeypatch, failing):
+    """Neither a first run nor a rerun that lost a source ends in equal counts and signatures."""
+    inputs, run_source = {n: frame(spark, n, random_log(n, 12, n=40)) for n in ("orders", "events")}, ingest.run_source
+
+    def failing_once(spark, root, source, changes, run_id, **options):
+        lost = source == "orders" and run_id == failing
+        return run_source(spark, root, source, unreadable(changes) if lost else changes, run_id, **options)
+
+    monkeypatch.setattr(queries, "change_logs", lambda t: inputs)
+    monkeypatch.setattr(ingest, "run_source", failing_once)
+    with pytest.raises(ingest.RunFailed, match="(?s)source orders failed.*no connection"):
+        queries.verify_idempotent(queries.Tables(spark, ""))
+
+
 @pytest.mark.parametrize("source", SOURCES)
 def test_merge_shuffles_rows_once(spark, tmp_path, monkeypatch, source):
     """For the reduction and for the files together, in a first load and in an addition."""

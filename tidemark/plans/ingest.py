@@ -18,6 +18,14 @@ from tidemark.schemas import EPOCH, SOURCES
 log = logging.getLogger(__name__)
 
 
+class RunFailed(RuntimeError):
+    """Sources of a run failed: ``problems`` says why, ``offered`` counts the rows of all, 0 for those that failed."""
+
+    def __init__(self, offered: dict[str, int], problems: dict[str, Exception]):
+        super().__init__("; ".join(f"source {source} failed: {problem}" for source, problem in problems.items()))
+        self.offered, self.problems = offered, problems
+
+
 def new_run_id() -> str:
     return f"RUN-{uuid.uuid4().hex[:8].upper()}"
 
@@ -48,16 +56,22 @@ def run_source(
 def run_all(
     spark: SparkSession, root: str, inputs: dict[str, DataFrame], run_id: str, **options
 ) -> dict[str, int]:
-    """Run every source; one that fails counts 0 and does not stop the others.
+    """Run every source; one that fails does not stop the others.
 
-    Sources share nothing, so their jobs are submitted side by side.
+    When all have ended and any failed, ``RunFailed`` is raised: a count of 0 means that
+    a source had nothing new. Sources share nothing, so their jobs are submitted side by side.
     """
-    def attempt(source: str) -> int:
+    def attempt(source: str) -> int | Exception:
         try:
             return run_source(spark, root, source, inputs[source], run_id, **options).offered
         except Exception as problem:
             log.error("source %s failed: %s", source, problem)
-            return 0
+            return problem
 
     with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
-        return dict(zip(inputs, pool.map(inheritable_thread_target(spark)(attempt), inputs)))
+        ended = dict(zip(inputs, pool.map(inheritable_thread_target(spark)(attempt), inputs)))
+    problems = {source: end for source, end in ended.items() if isinstance(end, Exception)}
+    offered = {source: 0 if source in problems else end for source, end in ended.items()}
+    if problems:
+        raise RunFailed(offered, problems) from next(iter(problems.values()))
+    return offered
